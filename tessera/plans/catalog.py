@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import league, summaries
+from tessera.operators import league, summaries, words
+from tessera.functions.text import LANGUAGE_RULES
 from tessera.plans import standins
 from tessera.sources.tables import Tables
 
@@ -24,6 +25,11 @@ LOOKUP_YEARS = {"min_year": 1996, "max_year": 1998, "count_year": 2001, "mean_ye
 TOP_PRODUCTS_YEAR = 1997
 LEADER_YEARS = (1996, 1999)
 LOOKUP_SEASON = 2001
+WORD_LANGS = ("en", "de")
+TOP_WORDS_K = 10
+TOP_LENGTH_WORDS = (5, 5)  # (k, word length) for the second language
+MIN_WORD_COUNT = 150
+RAW_WORD_LENGTH = 6
 
 
 def _games(t: Tables) -> DataFrame:
@@ -142,6 +148,50 @@ def q_sum_of_cubes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.sum_of_cubes(Tables(spark, sf_dir).lineitem, "l_linenumber")
 
 
+# --- words ---------------------------------------------------------------
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Tables(spark, sf_dir).documents
+
+
+def q_word_counts_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = {code: LANGUAGE_RULES[code] for code in WORD_LANGS}
+    return words.word_counts_by_lang(_documents(spark, sf_dir), rules)
+
+
+def q_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return words.top_words(q_word_counts_by_lang(spark, sf_dir), WORD_LANGS[0], TOP_WORDS_K)
+
+
+def q_top_words_of_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, length = TOP_LENGTH_WORDS
+    return words.top_words(q_word_counts_by_lang(spark, sf_dir), WORD_LANGS[1], k, length=length)
+
+
+def q_longest_frequent_word(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return words.longest_frequent_word(q_word_counts_by_lang(spark, sf_dir), MIN_WORD_COUNT)
+
+
+def q_avg_word_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return words.avg_word_length(q_word_counts_by_lang(spark, sf_dir))
+
+
+def q_text_line_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return words.text_stats(_documents(spark, sf_dir))
+
+
+def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return words.raw_word_counts(_documents(spark, sf_dir))
+
+
+def q_words_of_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return words.words_of_length(_documents(spark, sf_dir), RAW_WORD_LENGTH)
+
+
+def q_most_common_word_of_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return words.most_common_word_of_length(_documents(spark, sf_dir), RAW_WORD_LENGTH)
+
+
 QUERIES: dict[str, Query] = {
     # league
     "games_from_shots": q_games_from_shots,
@@ -167,4 +217,14 @@ QUERIES: dict[str, Query] = {
     "best_sales_year": q_best_sales_year,
     "leader_yearly_sales": q_leader_yearly_sales,
     "sum_of_cubes": q_sum_of_cubes,
+    # words
+    "word_count": q_word_count,
+    "word_counts_by_lang": q_word_counts_by_lang,
+    "top_words": q_top_words,
+    "top_words_of_length": q_top_words_of_length,
+    "longest_frequent_word": q_longest_frequent_word,
+    "avg_word_length": q_avg_word_length,
+    "text_line_stats": q_text_line_stats,
+    "words_of_length": q_words_of_length,
+    "most_common_word_of_length": q_most_common_word_of_length,
 }

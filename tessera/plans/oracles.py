@@ -70,6 +70,29 @@ worst AS (
   ) WHERE rk = 1
 )"""
 
+WORDS_CTE = r"""
+tokens AS (
+  SELECT lang, unnest(string_split_regex(
+           CASE lang
+             WHEN 'en' THEN regexp_replace(lower(text), '[^abcdefghijklmnopqrstuvwxyz\s-]', '', 'g')
+             WHEN 'de' THEN regexp_replace(lower(text), '[^abcdefghijklmnopqrstuvwxyzäöüß\s-]', '', 'g')
+           END, '\s+')) AS word
+  FROM documents WHERE lang IN ('en', 'de')
+),
+counts AS (
+  SELECT lang, word, CAST(COUNT(*) AS BIGINT) AS n FROM tokens
+  WHERE (lang = 'en' AND regexp_full_match(word, '[a-z]+(-[a-z]+)*')
+         AND (length(word) > 1 OR word IN ('a', 'i')))
+     OR (lang = 'de' AND regexp_full_match(word, '[a-zäöüß]+(-[a-zäöüß]+)*')
+         AND length(word) > 1 AND NOT contains(word, 'wiki'))
+  GROUP BY lang, word
+)"""
+
+RAW_TOKENS_CTE = r"""
+raw AS (
+  SELECT word FROM (SELECT unnest(string_split_regex(text, '\s+')) AS word FROM documents) WHERE word <> ''
+)"""
+
 GAMES_SELECT = (
     "SELECT season, game_id, homeTeamCode, awayTeamCode, isPlayOffGame, homeTeamGoals, awayTeamGoals, "
     "lastGoalTime FROM games"
@@ -142,4 +165,22 @@ ORACLES: dict[str, str] = {
     "sum_of_cubes": """
         SELECT CAST(SUM(CAST(l_linenumber AS BIGINT) * l_linenumber * l_linenumber) AS BIGINT) AS sum_of_cubes
         FROM lineitem""",
+    # words
+    "word_count": f"WITH {RAW_TOKENS_CTE} SELECT word, CAST(COUNT(*) AS BIGINT) AS n FROM raw GROUP BY word",
+    "word_counts_by_lang": f"WITH {WORDS_CTE} SELECT lang, word, n FROM counts",
+    "top_words": f"WITH {WORDS_CTE} SELECT word, n FROM counts WHERE lang = 'en' ORDER BY n DESC, word LIMIT 10",
+    "top_words_of_length": f"""WITH {WORDS_CTE} SELECT word, n FROM counts
+        WHERE lang = 'de' AND length(word) = 5 ORDER BY n DESC, word LIMIT 5""",
+    "longest_frequent_word": f"""WITH {WORDS_CTE} SELECT word, CAST(SUM(n) AS BIGINT) AS n FROM counts
+        GROUP BY word HAVING SUM(n) >= 150 ORDER BY length(word) DESC, n DESC, word LIMIT 1""",
+    "avg_word_length": f"""WITH {WORDS_CTE} SELECT lang,
+        ROUND(CAST(SUM(length(word) * n) AS DOUBLE) / SUM(n), 2) AS avg_len FROM counts GROUP BY lang""",
+    "text_line_stats": r"""
+        SELECT CAST(SUM(len(string_split(text, chr(10)))) AS BIGINT) AS lines,
+               CAST(SUM(len(regexp_extract_all(text, '\S+'))) AS BIGINT) AS words,
+               CAST(SUM(length(regexp_replace(text, '\s', '', 'g'))) AS BIGINT) AS chars
+        FROM documents""",
+    "words_of_length": f"WITH {RAW_TOKENS_CTE} SELECT CAST(COUNT(*) AS BIGINT) AS n FROM raw WHERE length(word) = 6",
+    "most_common_word_of_length": f"""WITH {RAW_TOKENS_CTE} SELECT word, CAST(COUNT(*) AS BIGINT) AS n FROM raw
+        WHERE length(word) = 6 GROUP BY word ORDER BY n DESC, word LIMIT 1""",
 }
