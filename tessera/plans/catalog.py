@@ -12,10 +12,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import league, summaries, words
+from tessera.functions.geo import haversine_km
+from tessera.functions.numeric import cube_root
 from tessera.functions.text import LANGUAGE_RULES
+from tessera.operators import clustering, league, regression, summaries, words
 from tessera.plans import standins
+from tessera.session import scratch_path
+from tessera.sources.files import read_csv, read_text_by_language, write_csv
 from tessera.sources.tables import Tables
+from tessera.streaming.best_days import stream_daily_sales
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +35,21 @@ TOP_WORDS_K = 10
 TOP_LENGTH_WORDS = (5, 5)  # (k, word length) for the second language
 MIN_WORD_COUNT = 150
 RAW_WORD_LENGTH = 6
+REFERENCE_POINT = (61.0, 23.0)  # (lat, lon) for the distance query
+TRAIN_PCT = 80
+NEW_X_VALUES = (-1.5, 2.5, 8.5, 31.4)
+KMEANS = {"start_k": 7, "min_k": 2, "max_radius_km": 3.0, "seed": 1}
+STREAM_FILE_ROWS = 25_000  # rows per staged CSV file (several micro-batches)
+
+ORDERS_SCHEMA = (
+    "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+)
+LINEITEM_SCHEMA = (
+    "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ"
+)
 
 
 def _games(t: Tables) -> DataFrame:
@@ -192,6 +212,134 @@ def q_most_common_word_of_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.most_common_word_of_length(_documents(spark, sf_dir), RAW_WORD_LENGTH)
 
 
+def q_word_counts_from_text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents staged as text files, one folder per language, read back
+    with one glob per language (one row per line) and counted."""
+    docs = _documents(spark, sf_dir)
+    root = scratch_path(spark, "text")
+    for code in WORD_LANGS:
+        docs.filter(F.col("lang") == code).select("text").write.text(f"{root}/{code}")
+    lines = read_text_by_language(spark, {code: f"{root}/{code}/*.txt" for code in WORD_LANGS})
+    rules = {code: LANGUAGE_RULES[code] for code in WORD_LANGS}
+    return words.word_counts_by_lang(lines, rules)
+
+
+# --- numbers and distances -------------------------------------------------
+
+def q_cube_root(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = Tables(spark, sf_dir).customer
+    return customer.select("c_custkey", F.round(cube_root(F.col("c_acctbal")), 6).alias("cube_root"))
+
+
+def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return standins.points(Tables(spark, sf_dir).customer)
+
+
+def q_haversine_km(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lat0, lon0 = REFERENCE_POINT
+    d = haversine_km(F.col("latitude_wgs84"), F.col("longitude_wgs84"), lat0, lon0)
+    return _points(spark, sf_dir).select("id", F.round(d, 6).alias("distance_km"))
+
+
+# --- regression ----------------------------------------------------------
+
+def _xy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = Tables(spark, sf_dir).lineitem
+    return li.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
+        F.col("l_quantity").alias("X"),
+        F.col("l_extendedprice").alias("label"),
+    )
+
+
+def _fitted(spark: SparkSession, sf_dir: str):
+    train, test = regression.hash_split(_xy(spark, sf_dir), F.col("id"), TRAIN_PCT)
+    return regression.fit_linear_regression(train, ["X"], "label"), test
+
+
+def q_hash_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regression.split_counts(Tables(spark, sf_dir).customer, F.col("c_custkey"), TRAIN_PCT)
+
+
+def q_linreg_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, test = _fitted(spark, sf_dir)
+    return regression.coefficients_frame(model, test, 4)
+
+
+def q_linreg_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, test = _fitted(spark, sf_dir)
+    out = regression.rmse_frame(regression.predict(model, test, ["X"]))
+    return out.select(F.round("rmse", 4).alias("rmse"))
+
+
+def q_linreg_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, test = _fitted(spark, sf_dir)
+    pred = regression.predict(model, test, ["X"])
+    return pred.select("id", "X", "label", F.round("prediction", 2).alias("prediction"))
+
+
+def q_linreg_predict_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, _ = _fitted(spark, sf_dir)
+    new_x = spark.createDataFrame([(x,) for x in NEW_X_VALUES], "X double")
+    pred = regression.predict(model, new_x, ["X"])
+    return pred.select("X", F.round("prediction", 4).alias("prediction"))
+
+
+# --- clustering (iterative: no SQL oracle) ---------------------------------
+
+def q_kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.kmeans_assign(_points(spark, sf_dir), KMEANS["start_k"], KMEANS["seed"])
+
+
+def _refined(spark: SparkSession, sf_dir: str) -> tuple[clustering.RefineResult, DataFrame]:
+    points = _points(spark, sf_dir)
+    return clustering.kmeans_refine(points, standins.ANCHOR_ID, **KMEANS), points
+
+
+def q_kmeans_refine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result, _ = _refined(spark, sf_dir)
+    return clustering.rounds_frame(spark, result)
+
+
+def q_kmeans_final_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result, points = _refined(spark, sf_dir)
+    anchor = points.filter(F.col("id") == standins.ANCHOR_ID).select("postal_code").first()
+    return clustering.final_counts(result.members, "postal_code", anchor["postal_code"])
+
+
+# --- file sources and the stream -----------------------------------------
+
+def q_scan_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders -> CSV (comma, header) -> read back with an explicit schema."""
+    path = write_csv(Tables(spark, sf_dir).orders, scratch_path(spark, "csv-orders"))
+    return read_csv(spark, path, ORDERS_SCHEMA)
+
+
+def _staged_lineitem_csv(spark: SparkSession, sf_dir: str, label: str) -> str:
+    lineitem = Tables(spark, sf_dir).lineitem
+    path = scratch_path(spark, label)
+    lineitem.write.option("sep", ";").option("header", "true").option(
+        "maxRecordsPerFile", STREAM_FILE_ROWS
+    ).csv(path)
+    return path
+
+
+def q_scan_csv_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem -> CSV (';', header) -> read back with a schema -> daily totals."""
+    path = _staged_lineitem_csv(spark, sf_dir, "csv-lineitem")
+    retail = standins.retail(read_csv(spark, path, LINEITEM_SCHEMA, sep=";"))
+    return summaries.daily_totals(retail, "day", "quantity", "price")
+
+
+def q_stream_best_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem staged as ';' CSV files, consumed as a file stream one file
+    per micro-batch; the final daily table of the stream."""
+    path = _staged_lineitem_csv(spark, sf_dir, "stream-lineitem")
+    return stream_daily_sales(
+        spark, path, LINEITEM_SCHEMA, "l_shipdate", "l_quantity", "l_extendedprice", sep=";", max_files_per_trigger=1
+    )
+
+
 QUERIES: dict[str, Query] = {
     # league
     "games_from_shots": q_games_from_shots,
@@ -227,4 +375,22 @@ QUERIES: dict[str, Query] = {
     "text_line_stats": q_text_line_stats,
     "words_of_length": q_words_of_length,
     "most_common_word_of_length": q_most_common_word_of_length,
+    "word_counts_from_text_files": q_word_counts_from_text_files,
+    # numbers, distances
+    "cube_root": q_cube_root,
+    "haversine_km": q_haversine_km,
+    # regression
+    "hash_split_counts": q_hash_split_counts,
+    "linreg_coefficients": q_linreg_coefficients,
+    "linreg_rmse": q_linreg_rmse,
+    "linreg_predict": q_linreg_predict,
+    "linreg_predict_new": q_linreg_predict_new,
+    # clustering
+    "kmeans_assign": q_kmeans_assign,
+    "kmeans_refine": q_kmeans_refine,
+    "kmeans_final_counts": q_kmeans_final_counts,
+    # sources and streaming
+    "scan_csv_roundtrip": q_scan_csv_roundtrip,
+    "scan_csv_semicolon": q_scan_csv_semicolon,
+    "stream_best_days": q_stream_best_days,
 }

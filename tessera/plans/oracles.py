@@ -93,6 +93,26 @@ raw AS (
   SELECT word FROM (SELECT unnest(string_split_regex(text, '\s+')) AS word FROM documents) WHERE word <> ''
 )"""
 
+POINTS_CTE_SQL = """
+points AS (
+  SELECT c_custkey AS id,
+         61 + CAST(c_custkey * 7919 % 10007 AS DOUBLE) / 10007 AS lat,
+         23 + CAST(c_custkey * 104729 % 10009 AS DOUBLE) / 10009 AS lon
+  FROM customer
+)"""
+
+XY_CTE = """
+xy AS (
+  SELECT l_orderkey * 8 + l_linenumber AS id, l_quantity AS X, l_extendedprice AS label FROM lineitem
+),
+train AS (SELECT * FROM xy WHERE id * 7919 % 10007 % 100 < 80),
+test AS (SELECT * FROM xy WHERE id * 7919 % 10007 % 100 >= 80),
+model AS (SELECT regr_slope(label, X) AS slope, regr_intercept(label, X) AS intercept FROM train)"""
+
+DAILY_SQL = """
+        SELECT CAST(l_shipdate AS DATE) AS day, ROUND(SUM(l_quantity * l_extendedprice), 2) AS total_sales
+        FROM lineitem GROUP BY 1"""
+
 GAMES_SELECT = (
     "SELECT season, game_id, homeTeamCode, awayTeamCode, isPlayOffGame, homeTeamGoals, awayTeamGoals, "
     "lastGoalTime FROM games"
@@ -183,4 +203,29 @@ ORACLES: dict[str, str] = {
     "words_of_length": f"WITH {RAW_TOKENS_CTE} SELECT CAST(COUNT(*) AS BIGINT) AS n FROM raw WHERE length(word) = 6",
     "most_common_word_of_length": f"""WITH {RAW_TOKENS_CTE} SELECT word, CAST(COUNT(*) AS BIGINT) AS n FROM raw
         WHERE length(word) = 6 GROUP BY word ORDER BY n DESC, word LIMIT 1""",
+    "word_counts_from_text_files": f"WITH {WORDS_CTE} SELECT lang, word, n FROM counts",
+    # numbers, distances
+    "cube_root": "SELECT c_custkey, ROUND(cbrt(c_acctbal), 6) AS cube_root FROM customer",
+    "haversine_km": f"""WITH {POINTS_CTE_SQL}
+        SELECT id, ROUND(2 * 6378.1 * atan2(sqrt(a), sqrt(1 - a)), 6) AS distance_km FROM (
+          SELECT id, pow(sin(radians(61.0 - lat) / 2), 2)
+                     + cos(radians(lat)) * cos(radians(61.0)) * pow(sin(radians(23.0 - lon) / 2), 2) AS a
+          FROM points)""",
+    # regression
+    "hash_split_counts": """
+        SELECT CASE WHEN c_custkey * 7919 % 10007 % 100 < 80 THEN 'train' ELSE 'test' END AS split,
+               CAST(COUNT(*) AS BIGINT) AS n
+        FROM customer GROUP BY 1""",
+    "linreg_coefficients": f"WITH {XY_CTE} SELECT ROUND(slope, 4) AS slope, ROUND(intercept, 4) AS intercept FROM model",
+    "linreg_rmse": f"""WITH {XY_CTE}
+        SELECT ROUND(sqrt(avg(pow(label - (slope * X + intercept), 2))), 4) AS rmse FROM test, model""",
+    "linreg_predict": f"""WITH {XY_CTE}
+        SELECT id, X, label, ROUND(slope * X + intercept, 2) AS prediction FROM test, model""",
+    "linreg_predict_new": f"""WITH {XY_CTE}
+        SELECT X, ROUND(slope * X + intercept, 4) AS prediction
+        FROM (SELECT CAST(x AS DOUBLE) AS X FROM (VALUES (-1.5), (2.5), (8.5), (31.4)) AS v(x)), model""",
+    # sources and streaming
+    "scan_csv_roundtrip": "SELECT * FROM orders",
+    "scan_csv_semicolon": DAILY_SQL,
+    "stream_best_days": DAILY_SQL,
 }
