@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tessera") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tessera") -> SparkSession:
     """A local session configured like the tests and the bench expect."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")

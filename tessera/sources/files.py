@@ -36,6 +36,24 @@ def read_csv(
     return reader.csv(path)
 
 
+# Column layout of the game-sales file (declared order). ``Year`` is read as
+# text because the file holds 'N/A' years; ``typed_year`` turns it into an
+# integer with try_cast, so an ANSI session drops such rows in a year filter
+# instead of failing.
+GAME_SALES_SCHEMA = (
+    "Rank INT, Name STRING, Platform STRING, Year STRING, Genre STRING, Publisher STRING, "
+    "NA_Sales DOUBLE, EU_Sales DOUBLE, JP_Sales DOUBLE, Other_Sales DOUBLE, Global_Sales DOUBLE"
+)
+
+
+def typed_year(df: DataFrame, column: str = "Year") -> DataFrame:
+    return df.withColumn(column, F.col(column).try_cast("int"))
+
+
+def read_game_sales(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    return typed_year(read_csv(spark, path, GAME_SALES_SCHEMA))
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True) -> str:
     """Write a DataFrame as a folder of CSV part files (one per partition)."""
     df.write.mode("error").option("sep", sep).option("header", str(header).lower()).csv(path)
