@@ -167,28 +167,50 @@ def leader_yearly_sales(
     last_year: int,
 ) -> DataFrame:
     """The group (e.g. publisher) with the largest ``lead_col`` sum over the
-    year range, then its yearly ``lead_col`` and ``total_col`` sums.
-
-    One aggregate per (group, year) feeds both steps. The leader is a top-1
-    (one row by construction, so broadcasting it is bounded) and selects its
-    rows with a left-semi join -- no value is fetched to the driver."""
-    per_year = (
-        sales.filter(F.col(year_col).between(first_year, last_year))
-        .groupBy(F.col(group_col).alias("publisher"), F.col(year_col).alias("year"))
-        .agg(F.sum(lead_col).alias("_lead"), F.sum(total_col).alias("_total"))
+    year range, then its yearly ``lead_col`` and ``total_col`` sums
+    (``publisher``, ``year``, ``eu_total``, ``global_total``).
+
+    One scan and one shuffle: a single aggregate per group computes the
+    range total and, for each year of the range, a row count and the two
+    sums (conditional aggregates; their number is fixed by the range, not by
+    the data, and partial aggregation collapses a hot group on the map side).
+    The leader is a top-1 over groups (``TakeOrderedAndProject``) and its
+    year columns are unpivoted into rows. Nothing is fetched to the driver
+    and the input is not scanned twice."""
+    years = list(range(first_year, last_year + 1))
+    y = F.col(year_col)
+    aggs = [F.sum(lead_col).alias("_lead_sum")]
+    for yr in years:
+        hit = y == yr
+        aggs += [
+            F.count_if(hit).alias(f"_n{yr}"),
+            F.sum(F.when(hit, F.col(lead_col))).alias(f"_l{yr}"),
+            F.sum(F.when(hit, F.col(total_col))).alias(f"_t{yr}"),
+        ]
+    per_group = (
+        sales.filter(y.between(first_year, last_year)).groupBy(F.col(group_col).alias("publisher")).agg(*aggs)
     )
-    leader = (
-        per_year.groupBy("publisher")
-        .agg(F.round(F.sum("_lead"), 2).alias("_lead_sum"))
-        .orderBy(F.desc("_lead_sum"), F.asc("publisher"))
-        .limit(1)
-        .select("publisher")
+    leader = per_group.orderBy(F.desc(F.round("_lead_sum", 2)), F.asc("publisher")).limit(1)
+    year_rows = F.array(
+        *[
+            F.struct(
+                F.lit(yr).alias("year"),
+                F.col(f"_n{yr}").alias("n"),
+                F.col(f"_l{yr}").alias("lead"),
+                F.col(f"_t{yr}").alias("total"),
+            )
+            for yr in years
+        ]
     )
-    return per_year.join(F.broadcast(leader), "publisher", "left_semi").select(
-        "publisher",
-        "year",
-        F.round("_lead", 2).alias("eu_total"),
-        F.round("_total", 2).alias("global_total"),
+    return (
+        leader.select("publisher", F.inline(year_rows))
+        .filter(F.col("n") > 0)
+        .select(
+            "publisher",
+            "year",
+            F.round("lead", 2).alias("eu_total"),
+            F.round("total", 2).alias("global_total"),
+        )
     )
 
 

@@ -39,7 +39,8 @@ REFERENCE_POINT = (61.0, 23.0)  # (lat, lon) for the distance query
 TRAIN_PCT = 80
 NEW_X_VALUES = (-1.5, 2.5, 8.5, 31.4)
 KMEANS = {"start_k": 7, "min_k": 2, "max_radius_km": 3.0, "seed": 1}
-STREAM_FILE_ROWS = 25_000  # rows per staged CSV file (several micro-batches)
+STREAM_FILE_ROWS = 25_000  # rows per staged CSV file
+STREAM_FILES_PER_TRIGGER = 8  # files per micro-batch (bounded batch size)
 
 ORDERS_SCHEMA = (
     "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
@@ -336,7 +337,7 @@ def q_stream_best_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     per micro-batch; the final daily table of the stream."""
     path = _staged_lineitem_csv(spark, sf_dir, "stream-lineitem")
     return stream_daily_sales(
-        spark, path, LINEITEM_SCHEMA, "l_shipdate", "l_quantity", "l_extendedprice", sep=";", max_files_per_trigger=1
+        spark, path, LINEITEM_SCHEMA, "l_shipdate", "l_quantity", "l_extendedprice", sep=";", max_files_per_trigger=STREAM_FILES_PER_TRIGGER
     )
 
 
