@@ -40,6 +40,7 @@ TRAIN_PCT = 80
 NEW_X_VALUES = (-1.5, 2.5, 8.5, 31.4)
 KMEANS = {"start_k": 7, "min_k": 2, "max_radius_km": 3.0, "seed": 1}
 STREAM_FILE_ROWS = 25_000  # rows per staged CSV file
+STREAM_TOP_K = 6  # rows of the live view
 STREAM_FILES_PER_TRIGGER = 8  # files per micro-batch (bounded batch size)
 
 ORDERS_SCHEMA = (
@@ -341,6 +342,23 @@ def q_stream_best_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_stream_top_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live top-k view of the stream (sorted, then limited, in complete
+    mode), as it stands after all staged files are processed."""
+    path = _staged_lineitem_csv(spark, sf_dir, "stream-lineitem")
+    return stream_daily_sales(
+        spark,
+        path,
+        LINEITEM_SCHEMA,
+        "l_shipdate",
+        "l_quantity",
+        "l_extendedprice",
+        sep=";",
+        max_files_per_trigger=STREAM_FILES_PER_TRIGGER,
+        top_k=STREAM_TOP_K,
+    )
+
+
 QUERIES: dict[str, Query] = {
     # league
     "games_from_shots": q_games_from_shots,
@@ -394,4 +412,5 @@ QUERIES: dict[str, Query] = {
     "scan_csv_roundtrip": q_scan_csv_roundtrip,
     "scan_csv_semicolon": q_scan_csv_semicolon,
     "stream_best_days": q_stream_best_days,
+    "stream_top_days": q_stream_top_days,
 }

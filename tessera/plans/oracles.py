@@ -228,4 +228,5 @@ ORACLES: dict[str, str] = {
     "scan_csv_roundtrip": "SELECT * FROM orders",
     "scan_csv_semicolon": DAILY_SQL,
     "stream_best_days": DAILY_SQL,
+    "stream_top_days": DAILY_SQL + " ORDER BY total_sales DESC, day ASC LIMIT 6",
 }

@@ -7,6 +7,7 @@ callers select only what they need and the scan reads only those columns.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLE_NAMES = (
     "region",
@@ -30,10 +31,16 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_table(
+    spark: SparkSession, sf_dir: str, name: str, schema: StructType | str | None = None, columns=None
+) -> DataFrame:
+    """Parquet scan of one table, optionally with an imposed schema and an
+    early column list (both only narrow what the scan reads)."""
     if name not in TABLE_NAMES:
         raise KeyError(f"unknown table {name!r}")
-    return spark.read.parquet(table_path(sf_dir, name))
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.parquet(table_path(sf_dir, name))
+    return df.select(*columns) if columns else df
 
 
 class Tables:

@@ -89,15 +89,23 @@ def stream_daily_sales(
     sep: str = ",",
     max_files_per_trigger: int | None = 1,
     timeout_sec: float = 600.0,
+    top_k: int | None = None,
+    name: str | None = None,
 ) -> DataFrame:
     """Process every file now in ``folder`` (one or more micro-batches),
     wait for the stream to finish and return the final table as a batch
-    DataFrame read back from the result folder."""
+    DataFrame read back from the result folder. With ``top_k`` the stream
+    itself keeps only the k best days (sorted, then limited, in complete
+    mode: the live view is the true top, not the first rows to arrive)."""
     stream = read_csv_stream(spark, folder, schema, sep, True, max_files_per_trigger)
+    agg = daily_sales(stream, day_col, quantity_col, price_col)
+    if top_k is not None:
+        agg = top_days(agg, top_k)
     run = run_to_parquet(
-        daily_sales(stream, day_col, quantity_col, price_col),
+        agg,
         scratch_path(spark, "stream-result"),
         scratch_path(spark, "stream-state"),
+        name=name,
     )
     if not run.query.awaitTermination(timeout_sec):
         run.query.stop()
@@ -111,3 +119,12 @@ def top_days(table: DataFrame, k: int) -> DataFrame:
     """The ``k`` best days of a daily table (sorted before the limit, so the
     view is the true top, not the first rows that happen to arrive)."""
     return table.orderBy(F.desc("total_sales"), F.asc("day")).limit(k)
+
+
+def stop_query_by_name(spark: SparkSession, name: str) -> bool:
+    """Stop the active streaming query called ``name``; False if none runs."""
+    for q in spark.streams.active:
+        if q.name == name:
+            q.stop()
+            return True
+    return False
