@@ -19,7 +19,7 @@ from tessera.operators import clustering, league, regression, summaries, words
 from tessera.plans import standins
 from tessera.session import scratch_path
 from tessera.sources.files import read_csv, read_text_by_language, write_csv
-from tessera.sources.tables import Tables
+from tessera.sources.tables import Tables, spread_small_scan
 from tessera.streaming.best_days import stream_daily_sales
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,7 +173,9 @@ def q_sum_of_cubes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- words ---------------------------------------------------------------
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Tables(spark, sf_dir).documents
+    # Text work is CPU-heavy per row: spread a small single-file scan over
+    # all task slots (a no-op for many-file inputs).
+    return spread_small_scan(Tables(spark, sf_dir).documents)
 
 
 def q_word_counts_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from tessera.sources.files import (
     read_text_lines,
     write_csv,
 )
-from tessera.sources.tables import TABLE_NAMES, Tables, read_table, table_path
+from tessera.sources.tables import TABLE_NAMES, Tables, read_table, spread_small_scan, table_path
 
 __all__ = [
     "GAME_SALES_SCHEMA",
@@ -21,6 +21,7 @@ __all__ = [
     "read_table",
     "read_text_by_language",
     "read_text_lines",
+    "spread_small_scan",
     "table_path",
     "write_csv",
 ]

@@ -43,6 +43,22 @@ def read_table(
     return df.select(*columns) if columns else df
 
 
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Round-robin the rows of a scan over all task slots when it reads
+    fewer files than there are slots.
+
+    A small table stored as one file with one row group lands on a single
+    task, which then does all per-row work (regex over whole texts) alone.
+    For CPU-heavy per-row work the extra exchange pays for itself. A large
+    input has many files, is already spread by the scan, and is returned
+    unchanged, so this adds no shuffle at scale. Column pruning still
+    applies below the exchange."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= slots:
+        return df
+    return df.repartition(slots)
+
+
 class Tables:
     """Attribute access to the tables of one folder: ``Tables(spark, d).lineitem``."""
 
