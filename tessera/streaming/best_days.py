@@ -91,20 +91,24 @@ def stream_daily_sales(
     timeout_sec: float = 600.0,
     top_k: int | None = None,
     name: str | None = None,
+    result_path: str | None = None,
+    checkpoint_path: str | None = None,
 ) -> DataFrame:
     """Process every file now in ``folder`` (one or more micro-batches),
     wait for the stream to finish and return the final table as a batch
     DataFrame read back from the result folder. With ``top_k`` the stream
     itself keeps only the k best days (sorted, then limited, in complete
-    mode: the live view is the true top, not the first rows to arrive)."""
+    mode: the live view is the true top, not the first rows to arrive).
+    Passing the ``checkpoint_path`` (and ``result_path``) of an earlier run
+    resumes it: only files not yet seen are read, on top of the saved state."""
     stream = read_csv_stream(spark, folder, schema, sep, True, max_files_per_trigger)
     agg = daily_sales(stream, day_col, quantity_col, price_col)
     if top_k is not None:
         agg = top_days(agg, top_k)
     run = run_to_parquet(
         agg,
-        scratch_path(spark, "stream-result"),
-        scratch_path(spark, "stream-state"),
+        result_path or scratch_path(spark, "stream-result"),
+        checkpoint_path or scratch_path(spark, "stream-state"),
         name=name,
     )
     if not run.query.awaitTermination(timeout_sec):

@@ -73,3 +73,24 @@ def test_stream_equals_batch(spark):
     batch = summaries.daily_totals(df.withColumn("day", F.to_date("d")), "day", "q", "p")
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
     assert [tuple(r) for r in top_days(streamed, 2).collect()] == [tuple(r) for r in top_days(batch, 2).collect()]
+
+
+def test_stream_resumes_from_checkpoint(spark):
+    schema = "d TIMESTAMP_NTZ, q DOUBLE, p DOUBLE"
+    folder = scratch_path(spark, "stream-resume")
+    first = spark.createDataFrame([("2001-01-01 00:00:00", 1.0, 2.0), ("2001-01-02 00:00:00", 1.0, 1.0)], "d string, q double, p double")
+    first.select(F.col("d").cast("timestamp_ntz").alias("d"), "q", "p").coalesce(1).write.option("header", "true").csv(f"{folder}/a")
+    result, state = scratch_path(spark, "res"), scratch_path(spark, "state")
+    glob = f"{folder}/*/"
+    out1 = stream_daily_sales(spark, glob, schema, "d", "q", "p", result_path=result, checkpoint_path=state)
+    assert sorted((str(r["day"]), r["total_sales"]) for r in out1.collect()) == [("2001-01-01", 2.0), ("2001-01-02", 1.0)]
+    second = spark.createDataFrame([("2001-01-01 00:00:00", 3.0, 1.0)], "d string, q double, p double")
+    second.select(F.col("d").cast("timestamp_ntz").alias("d"), "q", "p").coalesce(1).write.option("header", "true").csv(f"{folder}/b")
+    out2 = stream_daily_sales(spark, glob, schema, "d", "q", "p", result_path=result, checkpoint_path=state)
+    assert sorted((str(r["day"]), r["total_sales"]) for r in out2.collect()) == [("2001-01-01", 5.0), ("2001-01-02", 1.0)]
+
+
+def test_inferred_csv_schema(spark):
+    path = _write_text(spark, "csv-infer", "A,B,C\n1,2.5,x\n3,4.0,y")
+    df = read_csv(spark, path, infer_schema=True)
+    assert [f.dataType.simpleString() for f in df.schema.fields] == ["int", "double", "string"]
