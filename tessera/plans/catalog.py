@@ -17,7 +17,7 @@ from tessera.functions.numeric import cube_root
 from tessera.functions.text import LANGUAGE_RULES
 from tessera.operators import clustering, league, regression, summaries, words
 from tessera.plans import standins
-from tessera.session import scratch_path
+from tessera.session import checkpoint_root, scratch_path
 from tessera.sources.files import read_csv, read_text_by_language, write_csv
 from tessera.sources.tables import Tables, spread_small_scan
 from tessera.streaming.best_days import stream_daily_sales
@@ -219,11 +219,14 @@ def q_most_common_word_of_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_word_counts_from_text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents staged as text files, one folder per language, read back
     with one glob per language (one row per line) and counted."""
-    docs = _documents(spark, sf_dir)
-    root = scratch_path(spark, "text")
-    for code in WORD_LANGS:
-        docs.filter(F.col("lang") == code).select("text").write.text(f"{root}/{code}")
-    lines = read_text_by_language(spark, {code: f"{root}/{code}/*.txt" for code in WORD_LANGS})
+    docs = Tables(spark, sf_dir).documents
+
+    def write(root: str) -> None:
+        for code in WORD_LANGS:
+            docs.filter(F.col("lang") == code).select("text").write.text(f"{root}/{code}")
+
+    root = _staged(spark, sf_dir, "documents-text", write)
+    lines = spread_small_scan(read_text_by_language(spark, {code: f"{root}/{code}/*.txt" for code in WORD_LANGS}))
     rules = {code: LANGUAGE_RULES[code] for code in WORD_LANGS}
     return words.word_counts_by_lang(lines, rules)
 
@@ -315,22 +318,40 @@ def q_kmeans_final_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_scan_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders -> CSV (comma, header) -> read back with an explicit schema."""
-    path = write_csv(Tables(spark, sf_dir).orders, scratch_path(spark, "csv-orders"))
+    orders = Tables(spark, sf_dir).orders
+    path = _staged(spark, sf_dir, "orders-csv", lambda p: write_csv(orders, p))
     return read_csv(spark, path, ORDERS_SCHEMA)
 
 
-def _staged_lineitem_csv(spark: SparkSession, sf_dir: str, label: str) -> str:
+# Staged copies of the supplied tables as CSV/text files stand in for the
+# files the reference reads; they are written once per session (keyed by
+# the checkpoint root, the table folder and the format) and then only read.
+_STAGED: dict[tuple[str, str, str], str] = {}
+
+
+def _staged(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], None]) -> str:
+    key = (checkpoint_root(spark), sf_dir, label)
+    if key not in _STAGED:
+        path = scratch_path(spark, label)
+        write(path)
+        _STAGED[key] = path
+    return _STAGED[key]
+
+
+def _staged_lineitem_csv(spark: SparkSession, sf_dir: str, label: str = "lineitem-csv") -> str:
     lineitem = Tables(spark, sf_dir).lineitem
-    path = scratch_path(spark, label)
-    lineitem.write.option("sep", ";").option("header", "true").option(
-        "maxRecordsPerFile", STREAM_FILE_ROWS
-    ).csv(path)
-    return path
+
+    def write(path: str) -> None:
+        lineitem.write.option("sep", ";").option("header", "true").option(
+            "maxRecordsPerFile", STREAM_FILE_ROWS
+        ).csv(path)
+
+    return _staged(spark, sf_dir, label, write)
 
 
 def q_scan_csv_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem -> CSV (';', header) -> read back with a schema -> daily totals."""
-    path = _staged_lineitem_csv(spark, sf_dir, "csv-lineitem")
+    path = _staged_lineitem_csv(spark, sf_dir)
     retail = standins.retail(read_csv(spark, path, LINEITEM_SCHEMA, sep=";"))
     return summaries.daily_totals(retail, "day", "quantity", "price")
 
@@ -338,7 +359,7 @@ def q_scan_csv_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_best_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem staged as ';' CSV files, consumed as a file stream one file
     per micro-batch; the final daily table of the stream."""
-    path = _staged_lineitem_csv(spark, sf_dir, "stream-lineitem")
+    path = _staged_lineitem_csv(spark, sf_dir)
     return stream_daily_sales(
         spark, path, LINEITEM_SCHEMA, "l_shipdate", "l_quantity", "l_extendedprice", sep=";", max_files_per_trigger=STREAM_FILES_PER_TRIGGER
     )
@@ -347,7 +368,7 @@ def q_stream_best_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_top_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live top-k view of the stream (sorted, then limited, in complete
     mode), as it stands after all staged files are processed."""
-    path = _staged_lineitem_csv(spark, sf_dir, "stream-lineitem")
+    path = _staged_lineitem_csv(spark, sf_dir)
     return stream_daily_sales(
         spark,
         path,
