@@ -82,8 +82,9 @@ def kmeans_refine(
     round at ``min_k`` keeps every point (no further progress possible)."""
     spark = points.sparkSession
     checkpoint_root(spark)  # fail fast when no shared folder is configured
+    # Round 1 reads the input as is (Spark ML persists what it fits on);
+    # later rounds read the checkpointed members of the previous round.
     current = points.select(id_col, lat, lon, *[c for c in points.columns if c not in (id_col, lat, lon)])
-    current = current.checkpoint(eager=True)
     n_current = current.count()
     rounds: list[RefineRound] = []
     k = start_k

@@ -23,8 +23,10 @@ SPLIT_MODULUS = 10007
 
 
 def split_bucket(id_col: Column) -> Column:
-    """0..99 bucket of an integer id (same in Spark and plain SQL)."""
-    return id_col.cast("bigint") * SPLIT_MULTIPLIER % SPLIT_MODULUS % 100
+    """0..99 bucket of an integer id, equal to ``id * 7919 % 10007 % 100``.
+    The id is reduced modulo 10007 before the multiplication (same value,
+    congruent and of the same sign), so no 64-bit id can overflow."""
+    return id_col.cast("bigint") % SPLIT_MODULUS * SPLIT_MULTIPLIER % SPLIT_MODULUS % 100
 
 
 def hash_split(df: DataFrame, id_col: Column, train_pct: int = 80) -> tuple[DataFrame, DataFrame]:

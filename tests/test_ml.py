@@ -87,3 +87,17 @@ def test_refinement_continues_at_k2_until_radius(spark):
     assert ks[:2] == [3, 2]
     assert result.rounds[-1].radius_km <= 3.0
     assert all(k >= 2 for k in ks)
+
+
+def test_split_bucket_has_no_overflow_and_matches_formula(spark):
+    ids = [0, 1, 42, 10006, 10007, 123456789, 2**40 + 3, -5, -10008]
+    df = spark.createDataFrame([(i,) for i in ids], "k long")
+    got = [r["b"] for r in df.select(regression.split_bucket(F.col("k")).alias("b")).collect()]
+    def java_mod(a, m):  # remainder with the sign of the dividend, as in Spark/SQL
+        r = abs(a) % m
+        return r if a >= 0 else -r
+
+    expected = [java_mod(java_mod(i * 7919, 10007), 100) for i in ids]
+    assert got == expected
+    big = spark.createDataFrame([(2**62,)], "k long").select(regression.split_bucket(F.col("k")).alias("b"))
+    assert 0 <= big.first()["b"] < 100
