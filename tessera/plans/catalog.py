@@ -18,7 +18,7 @@ from tessera.functions.text import LANGUAGE_RULES
 from tessera.operators import clustering, league, regression, summaries, words
 from tessera.plans import standins
 from tessera.session import checkpoint_root, scratch_path
-from tessera.sources.files import read_csv, read_text_by_language, write_csv
+from tessera.sources.files import read_csv, read_text_by_language, read_text_lines, write_csv
 from tessera.sources.tables import Tables, spread_small_scan
 from tessera.streaming.best_days import stream_daily_sales
 
@@ -216,21 +216,34 @@ def q_most_common_word_of_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.most_common_word_of_length(_documents(spark, sf_dir), RAW_WORD_LENGTH)
 
 
-def q_word_counts_from_text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents staged as text files, one folder per language, read back
-    with one glob per language (one row per line) and counted."""
+def _staged_documents_text(spark: SparkSession, sf_dir: str) -> str:
+    """All documents staged as text files, one folder per language
+    (``lang=<code>/part-*.txt``), written in one pass."""
     docs = Tables(spark, sf_dir).documents
 
     def write(root: str) -> None:
-        for code in WORD_LANGS:
-            docs.filter(F.col("lang") == code).select("text").write.text(f"{root}/{code}")
+        docs.select("lang", "text").write.partitionBy("lang").text(root)
+
+    return _staged(spark, sf_dir, "documents-text", write)
+
 
-    root = _staged(spark, sf_dir, "documents-text", write)
-    lines = spread_small_scan(read_text_by_language(spark, {code: f"{root}/{code}/*.txt" for code in WORD_LANGS}))
+def q_word_counts_from_text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents staged as text files, one folder per language, read back
+    with one glob per language (one row per line) and counted."""
+    root = _staged_documents_text(spark, sf_dir)
+    globs = {code: f"{root}/lang={code}/*.txt" for code in WORD_LANGS}
+    lines = spread_small_scan(read_text_by_language(spark, globs))
     rules = {code: LANGUAGE_RULES[code] for code in WORD_LANGS}
     return words.word_counts_by_lang(lines, rules)
 
 
+def q_text_line_stats_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, words and non-white-space characters of the staged text files
+    read as a folder of text (one row per line)."""
+    root = _staged_documents_text(spark, sf_dir)
+    return words.text_stats(spread_small_scan(read_text_lines(spark, f"{root}/*/*.txt", "text")))
+
+
 # --- numbers and distances -------------------------------------------------
 
 def q_cube_root(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,6 +431,7 @@ QUERIES: dict[str, Query] = {
     "words_of_length": q_words_of_length,
     "most_common_word_of_length": q_most_common_word_of_length,
     "word_counts_from_text_files": q_word_counts_from_text_files,
+    "text_line_stats_from_files": q_text_line_stats_from_files,
     # numbers, distances
     "cube_root": q_cube_root,
     "haversine_km": q_haversine_km,

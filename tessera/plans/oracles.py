@@ -113,6 +113,12 @@ DAILY_SQL = """
         SELECT CAST(l_shipdate AS DATE) AS day, ROUND(SUM(l_quantity * l_extendedprice), 2) AS total_sales
         FROM lineitem GROUP BY 1"""
 
+TEXT_STATS_SQL = r"""
+        SELECT CAST(SUM(len(string_split(text, chr(10)))) AS BIGINT) AS lines,
+               CAST(SUM(len(regexp_extract_all(text, '\S+'))) AS BIGINT) AS words,
+               CAST(SUM(length(regexp_replace(text, '\s', '', 'g'))) AS BIGINT) AS chars
+        FROM documents"""
+
 GAMES_SELECT = (
     "SELECT season, game_id, homeTeamCode, awayTeamCode, isPlayOffGame, homeTeamGoals, awayTeamGoals, "
     "lastGoalTime FROM games"
@@ -195,15 +201,12 @@ ORACLES: dict[str, str] = {
         GROUP BY word HAVING SUM(n) >= 150 ORDER BY length(word) DESC, n DESC, word LIMIT 1""",
     "avg_word_length": f"""WITH {WORDS_CTE} SELECT lang,
         ROUND(CAST(SUM(length(word) * n) AS DOUBLE) / SUM(n), 2) AS avg_len FROM counts GROUP BY lang""",
-    "text_line_stats": r"""
-        SELECT CAST(SUM(len(string_split(text, chr(10)))) AS BIGINT) AS lines,
-               CAST(SUM(len(regexp_extract_all(text, '\S+'))) AS BIGINT) AS words,
-               CAST(SUM(length(regexp_replace(text, '\s', '', 'g'))) AS BIGINT) AS chars
-        FROM documents""",
+    "text_line_stats": TEXT_STATS_SQL,
     "words_of_length": f"WITH {RAW_TOKENS_CTE} SELECT CAST(COUNT(*) AS BIGINT) AS n FROM raw WHERE length(word) = 6",
     "most_common_word_of_length": f"""WITH {RAW_TOKENS_CTE} SELECT word, CAST(COUNT(*) AS BIGINT) AS n FROM raw
         WHERE length(word) = 6 GROUP BY word ORDER BY n DESC, word LIMIT 1""",
     "word_counts_from_text_files": f"WITH {WORDS_CTE} SELECT lang, word, n FROM counts",
+    "text_line_stats_from_files": TEXT_STATS_SQL,
     # numbers, distances
     "cube_root": "SELECT c_custkey, ROUND(cbrt(c_acctbal), 6) AS cube_root FROM customer",
     "haversine_km": f"""WITH {POINTS_CTE_SQL}

@@ -84,3 +84,15 @@ def test_leader_selected_in_plan(spark):
     df = spark.createDataFrame(rows, "pub string, year int, eu double, glob double")
     got = sorted(tuple(r) for r in summaries.leader_yearly_sales(df, "pub", "year", "eu", "glob", 2000, 2009).collect())
     assert got == [("P1", 2000, 5.0, 10.0), ("P1", 2001, 5.0, 10.0)]
+
+
+def test_cube_root_tolerance_checks(spark):
+    from tessera.functions.numeric import cube_root
+
+    # the reference's checks: x = y^3 for these y, root within 1e-6
+    ys = [2.0, 3.0, 2023.0, 1.0 / 42]
+    df = spark.createDataFrame([(y, y**3) for y in ys], "y double, x double")
+    for row in df.select("y", cube_root(F.col("x")).alias("r")).collect():
+        assert abs(row["r"] - row["y"]) < 1e-6
+    neg = spark.range(1).select(cube_root(F.lit(-27.0)).alias("r")).first()["r"]
+    assert abs(neg + 3.0) < 1e-12
