@@ -54,3 +54,12 @@ def test_scans_read_only_needed_columns(spark):
     m = re.search(r"ReadSchema: struct<([^>]*)>", plan)
     cols = m.group(1) if m else ""
     assert "l_comment" not in cols and "l_tax" not in cols and "l_quantity" in cols
+
+
+def test_spread_small_scan_only_for_small_inputs(spark):
+    from tessera.sources.tables import spread_small_scan
+
+    small = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    assert "RoundRobinPartitioning" in spread_small_scan(small)._jdf.queryExecution().executedPlan().toString()
+    big = spark.range(0, 1000, 1, 64)  # many partitions: left as it is
+    assert spread_small_scan(big) is big
