@@ -60,10 +60,17 @@ class StreamRun:
 
 
 def run_to_parquet(
-    agg: DataFrame, result_path: str, checkpoint_path: str, name: str | None = None, available_now: bool = True
+    agg: DataFrame,
+    result_path: str,
+    checkpoint_path: str,
+    name: str | None = None,
+    available_now: bool = True,
+    interval: str = "10 seconds",
 ) -> StreamRun:
     """Start ``agg`` in complete mode; every micro-batch overwrites
-    ``result_path`` with the full current table."""
+    ``result_path`` with the full current table. ``available_now`` processes
+    what is there and stops; otherwise the query keeps running and checks
+    for new files every ``interval`` until stopped."""
 
     def write_batch(batch: DataFrame, _epoch: int) -> None:
         batch.write.mode("overwrite").parquet(result_path)
@@ -75,7 +82,7 @@ def run_to_parquet(
     )
     if name:
         writer = writer.queryName(name)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return StreamRun(writer.start(), result_path, checkpoint_path)
 
 

@@ -94,3 +94,34 @@ def test_inferred_csv_schema(spark):
     path = _write_text(spark, "csv-infer", "A,B,C\n1,2.5,x\n3,4.0,y")
     df = read_csv(spark, path, infer_schema=True)
     assert [f.dataType.simpleString() for f in df.schema.fields] == ["int", "double", "string"]
+
+
+def test_live_stream_updates_and_stops_by_name(spark):
+    from tessera.streaming.best_days import daily_sales, read_csv_stream, run_to_parquet, stop_query_by_name
+
+    schema = "d TIMESTAMP_NTZ, q DOUBLE, p DOUBLE"
+    folder = scratch_path(spark, "live")
+
+    def drop(label, rows):
+        df = spark.createDataFrame(rows, "d string, q double, p double")
+        df.select(F.col("d").cast("timestamp_ntz").alias("d"), "q", "p").coalesce(1).write.option(
+            "header", "true"
+        ).csv(f"{folder}/{label}")
+
+    drop("a", [("2002-02-02 00:00:00", 2.0, 2.0)])
+    stream = read_csv_stream(spark, f"{folder}/*/", schema, max_files_per_trigger=1)
+    result = scratch_path(spark, "live-out")
+    run = run_to_parquet(
+        daily_sales(stream, "d", "q", "p"), result, scratch_path(spark, "live-state"),
+        name="live_best_days", available_now=False, interval="1 second",
+    )
+    try:
+        run.query.processAllAvailable()
+        assert [r["total_sales"] for r in spark.read.parquet(result).collect()] == [4.0]
+        drop("b", [("2002-02-02 00:00:00", 1.0, 1.0), ("2002-02-03 00:00:00", 5.0, 1.0)])
+        run.query.processAllAvailable()
+        got = sorted((str(r["day"]), r["total_sales"]) for r in spark.read.parquet(result).collect())
+        assert got == [("2002-02-02", 5.0), ("2002-02-03", 5.0)]
+    finally:
+        assert stop_query_by_name(spark, "live_best_days")
+    assert not run.query.isActive
