@@ -8,8 +8,10 @@ sequence is 7, 6, 5, 4, 3, 2, 2, ...).
 
 The loop is driven from the driver, but every round is Spark work: one
 K-Means fit, one aggregate that returns the anchor's cluster, and one
-aggregate over the members (count + max distance). Only scalars (cluster id,
-centre, radius, counts) reach the driver. Each round's members are written
+aggregate over the members (count + max distance). The anchor's row is
+fetched once; its cluster in each round comes from the fitted model's
+nearest-centre rule applied to that one vector. Only scalars (centre,
+radius, counts) reach the driver. Each round's members are written
 with ``checkpoint()`` to the shared checkpoint folder, which cuts the
 lineage so a lost executor recomputes one round, not the whole chain.
 """
@@ -20,6 +22,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,6 +66,7 @@ class RefineRound:
 class RefineResult:
     rounds: list[RefineRound]
     members: DataFrame  # final cluster (checkpointed)
+    anchor: dict  # the anchor's row (one row, fetched once)
 
 
 def kmeans_refine(
@@ -85,17 +89,20 @@ def kmeans_refine(
     # Round 1 reads the input as is (Spark ML persists what it fits on);
     # later rounds read the checkpointed members of the previous round.
     current = points.select(id_col, lat, lon, *[c for c in points.columns if c not in (id_col, lat, lon)])
+    anchor_row = current.filter(F.col(id_col) == anchor_id).limit(1).collect()
+    if not anchor_row:
+        raise ValueError(f"anchor {anchor_id!r} is not among the points")
+    anchor = anchor_row[0].asDict()
+    anchor_xy = Vectors.dense([float(anchor[lat]), float(anchor[lon])])
     n_current = current.count()
     rounds: list[RefineRound] = []
     k = start_k
     for r in range(1, max_rounds + 1):
         model = fit_kmeans(current, k, seed, lat, lon)
-        assigned = model.transform(_features(current, lat, lon)).withColumnRenamed("prediction", "_cluster")
-        anchor = assigned.filter(F.col(id_col) == anchor_id).select("_cluster").first()
-        if anchor is None:
-            raise ValueError(f"anchor {anchor_id!r} is not among the points")
-        cluster = int(anchor["_cluster"])
+        # the anchor's cluster: the model's nearest-centre rule on one vector
+        cluster = int(model.predict(anchor_xy))
         c_lat, c_lon = (float(v) for v in model.clusterCenters()[cluster])
+        assigned = model.transform(_features(current, lat, lon)).withColumnRenamed("prediction", "_cluster")
         members = assigned.filter(F.col("_cluster") == cluster).drop("features", "_cluster")
         members = members.checkpoint(eager=True)
         stats = members.agg(
@@ -109,7 +116,7 @@ def kmeans_refine(
         if radius <= max_radius_km or stalled:
             break
         k = max(k - 1, min_k)
-    return RefineResult(rounds, current)
+    return RefineResult(rounds, current, anchor)
 
 
 def rounds_frame(spark, result: RefineResult) -> DataFrame:

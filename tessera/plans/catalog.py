@@ -316,20 +316,18 @@ def q_kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.kmeans_assign(_points(spark, sf_dir), KMEANS["start_k"], KMEANS["seed"])
 
 
-def _refined(spark: SparkSession, sf_dir: str) -> tuple[clustering.RefineResult, DataFrame]:
-    points = _points(spark, sf_dir)
-    return clustering.kmeans_refine(points, standins.ANCHOR_ID, **KMEANS), points
+def _refined(spark: SparkSession, sf_dir: str) -> clustering.RefineResult:
+    return clustering.kmeans_refine(_points(spark, sf_dir), standins.ANCHOR_ID, **KMEANS)
 
 
 def q_kmeans_refine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result, _ = _refined(spark, sf_dir)
-    return clustering.rounds_frame(spark, result)
+    return clustering.rounds_frame(spark, _refined(spark, sf_dir))
 
 
 def q_kmeans_final_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result, points = _refined(spark, sf_dir)
-    anchor = points.filter(F.col("id") == standins.ANCHOR_ID).select("postal_code").first()
-    return clustering.final_counts(result.members, "postal_code", anchor["postal_code"])
+    """Members of the final cluster and those sharing the anchor's postal code."""
+    result = _refined(spark, sf_dir)
+    return clustering.final_counts(result.members, "postal_code", result.anchor["postal_code"])
 
 
 # --- file sources and the stream -----------------------------------------
