@@ -66,7 +66,9 @@ def q_games_from_shots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_games_from_shots_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    return league.games_from_shots_sql(spark, standins.shots(t.lineitem, t.orders, t.customer))
+    return league.games_from_shots_sql(
+        spark, standins.shot_events(t.lineitem), standins.game_facts(t.orders, t.customer)
+    )
 
 
 def q_playoff_records(spark: SparkSession, sf_dir: str) -> DataFrame:
