@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.geo import haversine_km
@@ -374,12 +374,16 @@ def q_scan_csv_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.daily_totals(retail, "day", "quantity", "price")
 
 
+def _stream_day() -> Column:
+    return standins.day_of(F.col("l_shipdate"))
+
+
 def q_stream_best_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem staged as ';' CSV files, consumed as a file stream one file
     per micro-batch; the final daily table of the stream."""
     path = _staged_lineitem_csv(spark, sf_dir)
     return stream_daily_sales(
-        spark, path, LINEITEM_SCHEMA, "l_shipdate", "l_quantity", "l_extendedprice", sep=";", max_files_per_trigger=STREAM_FILES_PER_TRIGGER
+        spark, path, LINEITEM_SCHEMA, _stream_day(), "l_quantity", "l_extendedprice", sep=";", max_files_per_trigger=STREAM_FILES_PER_TRIGGER
     )
 
 
@@ -391,7 +395,7 @@ def q_stream_top_days(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         path,
         LINEITEM_SCHEMA,
-        "l_shipdate",
+        _stream_day(),
         "l_quantity",
         "l_extendedprice",
         sep=";",

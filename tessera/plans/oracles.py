@@ -110,7 +110,7 @@ test AS (SELECT * FROM xy WHERE id * 7919 % 10007 % 100 >= 80),
 model AS (SELECT regr_slope(label, X) AS slope, regr_intercept(label, X) AS intercept FROM train)"""
 
 DAILY_SQL = """
-        SELECT CAST(l_shipdate AS DATE) AS day, ROUND(SUM(l_quantity * l_extendedprice), 2) AS total_sales
+        SELECT CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS day, ROUND(SUM(l_quantity * l_extendedprice), 2) AS total_sales
         FROM lineitem GROUP BY 1"""
 
 TEXT_STATS_SQL = r"""
@@ -159,7 +159,7 @@ ORACLES: dict[str, str] = {
     "value_frequency": """
         SELECT o_orderpriority, CAST(COUNT(*) AS BIGINT) AS n FROM orders GROUP BY 1""",
     "best_days": """
-        SELECT CAST(l_shipdate AS DATE) AS day, ROUND(SUM(l_quantity * l_extendedprice), 2) AS total_sales
+        SELECT CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS day, ROUND(SUM(l_quantity * l_extendedprice), 2) AS total_sales
         FROM lineitem GROUP BY 1 ORDER BY total_sales DESC, day ASC LIMIT 12""",
     "top_products_weighted": """
         SELECT l_partkey AS product,

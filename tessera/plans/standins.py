@@ -13,7 +13,7 @@ shots     one shot per ``lineitem`` row: game = order, season = order year,
 points    one point per customer near (61 N, 23 E); postal code = nation.
 weather   ``orders`` by order date; the measured value is the total price;
           a flag day is an order with status 'P'.
-retail    ``lineitem``: day = ship date, product = part key,
+retail    ``lineitem``: day = ship date (midnight timestamp), product = part key,
           sale = quantity * extended price.
 publisher ``lineitem`` -> ``supplier`` -> ``nation``: publisher = nation
           name, EU sales = extended price of returned lines (flag 'R'),
@@ -41,6 +41,12 @@ def year_start(year: int) -> Column:
     return F.lit(f"{year:04d}-01-01 00:00:00").cast("timestamp_ntz")
 
 
+def day_of(ts: Column) -> Column:
+    """The calendar day of a timestamp_ntz, kept as a midnight timestamp_ntz
+    (the type every date column of the supplied tables has)."""
+    return F.to_date(ts).cast("timestamp_ntz")
+
+
 def _event(returnflag: Column) -> Column:
     return F.when(returnflag == "R", "GOAL").when(returnflag == "A", "SHOT").otherwise("MISS")
 
@@ -112,7 +118,7 @@ def weather(orders: DataFrame) -> DataFrame:
 def retail(lineitem: DataFrame) -> DataFrame:
     """day, year, month, product, quantity, price per line."""
     return lineitem.select(
-        F.to_date("l_shipdate").alias("day"),
+        day_of(F.col("l_shipdate")).alias("day"),
         F.year("l_shipdate").alias("year"),
         F.month("l_shipdate").alias("month"),
         F.col("l_partkey").alias("product"),

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -45,9 +45,11 @@ def read_csv_stream(
     return reader.load(folder)
 
 
-def daily_sales(stream: DataFrame, day_col: str, quantity_col: str, price_col: str) -> DataFrame:
-    """Streaming aggregate: ``day``, ``total_sales`` (rounded to cents)."""
-    return stream.groupBy(F.to_date(F.col(day_col)).alias("day")).agg(
+def daily_sales(stream: DataFrame, day_col: str | Column, quantity_col: str, price_col: str) -> DataFrame:
+    """Streaming aggregate: ``day``, ``total_sales`` (rounded to cents).
+    ``day_col`` is a column name (its date is taken) or a day expression."""
+    day = day_col if isinstance(day_col, Column) else F.to_date(F.col(day_col))
+    return stream.groupBy(day.alias("day")).agg(
         F.round(F.sum(F.col(quantity_col) * F.col(price_col)), 2).alias("total_sales")
     )
 
@@ -90,7 +92,7 @@ def stream_daily_sales(
     spark: SparkSession,
     folder: str,
     schema: StructType | str,
-    day_col: str,
+    day_col: str | Column,
     quantity_col: str,
     price_col: str,
     sep: str = ",",
