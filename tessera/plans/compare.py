@@ -95,6 +95,12 @@ def compare(spark: SparkSession, sf_dir: str, name: str, query, sql: str, con=No
     else:
         report["spark_columns"] = s_cols
         report["oracle_columns"] = d_cols
+    if report["columns_match"]:
+        # pandas view (what a DataFrame-based hash would see): dtype kinds
+        s_pd = sdf.toPandas()
+        d_pd = con.sql(sql).df()
+        kinds = {c: (s_pd[c].dtype.kind, d_pd[c].dtype.kind) for c in s_cols}
+        report["pandas_kind_issues"] = [f"{c}: {a} vs {b}" for c, (a, b) in kinds.items() if a != b]
     report["ok"] = bool(
         report["columns_match"]
         and not type_issues
