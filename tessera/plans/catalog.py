@@ -54,6 +54,21 @@ LINEITEM_SCHEMA = (
 )
 
 
+# Staged copies of the supplied tables as CSV/text files stand in for the
+# files the reference reads; they are written once per session (keyed by
+# the checkpoint root, the table folder and the format) and then only read.
+_STAGED: dict[tuple[str, str, str], str] = {}
+
+
+def _staged(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], None]) -> str:
+    key = (checkpoint_root(spark), sf_dir, label)
+    if key not in _STAGED:
+        path = scratch_path(spark, label)
+        write(path)
+        _STAGED[key] = path
+    return _STAGED[key]
+
+
 def _games(t: Tables) -> DataFrame:
     return standins.games(t.lineitem, t.orders, t.customer)
 
@@ -341,21 +356,6 @@ def q_scan_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, ORDERS_SCHEMA)
 
 
-# Staged copies of the supplied tables as CSV/text files stand in for the
-# files the reference reads; they are written once per session (keyed by
-# the checkpoint root, the table folder and the format) and then only read.
-_STAGED: dict[tuple[str, str, str], str] = {}
-
-
-def _staged(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], None]) -> str:
-    key = (checkpoint_root(spark), sf_dir, label)
-    if key not in _STAGED:
-        path = scratch_path(spark, label)
-        write(path)
-        _STAGED[key] = path
-    return _STAGED[key]
-
-
 def _staged_lineitem_csv(spark: SparkSession, sf_dir: str, label: str = "lineitem-csv") -> str:
     lineitem = Tables(spark, sf_dir).lineitem
 
@@ -379,11 +379,19 @@ def _stream_day() -> Column:
 
 
 def q_stream_best_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem staged as ';' CSV files, consumed as a file stream one file
-    per micro-batch; the final daily table of the stream."""
+    """lineitem staged as ';' CSV files, consumed as a file stream
+    (``STREAM_FILES_PER_TRIGGER`` files per micro-batch); the final daily
+    table of the stream."""
     path = _staged_lineitem_csv(spark, sf_dir)
     return stream_daily_sales(
-        spark, path, LINEITEM_SCHEMA, _stream_day(), "l_quantity", "l_extendedprice", sep=";", max_files_per_trigger=STREAM_FILES_PER_TRIGGER
+        spark,
+        path,
+        LINEITEM_SCHEMA,
+        _stream_day(),
+        "l_quantity",
+        "l_extendedprice",
+        sep=";",
+        max_files_per_trigger=STREAM_FILES_PER_TRIGGER,
     )
 
 
