@@ -76,10 +76,12 @@ def _games(t: Tables) -> DataFrame:
 # --- league tables -------------------------------------------------------
 
 def q_games_from_shots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per game: goals per side and last goal time (shots aggregated before the join)."""
     return _games(Tables(spark, sf_dir))
 
 
 def q_games_from_shots_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The game table as Spark SQL over DataFrame parameters."""
     t = Tables(spark, sf_dir)
     return league.games_from_shots_sql(
         spark, standins.shot_events(t.lineitem), standins.game_facts(t.orders, t.customer)
@@ -87,40 +89,49 @@ def q_games_from_shots_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_playoff_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Games, wins and losses per team and playoff season."""
     return league.playoff_records(_games(Tables(spark, sf_dir)))
 
 
 def q_best_team_per_season(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Team with most playoff wins per season (tie: smaller code)."""
     return league.best_team_per_season(q_playoff_records(spark, sf_dir))
 
 
 def q_best_team_2022(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best playoff team of the lookup season."""
     return league.team_season(q_best_team_per_season(spark, sf_dir), LOOKUP_SEASON)
 
 
 def q_season_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regular-season table: games, wins, losses, goals, points."""
     return league.season_points(_games(Tables(spark, sf_dir)))
 
 
 def q_worst_team_per_season(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Team(s) with fewest regular-season points per season (ties kept)."""
     return league.worst_team_per_season(q_season_points(spark, sf_dir))
 
 
 def q_worst_team_2022(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Worst regular-season team(s) of the lookup season."""
     return league.team_season(q_worst_team_per_season(spark, sf_dir), LOOKUP_SEASON)
 
 
 # --- summaries and top-k -------------------------------------------------
 
 def q_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of orders."""
     return summaries.row_count(Tables(spark, sf_dir).orders)
 
 
 def q_global_min_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Smallest and largest order total."""
     return summaries.global_min_max(Tables(spark, sf_dir).orders, "o_totalprice", "o_totalprice")
 
 
 def q_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First five orders by key."""
     return summaries.first_rows(Tables(spark, sf_dir).orders, ["o_orderkey"], 5)
 
 
@@ -129,24 +140,29 @@ def _weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_yearly_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per year: min and max order total, newest first."""
     return summaries.yearly_extremes(_weather(spark, sf_dir), "date", "value", "value", ("min_value", "max_value"))
 
 
 def q_yearly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per year: min, max, entries and mean order total."""
     return summaries.yearly_summary(
         _weather(spark, sf_dir), "date", "value", "value", "value", ("min_value", "max_value", "entries", "avg_value")
     )
 
 
 def q_year_point_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four single-year figures in one scan."""
     return summaries.year_point_lookups(_weather(spark, sf_dir), "date", "value", "value", "value", **LOOKUP_YEARS)
 
 
 def q_top_flagged_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Year with most flagged days (status 'P')."""
     return summaries.top_flagged_year(_weather(spark, sf_dir), "date", F.col("flag") == "Yes")
 
 
 def q_value_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per priority."""
     return summaries.value_frequency(Tables(spark, sf_dir).orders, "o_orderpriority")
 
 
@@ -155,10 +171,12 @@ def _retail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_best_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve best ship days by quantity * price."""
     return summaries.best_days(_retail(spark, sf_dir), "day", "quantity", "price", 12)
 
 
 def q_top_products_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top eight parts of one year, January counted twice."""
     # The year is also stated as a ship-date range so that it reaches the scan.
     lineitem = Tables(spark, sf_dir).lineitem.filter(
         (F.col("l_shipdate") >= standins.year_start(TOP_PRODUCTS_YEAR))
@@ -170,6 +188,7 @@ def q_top_products_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_sales_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order totals per year."""
     orders = Tables(spark, sf_dir).orders
     totals = summaries.yearly_totals(
         orders.select(F.year("o_orderdate").alias("year"), F.col("o_totalprice").alias("amount")), "year", "amount"
@@ -178,10 +197,12 @@ def q_sales_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_best_sales_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Year with the largest order total."""
     return summaries.best_year(q_sales_by_year(spark, sf_dir))
 
 
 def q_leader_yearly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leading nation by returned-line sales over a year range, and its yearly sales."""
     t = Tables(spark, sf_dir)
     first, last = LEADER_YEARS
     sales = standins.publisher_sales(t.lineitem, t.supplier, t.nation, first, last)
@@ -189,6 +210,7 @@ def q_leader_yearly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_sum_of_cubes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum of the cubes of line numbers."""
     return summaries.sum_of_cubes(Tables(spark, sf_dir).lineitem, "l_linenumber")
 
 
@@ -201,40 +223,49 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_word_counts_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Occurrences of each valid word per language (en, de)."""
     rules = {code: LANGUAGE_RULES[code] for code in WORD_LANGS}
     return words.word_counts_by_lang(_documents(spark, sf_dir), rules)
 
 
 def q_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten most common English words."""
     return words.top_words(q_word_counts_by_lang(spark, sf_dir), WORD_LANGS[0], TOP_WORDS_K)
 
 
 def q_top_words_of_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five most common five-letter words of the second language."""
     k, length = TOP_LENGTH_WORDS
     return words.top_words(q_word_counts_by_lang(spark, sf_dir), WORD_LANGS[1], k, length=length)
 
 
 def q_longest_frequent_word(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Longest word seen at least 150 times over both languages."""
     return words.longest_frequent_word(q_word_counts_by_lang(spark, sf_dir), MIN_WORD_COUNT)
 
 
 def q_avg_word_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean word length per language, weighted by occurrences."""
     return words.avg_word_length(q_word_counts_by_lang(spark, sf_dir))
 
 
 def q_text_line_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, white-space separated words and non-white-space characters of all documents."""
     return words.text_stats(_documents(spark, sf_dir))
 
 
 def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Occurrences of every raw white-space token."""
     return words.raw_word_counts(_documents(spark, sf_dir))
 
 
 def q_words_of_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of six-character raw tokens."""
     return words.words_of_length(_documents(spark, sf_dir), RAW_WORD_LENGTH)
 
 
 def q_most_common_word_of_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Most common six-character raw token."""
     return words.most_common_word_of_length(_documents(spark, sf_dir), RAW_WORD_LENGTH)
 
 
@@ -269,6 +300,7 @@ def q_text_line_stats_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- numbers and distances -------------------------------------------------
 
 def q_cube_root(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cube root of each customer's account balance."""
     customer = Tables(spark, sf_dir).customer
     return customer.select("c_custkey", F.round(cube_root(F.col("c_acctbal")), 6).alias("cube_root"))
 
@@ -278,6 +310,7 @@ def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_haversine_km(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Great-circle distance of each point to (61 N, 23 E)."""
     lat0, lon0 = REFERENCE_POINT
     d = haversine_km(F.col("latitude_wgs84"), F.col("longitude_wgs84"), lat0, lon0)
     return _points(spark, sf_dir).select("id", F.round(d, 6).alias("distance_km"))
@@ -300,27 +333,32 @@ def _fitted(spark: SparkSession, sf_dir: str):
 
 
 def q_hash_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train/test sizes of the repeatable id-hash split."""
     return regression.split_counts(Tables(spark, sf_dir).customer, F.col("c_custkey"), TRAIN_PCT)
 
 
 def q_linreg_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slope and intercept of price on quantity (train part)."""
     model, test = _fitted(spark, sf_dir)
     return regression.coefficients_frame(model, test, 4)
 
 
 def q_linreg_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Root mean squared error on the test part."""
     model, test = _fitted(spark, sf_dir)
     out = regression.rmse_frame(regression.predict(model, test, ["X"]))
     return out.select(F.round("rmse", 4).alias("rmse"))
 
 
 def q_linreg_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions for the test part."""
     model, test = _fitted(spark, sf_dir)
     pred = regression.predict(model, test, ["X"])
     return pred.select("id", "X", "label", F.round("prediction", 2).alias("prediction"))
 
 
 def q_linreg_predict_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions for four new quantities."""
     model, _ = _fitted(spark, sf_dir)
     new_x = spark.createDataFrame([(x,) for x in NEW_X_VALUES], "X double")
     pred = regression.predict(model, new_x, ["X"])
@@ -330,6 +368,7 @@ def q_linreg_predict_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- clustering (iterative: no SQL oracle) ---------------------------------
 
 def q_kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-Means (k=7) cluster of every point."""
     return clustering.kmeans_assign(_points(spark, sf_dir), KMEANS["start_k"], KMEANS["seed"])
 
 
@@ -338,6 +377,7 @@ def _refined(spark: SparkSession, sf_dir: str) -> clustering.RefineResult:
 
 
 def q_kmeans_refine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rounds of the shrinking K-Means refinement around the anchor."""
     return clustering.rounds_frame(spark, _refined(spark, sf_dir))
 
 
