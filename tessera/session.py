@@ -15,10 +15,17 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tessera") -> SparkSession:
-    """A local session configured like the tests and the bench expect."""
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tessera", event_log_dir: str | None = None
+) -> SparkSession:
+    """A local session configured like the tests and the bench expect.
+    With ``event_log_dir`` Spark writes its event log there (stage and task
+    times for ``scripts/stage_times.py``; the web UI stays off)."""
+    builder = SparkSession.builder
+    if event_log_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
