@@ -177,6 +177,8 @@ def leader_yearly_sales(
     The leader is a top-1 over groups (``TakeOrderedAndProject``) and its
     year columns are unpivoted into rows. Nothing is fetched to the driver
     and the input is not scanned twice."""
+    if last_year < first_year:
+        raise ValueError(f"empty year range {first_year}..{last_year}")
     years = list(range(first_year, last_year + 1))
     y = F.col(year_col)
     aggs = [F.sum(lead_col).alias("_lead_sum")]

@@ -77,6 +77,10 @@ def run_to_parquet(
     def write_batch(batch: DataFrame, _epoch: int) -> None:
         batch.write.mode("overwrite").parquet(result_path)
 
+    # An empty table until the first micro-batch; "ignore" keeps the result
+    # of an earlier run when a query resumes from its checkpoint.
+    agg.sparkSession.createDataFrame([], agg.schema).write.mode("ignore").parquet(result_path)
+
     writer = (
         agg.writeStream.outputMode("complete")
         .foreachBatch(write_batch)

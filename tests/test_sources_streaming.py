@@ -125,3 +125,10 @@ def test_live_stream_updates_and_stops_by_name(spark):
     finally:
         assert stop_query_by_name(spark, "live_best_days")
     assert not run.query.isActive
+
+
+def test_stream_over_empty_folder_gives_empty_table(spark):
+    folder = scratch_path(spark, "stream-empty")
+    spark.createDataFrame([], "d string").write.text(folder)  # folder exists, holds no CSV rows
+    out = stream_daily_sales(spark, folder, "d TIMESTAMP_NTZ, q DOUBLE, p DOUBLE", "d", "q", "p")
+    assert out.count() == 0 and out.columns == ["day", "total_sales"]

@@ -96,3 +96,11 @@ def test_cube_root_tolerance_checks(spark):
         assert abs(row["r"] - row["y"]) < 1e-6
     neg = spark.range(1).select(cube_root(F.lit(-27.0)).alias("r")).first()["r"]
     assert abs(neg + 3.0) < 1e-12
+
+
+def test_leader_rejects_empty_year_range(spark):
+    import pytest
+
+    df = spark.createDataFrame([("P", 2000, 1.0, 1.0)], "pub string, year int, eu double, glob double")
+    with pytest.raises(ValueError):
+        summaries.leader_yearly_sales(df, "pub", "year", "eu", "glob", 2005, 2000)
