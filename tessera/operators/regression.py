@@ -3,8 +3,9 @@
 ``randomSplit`` depends on the partitioning of its input, so for results
 that must repeat (and match a SQL oracle) rows are split by an integer hash
 of an id: ``id * 7919 % 10007 % 100 < train_pct``. Fitting uses the normal
-equations (one distributed aggregate of the feature statistics), so it
-scales with the rows, not with a driver-side copy of them.
+equations (two distributed tree aggregates: feature statistics, then the
+weighted Gram matrix), so it scales with the rows, not with a driver-side
+copy of them.
 """
 
 from __future__ import annotations
@@ -30,8 +31,9 @@ def split_bucket(id_col: Column) -> Column:
 
 
 def hash_split(df: DataFrame, id_col: Column, train_pct: int = 80) -> tuple[DataFrame, DataFrame]:
-    """(train, test) by the id bucket: about ``train_pct`` percent train."""
-    in_train = split_bucket(id_col) < train_pct
+    """(train, test) by the id bucket: about ``train_pct`` percent train.
+    Every row lands in exactly one part (a NULL id goes to test)."""
+    in_train = F.coalesce(split_bucket(id_col) < train_pct, F.lit(False))
     return df.filter(in_train), df.filter(~in_train)
 
 

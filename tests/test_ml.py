@@ -101,3 +101,10 @@ def test_split_bucket_has_no_overflow_and_matches_formula(spark):
     assert got == expected
     big = spark.createDataFrame([(2**62,)], "k long").select(regression.split_bucket(F.col("k")).alias("b"))
     assert 0 <= big.first()["b"] < 100
+
+
+def test_hash_split_keeps_every_row(spark):
+    df = spark.createDataFrame([(i,) for i in range(50)] + [(None,)], "k long")
+    train, test = regression.hash_split(df, F.col("k"))
+    assert train.count() + test.count() == 51
+    assert test.filter(F.col("k").isNull()).count() == 1
