@@ -7,6 +7,7 @@ The SQL twin of every query is in ``tessera.plans.oracles``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,9 +40,9 @@ REFERENCE_POINT = (61.0, 23.0)  # (lat, lon) for the distance query
 TRAIN_PCT = 80
 NEW_X_VALUES = (-1.5, 2.5, 8.5, 31.4)
 KMEANS = {"start_k": 7, "min_k": 2, "max_radius_km": 3.0, "seed": 1}
-STREAM_FILE_ROWS = 25_000  # rows per staged CSV file
+STREAM_FILE_ROWS = 250_000  # rows per staged CSV file (tens of MB)
 STREAM_TOP_K = 6  # rows of the live view
-STREAM_FILES_PER_TRIGGER = 8  # files per micro-batch (bounded batch size)
+STREAM_TARGET_BATCHES = 8  # micro-batches per full pass, whatever the data size
 
 ORDERS_SCHEMA = (
     "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
@@ -396,6 +397,9 @@ def q_scan_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, ORDERS_SCHEMA)
 
 
+_STAGED_ROWS: dict[str, int] = {}
+
+
 def _staged_lineitem_csv(spark: SparkSession, sf_dir: str, label: str = "lineitem-csv") -> str:
     lineitem = Tables(spark, sf_dir).lineitem
 
@@ -403,10 +407,20 @@ def _staged_lineitem_csv(spark: SparkSession, sf_dir: str, label: str = "lineite
         lineitem.write.option("sep", ";").option("header", "true").option(
             "maxRecordsPerFile", STREAM_FILE_ROWS
         ).csv(path)
+        _STAGED_ROWS[path] = lineitem.count()
 
     return _staged(spark, sf_dir, label, write)
 
 
+def _files_per_trigger(path: str) -> int:
+    """Files per micro-batch so that a full pass takes about
+    ``STREAM_TARGET_BATCHES`` batches: the batch size grows with the data
+    (millions of files at scale are not read a few at a time), while small
+    inputs still go through several batches."""
+    n_files = math.ceil(_STAGED_ROWS.get(path, STREAM_FILE_ROWS) / STREAM_FILE_ROWS)
+    return max(1, math.ceil(n_files / STREAM_TARGET_BATCHES))
+
+
 def q_scan_csv_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem -> CSV (';', header) -> read back with a schema -> daily totals."""
     path = _staged_lineitem_csv(spark, sf_dir)
@@ -419,9 +433,8 @@ def _stream_day() -> Column:
 
 
 def q_stream_best_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem staged as ';' CSV files, consumed as a file stream
-    (``STREAM_FILES_PER_TRIGGER`` files per micro-batch); the final daily
-    table of the stream."""
+    """lineitem staged as ';' CSV files, consumed as a file stream in about
+    ``STREAM_TARGET_BATCHES`` micro-batches; the final daily table."""
     path = _staged_lineitem_csv(spark, sf_dir)
     return stream_daily_sales(
         spark,
@@ -431,7 +444,7 @@ def q_stream_best_days(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_quantity",
         "l_extendedprice",
         sep=";",
-        max_files_per_trigger=STREAM_FILES_PER_TRIGGER,
+        max_files_per_trigger=_files_per_trigger(path),
     )
 
 
@@ -447,7 +460,7 @@ def q_stream_top_days(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_quantity",
         "l_extendedprice",
         sep=";",
-        max_files_per_trigger=STREAM_FILES_PER_TRIGGER,
+        max_files_per_trigger=_files_per_trigger(path),
         top_k=STREAM_TOP_K,
     )
 
