@@ -151,3 +151,80 @@ def test_text_stats_match_python(spark):
     toks = sum(len(t.split()) for t in texts)
     chars = sum(len(re.sub(r"\s", "", t)) for t in texts)
     assert (row["lines"], row["words"], row["chars"]) == (lines, toks, chars)
+
+
+def _random_sales(seed=5, n=3000):
+    import datetime as dt
+
+    rnd = random.Random(seed)
+    base = dt.date(2001, 1, 1)
+    rows = []
+    for i in range(n):
+        day = base + dt.timedelta(days=rnd.randint(0, 3 * 365))
+        qty = float(rnd.randint(1, 9))
+        price = rnd.choice([1.0, 2.5, 10.0, 12.25, 40.0])  # few values -> many ties
+        rows.append((i, day, day.year, day.month, f"P{rnd.randint(0, 30):02d}", rnd.choice(["N1", "N2", "N3"]), qty, price,
+                     rnd.choice(["Yes", "No"]), rnd.choice(["Yes", "No"])))
+    schema = ("id long, day date, year int, month int, product string, pub string, q double, p double, "
+              "fog string, fogheavy string")
+    return rows, schema
+
+
+def test_summaries_match_python(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.operators import summaries
+
+    rows, schema = _random_sales()
+    df = spark.createDataFrame(rows, schema)
+
+    # yearly summary (min/max/count/mean of q)
+    by_year = defaultdict(list)
+    for r in rows:
+        by_year[r[2]].append(r[6])
+    got = {r["year"]: (r["min_temperature"], r["max_temperature"], r["entries"], r["avg_windspeed"])
+           for r in summaries.yearly_summary(df, "day", "q", "q", "q").collect()}
+    assert got == {y: (min(v), max(v), len(v), round(sum(v) / len(v), 2)) for y, v in by_year.items()}
+
+    # flagged year: fog = 'Yes' whatever fogheavy says; tie -> earlier year
+    fog = Counter(r[2] for r in rows if r[8] == "Yes")
+    best = sorted(fog.items(), key=lambda kv: (-kv[1], kv[0]))[0]
+    got = summaries.top_flagged_year(df, "day", F.col("fog") == "Yes").first()
+    assert (got["year"], got["n"]) == best
+
+    # value frequency
+    got = {r["product"]: r["n"] for r in summaries.value_frequency(df, "product").collect()}
+    assert got == dict(Counter(r[4] for r in rows))
+
+    # best days: sum q*p per day, top 12, tie -> earlier day
+    per_day = defaultdict(float)
+    for r in rows:
+        per_day[r[1]] += r[6] * r[7]
+    expected = sorted(((d, round(v, 2)) for d, v in per_day.items()), key=lambda kv: (-kv[1], kv[0]))[:12]
+    got = [(r["day"], r["total_sales"]) for r in summaries.best_days(df, "day", "q", "p", 12).collect()]
+    assert got == expected
+
+    # top products of 2002 with January counted twice, tie -> smaller product
+    per_prod = defaultdict(float)
+    for r in rows:
+        if r[2] == 2002:
+            per_prod[r[4]] += r[6] * r[7] * (2 if r[3] == 1 else 1)
+    expected = sorted(((k, round(v, 2)) for k, v in per_prod.items()), key=lambda kv: (-kv[1], kv[0]))[:8]
+    got = [(r["product"], r["total_sales"]) for r in
+           summaries.top_products_weighted(df, "product", "year", "month", "q", "p", 2002).collect()]
+    assert got == expected
+
+    # leader over 2001-2002 by sum(q), then its yearly sums of q and p
+    lead = defaultdict(float)
+    for r in rows:
+        if 2001 <= r[2] <= 2002:
+            lead[r[5]] += r[6]
+    leader = sorted(lead.items(), key=lambda kv: (-round(kv[1], 2), kv[0]))[0][0]
+    yearly = defaultdict(lambda: [0.0, 0.0])
+    for r in rows:
+        if r[5] == leader and 2001 <= r[2] <= 2002:
+            yearly[r[2]][0] += r[6]
+            yearly[r[2]][1] += r[7]
+    expected = sorted((leader, y, round(a, 2), round(b, 2)) for y, (a, b) in yearly.items())
+    got = sorted(tuple(r) for r in summaries.leader_yearly_sales(df, "pub", "year", "q", "p", 2001, 2002).collect())
+    assert got == expected
