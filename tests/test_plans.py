@@ -63,3 +63,15 @@ def test_spread_small_scan_only_for_small_inputs(spark):
     assert "RoundRobinPartitioning" in spread_small_scan(small)._jdf.queryExecution().executedPlan().toString()
     big = spark.range(0, 1000, 1, 64)  # many partitions: left as it is
     assert spread_small_scan(big) is big
+
+
+def test_read_table_with_schema_and_columns_prunes_scan(spark):
+    from tessera.sources.tables import read_table
+
+    schema = "l_orderkey BIGINT, l_quantity DOUBLE, l_extendedprice DOUBLE, l_shipdate TIMESTAMP_NTZ"
+    df = read_table(spark, SF_SMALL, "lineitem", schema=schema, columns=["l_orderkey", "l_quantity"])
+    assert df.columns == ["l_orderkey", "l_quantity"]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    m = re.search(r"ReadSchema: struct<([^>]*)>", plan)
+    assert m and m.group(1) == "l_orderkey:bigint,l_quantity:double"
+    assert df.count() > 0
