@@ -75,3 +75,33 @@ def test_read_table_with_schema_and_columns_prunes_scan(spark):
     m = re.search(r"ReadSchema: struct<([^>]*)>", plan)
     assert m and m.group(1) == "l_orderkey:bigint,l_quantity:double"
     assert df.count() > 0
+
+
+def test_hot_game_is_combined_map_side(spark):
+    """One game holds a third of all shots: partial aggregation collapses it
+    in every map partition before the exchange, and the totals stay exact."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from tessera.operators import league
+
+    rnd = random.Random(3)
+    rows = []
+    for i in range(30000):
+        gid = 0 if i % 3 == 0 else rnd.randint(1, 2000)
+        rows.append((2020, gid, "H", "A", 0, rnd.randint(1, 3600), rnd.choice(["HOME", "AWAY"]), rnd.choice(["GOAL", "SHOT"])))
+    shots = spark.createDataFrame(
+        rows,
+        "season int, game_id int, homeTeamCode string, awayTeamCode string, isPlayOffGame int, "
+        "time int, team string, event string",
+    ).repartition(8)
+    games = league.games_from_shots(shots)
+    games.write.format("noop").mode("overwrite").save()
+    plan = games._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"HashAggregate\(keys=\[[^\]]*\], functions=\[partial_", plan)
+    hot = games.filter(F.col("game_id") == 0).first()
+    hot_rows = [r for r in rows if r[1] == 0]
+    assert hot["homeTeamGoals"] == sum(1 for r in hot_rows if r[6] == "HOME" and r[7] == "GOAL")
+    assert hot["lastGoalTime"] == max(r[5] for r in hot_rows if r[7] == "GOAL")
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
