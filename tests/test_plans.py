@@ -144,3 +144,21 @@ def test_hot_customer_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_word_is_combined_map_side(spark):
+    """'the' is a third of all tokens: the word count combines it on the map
+    side (partial aggregation) and the count is exact."""
+    from pyspark.sql import functions as F
+
+    from tessera.functions.text import ENGLISH
+    from tessera.operators import words
+
+    docs = spark.createDataFrame(
+        [("en", " ".join(["the", f"w{i % 97}", f"v{i % 89}"] * 50)) for i in range(400)], "lang string, text string"
+    ).repartition(8)
+    counts = words.word_counts_by_lang(docs, {"en": ENGLISH})
+    counts.write.format("noop").mode("overwrite").save()
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"HashAggregate\(keys=\[[^\]]*\], functions=\[partial_count", plan)
+    assert counts.filter(F.col("word") == "the").first()["n"] == 400 * 50
