@@ -9,7 +9,12 @@ live in a checkpoint folder under the shared ``spark.checkpoint.dir``, so a
 restarted query resumes where it stopped.
 
 The state holds one row per distinct day and has no expiry; a watermark is
-not used because the totals are over all time.
+not used because the totals are over all time. The aggregate is partial +
+final like a batch aggregate, so a day holding a large share of the rows is
+combined in each task before the state update. The number of state
+partitions is ``spark.sql.shuffle.partitions`` at the first start and is
+kept in the checkpoint (AQE does not change it): size it for the cluster
+before a query's first run.
 """
 
 from __future__ import annotations
