@@ -162,3 +162,20 @@ def test_hot_word_is_combined_map_side(spark):
     plan = counts._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"HashAggregate\(keys=\[[^\]]*\], functions=\[partial_count", plan)
     assert counts.filter(F.col("word") == "the").first()["n"] == 400 * 50
+
+
+TOP_K_KEYS = {
+    "first_rows", "best_days", "top_products_weighted", "top_flagged_year", "best_sales_year",
+    "leader_yearly_sales", "top_words", "top_words_of_length", "longest_frequent_word",
+    "most_common_word_of_length", "stream_top_days",
+}
+
+
+@pytest.mark.parametrize(
+    "name", sorted(k for k in oracle_sql() if not k.startswith("stream_"))
+)
+def test_limits_only_in_top_k_reports(spark, name):
+    """Every other query reads its tables whole: no limit in its plan."""
+    plan = queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    has_limit = "GlobalLimit" in plan or "LocalLimit" in plan
+    assert has_limit == (name in TOP_K_KEYS), name
