@@ -179,3 +179,16 @@ def test_limits_only_in_top_k_reports(spark, name):
     plan = queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     has_limit = "GlobalLimit" in plan or "LocalLimit" in plan
     assert has_limit == (name in TOP_K_KEYS), name
+
+
+# Results built from a model fitted on the tables (the fit is the table work).
+MODEL_DERIVED = {"linreg_coefficients", "linreg_predict_new", "kmeans_refine"}
+
+
+@pytest.mark.parametrize("name", sorted(k for k in queries() if not k.startswith("stream_") and not k.startswith("kmeans")))
+def test_every_query_scans_the_tables(spark, name):
+    """The plan reads a supplied table (or a copy staged from one)."""
+    plan = queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    locations = re.findall(r"Location: \w+\(\d+ paths?\)\[([^\]]*)\]", plan)
+    reads = any(SF_SMALL in loc or "checkpoint" in loc or "tessera-ckpt" in loc for loc in locations)
+    assert reads or name in MODEL_DERIVED, name
