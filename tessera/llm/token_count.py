@@ -39,6 +39,7 @@ CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 512
 MEMO_UNITS = 400_000
 MISS_CHARS = 16_384
+GROUP_CHARS = 1_000_000
 
 UNSTABLE_BLANK = re.compile(r" (?:\s|\Z)")
 STABLE_BLANK = re.compile(r" (?=\S)")
@@ -138,18 +139,25 @@ class TokenCounter:
         return [start + a for a, _ in self.tokenizer.encode(text[start:end], add_special_tokens=False).offsets]
 
 
-def count_column(text: Column, tokenizer_json: Broadcast, limit: int, **sizes: int) -> Column:
+def count_column(text: Column, tokenizer_json: Broadcast, limit: int, **options: int) -> Column:
     """A struct of n_bytes, n_tokens and over_limit (more than ``limit`` tokens)."""
 
     @F.arrow_udf("n_bytes long, n_tokens long, over_limit boolean")
     def counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        counter = TokenCounter(tokenizer_json.value, **sizes)
+        counter = TokenCounter(tokenizer_json.value, **options)
         for batch in batches:
-            raw = batch.to_pylist()
-            n = np.array(counter.counts([str(b, "utf-8", "replace") for b in raw]), np.int64)
+            sizes, tokens, group, held = [], [], [], 0
+            for b in batch:  # units of one group are in memory at a time, not those of a batch
+                text = str(b.as_py(), "utf-8", "replace")
+                sizes.append(len(b.as_py()))
+                group.append(text)
+                held += len(text)
+                if held > GROUP_CHARS:
+                    tokens += counter.counts(group)
+                    group, held = [], 0
+            n = np.array(tokens + counter.counts(group), np.int64)
             yield pa.StructArray.from_arrays(
-                [pa.array([len(b) for b in raw], pa.int64()), pa.array(n), pa.array(n > limit)],
-                names=["n_bytes", "n_tokens", "over_limit"],
+                [pa.array(sizes, pa.int64()), pa.array(n), pa.array(n > limit)], names=["n_bytes", "n_tokens", "over_limit"]
             )
 
     return counts(utf8(text))
