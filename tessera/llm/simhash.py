@@ -179,7 +179,9 @@ def near_duplicates(
     """One row per document: the id, fp and component_id (the smallest id of
     its component)."""
     prints = stored(docs.select(col(id_col).alias("id"), fingerprint_column(col(text_col), shingle).alias("fp")), "fingerprints")
-    return prints.join(_grouped(prints, bits), "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    # A plain join of two stored tables: AQE can split a fingerprint that a third of all rows share.
+    grouped = stored(_grouped(prints, bits), "grouped")
+    return prints.join(grouped, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def _grouped(prints: DataFrame, bits: int) -> DataFrame:
