@@ -58,7 +58,7 @@ CLOSES = {
     "th": (("td", "th"), ("tr", "table")),
     "option": (("option",), ("select",)),
 }
-CONTAINERS = frozenset("article blockquote body center dd details div figure html li main section td".split())
+CONTAINERS = frozenset("article blockquote body center div html main section".split())
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 TAG_REST = re.compile(r"""[^"'>]*""")
