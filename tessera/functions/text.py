@@ -17,13 +17,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The alphabets and word rules of the two article languages,
-# plus the German profile used for the second language of the supplied
-# ``documents`` table.
+# The alphabets and word rules of the two article languages and
+# of the other languages of the supplied ``documents`` table.
 ENGLISH_LETTERS = "abcdefghijklmnopqrstuvwxyz"
 FINNISH_EXTRA_LETTERS = "åäö"
 GERMAN_EXTRA_LETTERS = "äöüß"
+FRENCH_EXTRA_LETTERS = "àâæçèéêëîïôœùûüÿ"
+SPANISH_EXTRA_LETTERS = "áéíñóúü"
 ENGLISH_ONE_LETTER_WORDS = ("a", "i")
+FRENCH_ONE_LETTER_WORDS = ("a", "à", "y")
+SPANISH_ONE_LETTER_WORDS = ("a", "e", "o", "u", "y")
 FINNISH_BANNED_SUBSTRINGS = ("wiki",)
 
 WHITESPACE_RUN = r"\s+"
@@ -40,15 +43,13 @@ class WordRules:
     def disallowed_pattern(self) -> str:
         return f"[^{self.letters}\\s-]"
 
-    @property
-    def word_pattern(self) -> str:
-        return f"^[{self.letters}]+(-[{self.letters}]+)*$"
-
 
 ENGLISH = WordRules(ENGLISH_LETTERS, ENGLISH_ONE_LETTER_WORDS)
 FINNISH = WordRules(ENGLISH_LETTERS + FINNISH_EXTRA_LETTERS, (), FINNISH_BANNED_SUBSTRINGS)
 GERMAN = WordRules(ENGLISH_LETTERS + GERMAN_EXTRA_LETTERS, (), FINNISH_BANNED_SUBSTRINGS)
-LANGUAGE_RULES = {"en": ENGLISH, "fi": FINNISH, "de": GERMAN}
+FRENCH = WordRules(ENGLISH_LETTERS + FRENCH_EXTRA_LETTERS, FRENCH_ONE_LETTER_WORDS)
+SPANISH = WordRules(ENGLISH_LETTERS + SPANISH_EXTRA_LETTERS, SPANISH_ONE_LETTER_WORDS)
+LANGUAGE_RULES = {"en": ENGLISH, "fi": FINNISH, "de": GERMAN, "fr": FRENCH, "es": SPANISH}
 
 
 def strip_disallowed(text: Column, rules: WordRules) -> Column:
@@ -59,8 +60,10 @@ def strip_disallowed(text: Column, rules: WordRules) -> Column:
 
 
 def is_word(word: Column, rules: WordRules) -> Column:
-    """True when a cleaned token is a word under ``rules``."""
-    cond = word.rlike(rules.word_pattern)
+    """True when a cleaned token is a word under ``rules``. Only letters and
+    hyphens are left in it, so where the hyphens stand decides; no regular
+    expression, whose recursion a token of thousands of hyphens would exhaust."""
+    cond = (word != "") & ~word.startswith("-") & ~word.endswith("-") & ~word.contains("--")
     if rules.one_letter_words:
         cond = cond & ((F.length(word) > 1) | word.isin(*rules.one_letter_words))
     else:
@@ -83,7 +86,7 @@ def token_count(text: Column) -> Column:
 
 def line_count(text: Column, separator: str = "\n") -> Column:
     """Number of lines (pieces between separators, empty ones included)."""
-    return F.size(F.split(text, separator))
+    return F.length(text) - F.length(F.replace(text, F.lit(separator), F.lit(""))) + 1
 
 
 def non_space_length(text: Column) -> Column:

@@ -56,7 +56,7 @@ def word_counts_by_lang(
 ) -> DataFrame:
     """``lang``, ``word``, ``n``: occurrences of each word per language.
     Compute once and answer the word questions from it."""
-    rules = languages if languages is not None else {k: LANGUAGE_RULES[k] for k in ("en", "de")}
+    rules = languages if languages is not None else LANGUAGE_RULES
     return words_by_lang(docs, rules, text_col, lang_col).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -112,15 +112,16 @@ def raw_word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 def words_of_length(df: DataFrame, length: int, text_col: str = "text") -> DataFrame:
     """Number of raw tokens of exactly ``length`` characters (one row, ``n``)."""
-    return raw_tokens(df, text_col).filter(F.length("word") == length).agg(F.count(F.lit(1)).alias("n"))
+    fitting = F.filter(whitespace_split(F.col(text_col)), lambda w: F.length(w) == length)
+    return df.agg(F.coalesce(F.sum(F.size(fitting)), F.lit(0)).cast("bigint").alias("n"))
 
 
 def most_common_word_of_length(df: DataFrame, length: int, text_col: str = "text") -> DataFrame:
     """The most common raw token of ``length`` characters and its count;
     ties go to the alphabetically first token."""
+    fitting = F.filter(whitespace_split(F.col(text_col)), lambda w: F.length(w) == length)
     return (
-        raw_tokens(df, text_col)
-        .filter(F.length("word") == length)
+        df.select(F.explode(fitting).alias("word"))
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), F.asc("word"))

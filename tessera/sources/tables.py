@@ -43,31 +43,6 @@ def read_table(
     return df.select(*columns) if columns else df
 
 
-# Largest scan (in planned partitions) that ``spread_small_scan`` may
-# shuffle: at the default 128 MiB split size this bounds the extra exchange
-# to about 1 GiB of input, whatever the cluster size.
-SPREAD_MAX_SCAN_PARTITIONS = 8
-
-
-def spread_small_scan(df: DataFrame, max_scan_partitions: int = SPREAD_MAX_SCAN_PARTITIONS) -> DataFrame:
-    """Round-robin a *small* scan over all task slots.
-
-    A small table stored as one file with one row group lands on a single
-    task, which then does all per-row work (regex over whole texts) alone;
-    for CPU-heavy per-row work one bounded exchange pays for itself. The
-    exchange is added only when the scan plans at most
-    ``max_scan_partitions`` partitions (a proven bound on the bytes it
-    moves) and fewer than the task slots. Large inputs are returned
-    unchanged, so nothing extra is shuffled at scale. Column pruning still
-    applies below the exchange. The partition count comes from the planned
-    scan; no job runs."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    planned = df.rdd.getNumPartitions()
-    if planned > max_scan_partitions or planned >= slots:
-        return df
-    return df.repartition(slots)
-
-
 class Tables:
     """Attribute access to the tables of one folder: ``Tables(spark, d).lineitem``."""
 

@@ -60,3 +60,10 @@ def test_raw_word_length_questions(spark):
     assert words.words_of_length(docs, 6).first()["n"] == 5
     row = words.most_common_word_of_length(docs, 6).first()
     assert (row["word"], row["n"]) == ("action", 3)
+
+
+def test_a_token_of_fifty_thousand_hyphens_is_a_word(spark):
+    token = "-".join("a" * 50_001)
+    docs = spark.createDataFrame([(f"{token} x--y -z {token}-", "en"), ("à la mode", "fr"), ("y así", "es")], "text string, lang string")
+    got = {(r["lang"], r["word"]): r["n"] for r in words.word_counts_by_lang(docs).collect()}
+    assert got == {("en", token): 1, ("fr", "à"): 1, ("fr", "la"): 1, ("fr", "mode"): 1, ("es", "y"): 1, ("es", "así"): 1}
