@@ -19,32 +19,50 @@ lineage so a lost executor recomputes one round, not the whole chain.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.geo import haversine_km
+from tessera.functions.numeric import percent
 from tessera.session import checkpoint_root
 
 LAT, LON = "latitude_wgs84", "longitude_wgs84"
+PARTITIONS = 64  # of the canonical layout; a parameter, never derived from data or cores
 
 
 def _features(points: DataFrame, lat: str = LAT, lon: str = LON) -> DataFrame:
     return VectorAssembler(inputCols=[lat, lon], outputCol="features").transform(points)
 
 
+def canonical(points: DataFrame, id_col: str = "id", partitions: int = PARTITIONS) -> DataFrame:
+    """The points in one layout, whatever theirs is: dealt out by id over a fixed
+    number of partitions and sorted by id. The fit's random start and its sums
+    then see the same rows in the same places, so the clusters are a function of
+    the points, k, the seed and ``partitions``."""
+    return points.repartition(partitions, id_col).sortWithinPartitions(id_col)
+
+
 def fit_kmeans(points: DataFrame, k: int, seed: int = 1, lat: str = LAT, lon: str = LON) -> KMeansModel:
+    """K-Means on points in their canonical layout."""
     return KMeans(featuresCol="features", k=k, seed=seed).fit(_features(points, lat, lon))
 
 
 def kmeans_assign(
-    points: DataFrame, k: int = 7, seed: int = 1, id_col: str = "id", lat: str = LAT, lon: str = LON
+    points: DataFrame,
+    k: int = 7,
+    seed: int = 1,
+    id_col: str = "id",
+    lat: str = LAT,
+    lon: str = LON,
+    partitions: int = PARTITIONS,
 ) -> DataFrame:
     """``id``, ``cluster`` for every point (K-Means on latitude/longitude)."""
-    model = fit_kmeans(points, k, seed, lat, lon)
+    model = fit_kmeans(canonical(points, id_col, partitions), k, seed, lat, lon)
     return model.transform(_features(points, lat, lon)).select(
         F.col(id_col), F.col("prediction").alias("cluster")
     )
@@ -76,28 +94,29 @@ def kmeans_refine(
     min_k: int = 2,
     max_radius_km: float = 3.0,
     seed: int = 1,
-    max_rounds: int = 25,
     id_col: str = "id",
     lat: str = LAT,
     lon: str = LON,
+    partitions: int = PARTITIONS,
 ) -> RefineResult:
     """Shrink the anchor's cluster until its radius is at most
-    ``max_radius_km``. Stops early when ``max_rounds`` is reached or when a
-    round at ``min_k`` keeps every point (no further progress possible)."""
+    ``max_radius_km``, however many rounds it takes. A round at ``min_k`` that
+    keeps every point cannot progress and raises, as do an anchor id that is
+    missing and one that several points have."""
     spark = points.sparkSession
     checkpoint_root(spark)  # fail fast when no shared folder is configured
-    # Round 1 reads the input as is (Spark ML persists what it fits on);
-    # later rounds read the checkpointed members of the previous round.
-    current = points.select(id_col, lat, lon, *[c for c in points.columns if c not in (id_col, lat, lon)])
-    anchor_row = current.filter(F.col(id_col) == anchor_id).limit(1).collect()
-    if not anchor_row:
-        raise ValueError(f"anchor {anchor_id!r} is not among the points")
+    # The canonical points of a round are kept for its fit and its assignment;
+    # later rounds start from the checkpointed members of the previous one.
+    current = canonical(points, id_col, partitions).persist()
+    anchor_row = current.filter(F.col(id_col) == anchor_id).limit(2).collect()
+    if len(anchor_row) != 1:
+        raise ValueError(f"anchor {anchor_id!r} must be the id of exactly one point")
     anchor = anchor_row[0].asDict()
     anchor_xy = Vectors.dense([float(anchor[lat]), float(anchor[lon])])
     n_current = current.count()
     rounds: list[RefineRound] = []
     k = start_k
-    for r in range(1, max_rounds + 1):
+    for r in count(1):
         model = fit_kmeans(current, k, seed, lat, lon)
         # the anchor's cluster: the model's nearest-centre rule on one vector
         cluster = int(model.predict(anchor_xy))
@@ -111,12 +130,13 @@ def kmeans_refine(
         ).first()
         n_after, radius = int(stats["n"]), float(stats["radius"] or 0.0)
         rounds.append(RefineRound(r, k, n_current, n_after, cluster, c_lat, c_lon, radius))
-        stalled = k == min_k and n_after == n_current
-        current, n_current = members, n_after
-        if radius <= max_radius_km or stalled:
-            break
+        current.unpersist()
+        if radius <= max_radius_km:
+            return RefineResult(rounds, members, anchor)
+        if k == min_k and n_after == n_current:
+            raise RuntimeError(f"k = {k} keeps all {n_after} points at a radius of {radius:.3f} km")
+        current, n_current = canonical(members, id_col, partitions).persist(), n_after
         k = max(k - 1, min_k)
-    return RefineResult(rounds, current, anchor)
 
 
 def rounds_frame(spark, result: RefineResult) -> DataFrame:
@@ -133,6 +153,32 @@ def rounds_frame(spark, result: RefineResult) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def checks_frame(points: DataFrame, result: RefineResult, anchor_id, options: dict) -> DataFrame:
+    """What must hold, as one row: every point is assigned, none to a centre
+    that is not its nearest; each round starts from what the one before kept;
+    the anchor is a member, and the radius is within the limit."""
+    model = fit_kmeans(canonical(points), options["start_k"], options["seed"])
+    centers = [[float(v) for v in c] for c in model.clusterCenters()]
+
+    def distance(lat: float, lon: float) -> Column:
+        return (F.col(LAT) - lat) * (F.col(LAT) - lat) + (F.col(LON) - lon) * (F.col(LON) - lon)
+
+    distances = F.array(*[distance(*c) for c in centers])
+    assigned = model.transform(_features(points)).select("prediction", distances.alias("d"))
+    nearest = F.get("d", F.col("prediction")) <= F.array_min("d") + F.lit(1e-9)
+    chained = all(a.n_after == b.n_before for a, b in zip(result.rounds, result.rounds[1:], strict=False))
+    within = result.rounds[-1].radius_km <= options["max_radius_km"]
+    anchored = result.members.filter(F.col("id") == anchor_id).count() == 1
+    return assigned.agg(
+        F.lit(points.count()).cast("bigint").alias("points_in"),
+        F.count("prediction").alias("points_assigned"),
+        F.count_if(~nearest).alias("not_nearest"),
+        F.lit(chained).alias("rounds_chained"),
+        F.lit(anchored).alias("anchor_present"),
+        F.lit(within).alias("radius_within_limit"),
+    )
+
+
 def final_counts(members: DataFrame, postal_col: str, postal_code) -> DataFrame:
     """Members of the final cluster, those with one postal code, and their
     share in percent -- one pass, one row."""
@@ -141,5 +187,5 @@ def final_counts(members: DataFrame, postal_col: str, postal_code) -> DataFrame:
     return members.agg(
         total.alias("members"),
         in_code.alias("members_in_postal_code"),
-        F.round(F.lit(100.0) * in_code / F.nullif(total, F.lit(0)), 2).alias("share_pct"),
+        percent(in_code, total).alias("share_pct"),
     )

@@ -72,7 +72,8 @@ def test_refinement_reaches_radius_and_keeps_anchor(spark):
     assert last.radius_km <= 3.0
     assert result.members.filter(F.col("id") == 0).count() == 1
     ks = [r.k for r in result.rounds]
-    assert ks == list(range(7, 7 - len(ks), -1)) or ks[-1] >= 2
+    assert ks == [max(7 - i, 2) for i in range(len(ks))]
+    assert [r.n_before for r in result.rounds[1:]] == [r.n_after for r in result.rounds[:-1]]
     final = clustering.final_counts(result.members, "postal_code", 33720).first()
     assert final["members"] == last.n_after
     assert final["members_in_postal_code"] <= final["members"]
@@ -82,13 +83,35 @@ def test_refinement_continues_at_k2_until_radius(spark):
     # one long chain of points: k drops to 2 and stays there until <= limit
     rows = [(i, 61.0 + i * 0.01, 23.0, 1) for i in range(200)]
     points = spark.createDataFrame(rows, "id long, latitude_wgs84 double, longitude_wgs84 double, postal_code long")
-    result = clustering.kmeans_refine(points, 0, start_k=3, max_radius_km=3.0, seed=1, max_rounds=30)
+    result = clustering.kmeans_refine(points, 0, start_k=3, max_radius_km=3.0, seed=1)
     ks = [r.k for r in result.rounds]
     assert ks[:2] == [3, 2]
     assert result.rounds[-1].radius_km <= 3.0
     assert all(k >= 2 for k in ks)
 
 
+def test_refinement_does_not_depend_on_the_layout(spark):
+    points = _three_groups(spark)
+    runs = []
+    for n in (1, 3, 8, 16):
+        dealt = points.repartition(n, F.rand(n))
+        result = clustering.kmeans_refine(dealt, 0, start_k=7, max_radius_km=3.0, seed=1, partitions=8)
+        runs.append((result.rounds, sorted(r["id"] for r in result.members.collect())))
+        assigned = {r["id"]: r["cluster"] for r in clustering.kmeans_assign(dealt, 4, partitions=8).collect()}
+        runs[-1] += (assigned,)
+    assert all(r == runs[0] for r in runs[1:])
+
+
+def test_refinement_that_cannot_progress_raises(spark):
+    schema = "id long, latitude_wgs84 double, longitude_wgs84 double, postal_code long"
+    twins = spark.createDataFrame([(0, 61.0, 23.0, 1), (0, 62.0, 23.0, 1)], schema)
+    with pytest.raises(ValueError):
+        clustering.kmeans_refine(twins, 0)
+    same = spark.createDataFrame([(i, 61.0, 23.0, 1) for i in range(5)], schema)
+    with pytest.raises(RuntimeError):
+        clustering.kmeans_refine(same, 0, max_radius_km=-1.0)
+
+
 def test_split_bucket_has_no_overflow_and_matches_formula(spark):
     ids = [0, 1, 42, 10006, 10007, 123456789, 2**40 + 3, -5, -10008]
     df = spark.createDataFrame([(i,) for i in ids], "k long")
