@@ -15,6 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def csv_options(sep: str = ",", header: bool = True) -> dict[str, str]:
+    """Reader options with a schema, for batch and stream alike: the header is
+    checked against it, and malformed values fail the read rather than become NULL."""
+    return {"sep": sep, "header": str(header).lower(), "enforceSchema": "false", "mode": "FAILFAST"}
+
+
 def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -26,17 +32,12 @@ def read_csv(
     """CSV scan (comma or any delimiter). With a schema the header is checked
     against it; without one, ``infer_schema=True`` costs an extra pass over
     the files and is meant for exploration only."""
-    reader = spark.read.option("sep", sep).option("header", str(header).lower())
     if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", "false")
-        # ANSI-safe: malformed values fail the read rather than become NULL.
-        reader = reader.option("mode", "FAILFAST")
-    elif infer_schema:
-        reader = reader.option("inferSchema", "true")
-    return reader.csv(path)
+        return spark.read.schema(schema).options(**csv_options(sep, header)).csv(path)
+    return spark.read.options(sep=sep, header=header, inferSchema=infer_schema).csv(path)
 
 
-# Column layout of the game-sales file (declared order). ``Year`` is read as
+# Fixed value: the column layout of the game-sales file (declared order). ``Year`` is read as
 # text because the file holds 'N/A' years; ``typed_year`` turns it into an
 # integer with try_cast, so an ANSI session drops such rows in a year filter
 # instead of failing.

@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tessera.session import scratch_path
+from tessera.session import temporary_path
+from tessera.sources.files import csv_options
 
 
 def read_csv_stream(
@@ -38,13 +39,7 @@ def read_csv_stream(
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Streaming DataFrame over the CSV files of ``folder``."""
-    reader = (
-        spark.readStream.format("csv")
-        .schema(schema)
-        .option("sep", sep)
-        .option("header", str(header).lower())
-        .option("enforceSchema", "false")
-    )
+    reader = spark.readStream.format("csv").schema(schema).options(**csv_options(sep, header))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(folder)
@@ -59,6 +54,19 @@ def daily_sales(stream: DataFrame, day_col: str | Column, quantity_col: str, pri
     )
 
 
+BATCH_PREFIX = "batch"
+
+
+def read_result(spark: SparkSession, result_path: str) -> DataFrame:
+    """The table of the last batch that was written to its end."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(result_path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(path(result_path))]
+    batches = [n for n in names if n.startswith(BATCH_PREFIX) and fs.exists(path(f"{result_path}/{n}/_SUCCESS"))]
+    done = [int(n.removeprefix(BATCH_PREFIX)) for n in batches]
+    return spark.read.parquet(f"{result_path}/{BATCH_PREFIX}{max(done)}")
+
+
 @dataclass
 class StreamRun:
     query: StreamingQuery
@@ -74,17 +82,19 @@ def run_to_parquet(
     available_now: bool = True,
     interval: str = "10 seconds",
 ) -> StreamRun:
-    """Start ``agg`` in complete mode; every micro-batch overwrites
-    ``result_path`` with the full current table. ``available_now`` processes
+    """Start ``agg`` in complete mode; every micro-batch writes the full current
+    table to a folder of its own below ``result_path``, so ``read_result`` never
+    sees a half-written one. ``available_now`` processes
     what is there and stops; otherwise the query keeps running and checks
     for new files every ``interval`` until stopped."""
 
-    def write_batch(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(result_path)
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        # A replayed batch writes its own folder again; earlier ones stay as they are.
+        batch.write.mode("overwrite").parquet(f"{result_path}/{BATCH_PREFIX}{epoch}")
 
     # An empty table until the first micro-batch; "ignore" keeps the result
     # of an earlier run when a query resumes from its checkpoint.
-    agg.sparkSession.createDataFrame([], agg.schema).write.mode("ignore").parquet(result_path)
+    agg.sparkSession.createDataFrame([], agg.schema).write.mode("ignore").parquet(f"{result_path}/{BATCH_PREFIX}-1")
 
     writer = (
         agg.writeStream.outputMode("complete")
@@ -106,7 +116,7 @@ def stream_daily_sales(
     price_col: str,
     sep: str = ",",
     max_files_per_trigger: int | None = 1,
-    timeout_sec: float = 600.0,
+    timeout_sec: float | None = None,
     top_k: int | None = None,
     name: str | None = None,
     result_path: str | None = None,
@@ -118,23 +128,26 @@ def stream_daily_sales(
     itself keeps only the k best days (sorted, then limited, in complete
     mode: the live view is the true top, not the first rows to arrive).
     Passing the ``checkpoint_path`` (and ``result_path``) of an earlier run
-    resumes it: only files not yet seen are read, on top of the saved state."""
+    resumes it: only files not yet seen are read, on top of the saved state.
+    There is no time limit unless ``timeout_sec`` sets one."""
     stream = read_csv_stream(spark, folder, schema, sep, True, max_files_per_trigger)
     agg = daily_sales(stream, day_col, quantity_col, price_col)
     if top_k is not None:
         agg = top_days(agg, top_k)
     run = run_to_parquet(
         agg,
-        result_path or scratch_path(spark, "stream-result"),
-        checkpoint_path or scratch_path(spark, "stream-state"),
+        result_path or temporary_path(spark, "stream-result"),
+        checkpoint_path or temporary_path(spark, "stream-state"),
         name=name,
     )
-    if not run.query.awaitTermination(timeout_sec):
+    if timeout_sec is None:
+        run.query.awaitTermination()
+    elif not run.query.awaitTermination(timeout_sec):
         run.query.stop()
         raise TimeoutError(f"stream did not finish within {timeout_sec} s")
     if run.query.exception() is not None:
         raise RuntimeError(str(run.query.exception()))
-    return spark.read.parquet(run.result_path)
+    return read_result(spark, run.result_path)
 
 
 def top_days(table: DataFrame, k: int) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tessera.operators import summaries
 from tessera.session import scratch_path
 from tessera.sources.files import read_csv, read_game_sales, read_text_lines, write_csv
-from tessera.streaming.best_days import stream_daily_sales, top_days
+from tessera.streaming.best_days import read_result, stream_daily_sales, top_days
 
 
 def _write_text(spark, label, text):
@@ -117,10 +117,10 @@ def test_live_stream_updates_and_stops_by_name(spark):
     )
     try:
         run.query.processAllAvailable()
-        assert [r["total_sales"] for r in spark.read.parquet(result).collect()] == [4.0]
+        assert [r["total_sales"] for r in read_result(spark, result).collect()] == [4.0]
         drop("b", [("2002-02-02 00:00:00", 1.0, 1.0), ("2002-02-03 00:00:00", 5.0, 1.0)])
         run.query.processAllAvailable()
-        got = sorted((str(r["day"]), r["total_sales"]) for r in spark.read.parquet(result).collect())
+        got = sorted((str(r["day"]), r["total_sales"]) for r in read_result(spark, result).collect())
         assert got == [("2002-02-02", 5.0), ("2002-02-03", 5.0)]
     finally:
         assert stop_query_by_name(spark, "live_best_days")
@@ -132,3 +132,21 @@ def test_stream_over_empty_folder_gives_empty_table(spark):
     spark.createDataFrame([], "d string").write.text(folder)  # folder exists, holds no CSV rows
     out = stream_daily_sales(spark, folder, "d TIMESTAMP_NTZ, q DOUBLE, p DOUBLE", "d", "q", "p")
     assert out.count() == 0 and out.columns == ["day", "total_sales"]
+
+
+def test_malformed_values_fail_stream_and_batch_alike(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("q;p\n2;3.0\noops;5.0\n")
+    schema = "q DOUBLE, p DOUBLE"
+    with pytest.raises(Exception, match="(?i)malformed|oops"):
+        read_csv(spark, str(tmp_path / "in"), schema, sep=";").collect()
+    with pytest.raises(Exception, match="(?i)malformed|oops|terminated"):
+        stream_daily_sales(spark, str(tmp_path / "in"), schema, F.lit("2020-01-01").cast("date"), "q", "p", sep=";")
+
+
+def test_readers_see_the_last_whole_batch(spark, tmp_path):
+    result = str(tmp_path / "result")
+    spark.range(1).write.parquet(f"{result}/batch0")
+    spark.range(5).write.parquet(f"{result}/batch10")
+    (tmp_path / "result" / "batch11").mkdir()  # begun, not committed
+    assert read_result(spark, result).count() == 5
