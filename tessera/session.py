@@ -16,12 +16,20 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def local_session(
-    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tessera", event_log_dir: str | None = None
+    cores: int | str = "*",
+    shuffle_partitions: int = 8,
+    app: str = "tessera",
+    event_log_dir: str | None = None,
+    scratch_dir: str | None = None,
 ) -> SparkSession:
     """A local session configured like the tests and the bench expect.
     With ``event_log_dir`` Spark writes its event log there (stage and task
-    times for ``scripts/stage_times.py``; the web UI stays off)."""
+    times for ``scripts/stage_times.py``; the web UI stays off).
+    ``scratch_dir`` is the folder for checkpoints and staged copies; by default
+    a new folder below the system's temporary one."""
     builder = SparkSession.builder
+    if scratch_dir:
+        builder = builder.config(CHECKPOINT_CONF, scratch_dir)
     if event_log_dir:
         builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = (
@@ -34,6 +42,7 @@ def local_session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
@@ -85,3 +94,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unique folder path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def temporary_path(spark: SparkSession, label: str) -> str:
+    """A new path under the shared checkpoint folder; what is written there is
+    deleted when the driver's JVM ends."""
+    path = scratch_path(spark, label)
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return path
