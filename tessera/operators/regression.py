@@ -37,13 +37,6 @@ def hash_split(df: DataFrame, id_col: Column, train_pct: int = 80) -> tuple[Data
     return df.filter(in_train), df.filter(~in_train)
 
 
-def random_split(df: DataFrame, train_fraction: float = 0.8, seed: int = 1) -> tuple[DataFrame, DataFrame]:
-    """Spark's seeded ``randomSplit``. Its result depends on the input's
-    partitioning, so use ``hash_split`` where a result must repeat."""
-    train, test = df.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
-    return train, test
-
-
 def split_counts(df: DataFrame, id_col: Column, train_pct: int = 80) -> DataFrame:
     """Rows per part: ``split`` ('train'/'test'), ``n``."""
     part = F.when(split_bucket(id_col) < train_pct, "train").otherwise("test")

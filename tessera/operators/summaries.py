@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import cube
+
 
 def row_count(df: DataFrame) -> DataFrame:
     """Number of rows, as a one-row DataFrame (column ``n``)."""
@@ -219,4 +221,4 @@ def leader_yearly_sales(
 def sum_of_cubes(df: DataFrame, column: str) -> DataFrame:
     """Sum of x*x*x over a column, in 64-bit integers."""
     x = F.col(column).cast("bigint")
-    return df.agg(F.sum(x * x * x).alias("sum_of_cubes"))
+    return df.agg(F.sum(cube(x)).alias("sum_of_cubes"))

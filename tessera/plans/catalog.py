@@ -7,7 +7,6 @@ The SQL twin of every query is in ``tessera.plans.oracles``.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,9 +17,9 @@ from tessera.functions.numeric import cube_root
 from tessera.functions.text import LANGUAGE_RULES
 from tessera.operators import clustering, league, regression, summaries, words
 from tessera.plans import standins
-from tessera.session import checkpoint_root, scratch_path
+from tessera.session import checkpoint_root, temporary_path
 from tessera.sources.files import read_csv, read_text_by_language, read_text_lines, write_csv
-from tessera.sources.tables import Tables, spread_small_scan
+from tessera.sources.tables import Tables, read_table
 from tessera.streaming.best_days import stream_daily_sales
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,7 +30,7 @@ LOOKUP_YEARS = {"min_year": 1996, "max_year": 1998, "count_year": 2001, "mean_ye
 TOP_PRODUCTS_YEAR = 1997
 LEADER_YEARS = (1996, 1999)
 LOOKUP_SEASON = 2001
-WORD_LANGS = ("en", "de")
+WORD_LANGS = ("en", "de", "fr", "es")  # every language of the supplied documents
 TOP_WORDS_K = 10
 TOP_LENGTH_WORDS = (5, 5)  # (k, word length) for the second language
 MIN_WORD_COUNT = 150
@@ -42,7 +41,7 @@ NEW_X_VALUES = (-1.5, 2.5, 8.5, 31.4)
 KMEANS = {"start_k": 7, "min_k": 2, "max_radius_km": 3.0, "seed": 1}
 STREAM_FILE_ROWS = 250_000  # rows per staged CSV file (tens of MB)
 STREAM_TOP_K = 6  # rows of the live view
-STREAM_TARGET_BATCHES = 8  # micro-batches per full pass, whatever the data size
+STREAM_FILES_PER_TRIGGER = 8  # files of one micro-batch, on any input
 
 ORDERS_SCHEMA = (
     "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
@@ -64,14 +63,14 @@ _STAGED: dict[tuple[str, str, str], str] = {}
 def _staged(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], None]) -> str:
     key = (checkpoint_root(spark), sf_dir, label)
     if key not in _STAGED:
-        path = scratch_path(spark, label)
+        path = temporary_path(spark, label)
         write(path)
         _STAGED[key] = path
     return _STAGED[key]
 
 
-def _games(t: Tables) -> DataFrame:
-    return standins.games(t.lineitem, t.orders, t.customer)
+def _games(t: Tables, playoff: bool | None = None, season: int | None = None) -> DataFrame:
+    return standins.games(t.lineitem, t.orders, t.customer, playoff, season)
 
 
 # --- league tables -------------------------------------------------------
@@ -89,9 +88,15 @@ def q_games_from_shots_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_games_from_shot_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per game from the full shot log, grouped by its five game columns."""
+    t = Tables(spark, sf_dir)
+    return league.games_from_shots(standins.shots(t.lineitem, t.orders, t.customer))
+
+
 def q_playoff_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Games, wins and losses per team and playoff season."""
-    return league.playoff_records(_games(Tables(spark, sf_dir)))
+    return league.playoff_records(_games(Tables(spark, sf_dir), playoff=True))
 
 
 def q_best_team_per_season(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,14 +104,15 @@ def q_best_team_per_season(spark: SparkSession, sf_dir: str) -> DataFrame:
     return league.best_team_per_season(q_playoff_records(spark, sf_dir))
 
 
-def q_best_team_2022(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_best_team_of_season(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best playoff team of the lookup season."""
-    return league.team_season(q_best_team_per_season(spark, sf_dir), LOOKUP_SEASON)
+    games = _games(Tables(spark, sf_dir), playoff=True, season=LOOKUP_SEASON)
+    return league.team_season(league.best_team_per_season(league.playoff_records(games)), LOOKUP_SEASON)
 
 
 def q_season_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regular-season table: games, wins, losses, goals, points."""
-    return league.season_points(_games(Tables(spark, sf_dir)))
+    return league.season_points(_games(Tables(spark, sf_dir), playoff=False))
 
 
 def q_worst_team_per_season(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,9 +120,10 @@ def q_worst_team_per_season(spark: SparkSession, sf_dir: str) -> DataFrame:
     return league.worst_team_per_season(q_season_points(spark, sf_dir))
 
 
-def q_worst_team_2022(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_worst_team_of_season(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Worst regular-season team(s) of the lookup season."""
-    return league.team_season(q_worst_team_per_season(spark, sf_dir), LOOKUP_SEASON)
+    games = _games(Tables(spark, sf_dir), playoff=False, season=LOOKUP_SEASON)
+    return league.team_season(league.worst_team_per_season(league.season_points(games)), LOOKUP_SEASON)
 
 
 # --- summaries and top-k -------------------------------------------------
@@ -154,12 +161,15 @@ def q_yearly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_year_point_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four single-year figures in one scan."""
-    return summaries.year_point_lookups(_weather(spark, sf_dir), "date", "value", "value", "value", **LOOKUP_YEARS)
+    # Only the four years are read; the ranges reach the scan.
+    orders = Tables(spark, sf_dir).orders.filter(standins.in_years(F.col("o_orderdate"), LOOKUP_YEARS.values()))
+    return summaries.year_point_lookups(standins.weather(orders), "date", "value", "value", "value", **LOOKUP_YEARS)
 
 
 def q_top_flagged_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Year with most flagged days (status 'P')."""
-    return summaries.top_flagged_year(_weather(spark, sf_dir), "date", F.col("flag") == "Yes")
+    flagged = standins.weather(Tables(spark, sf_dir).orders.filter(F.col("o_orderstatus") == "P"))
+    return summaries.top_flagged_year(flagged, "date", F.col("flag") == "Yes")
 
 
 def q_value_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,13 +228,11 @@ def q_sum_of_cubes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- words ---------------------------------------------------------------
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Text work is CPU-heavy per row: spread a small single-file scan over
-    # all task slots (a no-op for many-file inputs).
-    return spread_small_scan(Tables(spark, sf_dir).documents)
+    return Tables(spark, sf_dir).documents
 
 
 def q_word_counts_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Occurrences of each valid word per language (en, de)."""
+    """Occurrences of each valid word per language."""
     rules = {code: LANGUAGE_RULES[code] for code in WORD_LANGS}
     return words.word_counts_by_lang(_documents(spark, sf_dir), rules)
 
@@ -241,7 +249,7 @@ def q_top_words_of_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_longest_frequent_word(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Longest word seen at least 150 times over both languages."""
+    """Longest word seen at least 150 times over all languages."""
     return words.longest_frequent_word(q_word_counts_by_lang(spark, sf_dir), MIN_WORD_COUNT)
 
 
@@ -286,7 +294,7 @@ def q_word_counts_from_text_files(spark: SparkSession, sf_dir: str) -> DataFrame
     with one glob per language (one row per line) and counted."""
     root = _staged_documents_text(spark, sf_dir)
     globs = {code: f"{root}/lang={code}/*.txt" for code in WORD_LANGS}
-    lines = spread_small_scan(read_text_by_language(spark, globs))
+    lines = read_text_by_language(spark, globs)
     rules = {code: LANGUAGE_RULES[code] for code in WORD_LANGS}
     return words.word_counts_by_lang(lines, rules)
 
@@ -295,7 +303,7 @@ def q_text_line_stats_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines, words and non-white-space characters of the staged text files
     read as a folder of text (one row per line)."""
     root = _staged_documents_text(spark, sf_dir)
-    return words.text_stats(spread_small_scan(read_text_lines(spark, f"{root}/*/*.txt", "text")))
+    return words.text_stats(read_text_lines(spark, f"{root}/*/*.txt", "text"))
 
 
 # --- numbers and distances -------------------------------------------------
@@ -358,6 +366,14 @@ def q_linreg_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pred.select("id", "X", "label", F.round("prediction", 2).alias("prediction"))
 
 
+def q_linreg_predict_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions for the training part."""
+    train, _ = regression.hash_split(_xy(spark, sf_dir), F.col("id"), TRAIN_PCT)
+    model, _ = _fitted(spark, sf_dir)
+    pred = regression.predict(model, train, ["X"])
+    return pred.select("id", "X", "label", F.round("prediction", 2).alias("prediction"))
+
+
 def q_linreg_predict_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions for four new quantities."""
     model, _ = _fitted(spark, sf_dir)
@@ -388,8 +404,20 @@ def q_kmeans_final_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.final_counts(result.members, "postal_code", result.anchor["postal_code"])
 
 
+def q_kmeans_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of an assignment and of a refinement, as one row."""
+    points = _points(spark, sf_dir)
+    return clustering.checks_frame(points, _refined(spark, sf_dir), standins.ANCHOR_ID, KMEANS)
+
+
 # --- file sources and the stream -----------------------------------------
 
+def q_scan_imposed_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders read with an imposed schema and an early column list."""
+    columns = ["o_orderkey", "o_orderdate", "o_totalprice"]
+    return read_table(spark, sf_dir, "orders", ORDERS_SCHEMA, columns)
+
+
 def q_scan_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders -> CSV (comma, header) -> read back with an explicit schema."""
     orders = Tables(spark, sf_dir).orders
@@ -397,9 +425,6 @@ def q_scan_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, ORDERS_SCHEMA)
 
 
-_STAGED_ROWS: dict[str, int] = {}
-
-
 def _staged_lineitem_csv(spark: SparkSession, sf_dir: str, label: str = "lineitem-csv") -> str:
     lineitem = Tables(spark, sf_dir).lineitem
 
@@ -407,20 +432,10 @@ def _staged_lineitem_csv(spark: SparkSession, sf_dir: str, label: str = "lineite
         lineitem.write.option("sep", ";").option("header", "true").option(
             "maxRecordsPerFile", STREAM_FILE_ROWS
         ).csv(path)
-        _STAGED_ROWS[path] = lineitem.count()
 
     return _staged(spark, sf_dir, label, write)
 
 
-def _files_per_trigger(path: str) -> int:
-    """Files per micro-batch so that a full pass takes about
-    ``STREAM_TARGET_BATCHES`` batches: the batch size grows with the data
-    (millions of files at scale are not read a few at a time), while small
-    inputs still go through several batches."""
-    n_files = math.ceil(_STAGED_ROWS.get(path, STREAM_FILE_ROWS) / STREAM_FILE_ROWS)
-    return max(1, math.ceil(n_files / STREAM_TARGET_BATCHES))
-
-
 def q_scan_csv_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem -> CSV (';', header) -> read back with a schema -> daily totals."""
     path = _staged_lineitem_csv(spark, sf_dir)
@@ -433,8 +448,8 @@ def _stream_day() -> Column:
 
 
 def q_stream_best_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem staged as ';' CSV files, consumed as a file stream in about
-    ``STREAM_TARGET_BATCHES`` micro-batches; the final daily table."""
+    """lineitem staged as ';' CSV files, consumed as a file stream of
+    ``STREAM_FILES_PER_TRIGGER`` files a micro-batch; the final daily table."""
     path = _staged_lineitem_csv(spark, sf_dir)
     return stream_daily_sales(
         spark,
@@ -444,7 +459,7 @@ def q_stream_best_days(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_quantity",
         "l_extendedprice",
         sep=";",
-        max_files_per_trigger=_files_per_trigger(path),
+        max_files_per_trigger=STREAM_FILES_PER_TRIGGER,
     )
 
 
@@ -460,7 +475,7 @@ def q_stream_top_days(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_quantity",
         "l_extendedprice",
         sep=";",
-        max_files_per_trigger=_files_per_trigger(path),
+        max_files_per_trigger=STREAM_FILES_PER_TRIGGER,
         top_k=STREAM_TOP_K,
     )
 
@@ -469,12 +484,13 @@ QUERIES: dict[str, Query] = {
     # league
     "games_from_shots": q_games_from_shots,
     "games_from_shots_sql": q_games_from_shots_sql,
+    "games_from_shot_log": q_games_from_shot_log,
     "playoff_records": q_playoff_records,
     "best_team_per_season": q_best_team_per_season,
-    "best_team_2022": q_best_team_2022,
+    "best_team_of_season": q_best_team_of_season,
     "season_points": q_season_points,
     "worst_team_per_season": q_worst_team_per_season,
-    "worst_team_2022": q_worst_team_2022,
+    "worst_team_of_season": q_worst_team_of_season,
     # summaries
     "row_count": q_row_count,
     "global_min_max": q_global_min_max,
@@ -510,12 +526,15 @@ QUERIES: dict[str, Query] = {
     "linreg_coefficients": q_linreg_coefficients,
     "linreg_rmse": q_linreg_rmse,
     "linreg_predict": q_linreg_predict,
+    "linreg_predict_train": q_linreg_predict_train,
     "linreg_predict_new": q_linreg_predict_new,
     # clustering
     "kmeans_assign": q_kmeans_assign,
     "kmeans_refine": q_kmeans_refine,
     "kmeans_final_counts": q_kmeans_final_counts,
+    "kmeans_checks": q_kmeans_checks,
     # sources and streaming
+    "scan_imposed_schema": q_scan_imposed_schema,
     "scan_csv_roundtrip": q_scan_csv_roundtrip,
     "scan_csv_semicolon": q_scan_csv_semicolon,
     "stream_best_days": q_stream_best_days,

@@ -76,8 +76,10 @@ tokens AS (
            CASE lang
              WHEN 'en' THEN regexp_replace(lower(text), '[^abcdefghijklmnopqrstuvwxyz\s-]', '', 'g')
              WHEN 'de' THEN regexp_replace(lower(text), '[^abcdefghijklmnopqrstuvwxyzäöüß\s-]', '', 'g')
+             WHEN 'fr' THEN regexp_replace(lower(text), '[^abcdefghijklmnopqrstuvwxyzàâæçèéêëîïôœùûüÿ\s-]', '', 'g')
+             WHEN 'es' THEN regexp_replace(lower(text), '[^abcdefghijklmnopqrstuvwxyzáéíñóúü\s-]', '', 'g')
            END, '\s+')) AS word
-  FROM documents WHERE lang IN ('en', 'de')
+  FROM documents WHERE lang IN ('en', 'de', 'fr', 'es')
 ),
 counts AS (
   SELECT lang, word, CAST(COUNT(*) AS BIGINT) AS n FROM tokens
@@ -85,6 +87,10 @@ counts AS (
          AND (length(word) > 1 OR word IN ('a', 'i')))
      OR (lang = 'de' AND regexp_full_match(word, '[a-zäöüß]+(-[a-zäöüß]+)*')
          AND length(word) > 1 AND NOT contains(word, 'wiki'))
+     OR (lang = 'fr' AND regexp_full_match(word, '[a-zàâæçèéêëîïôœùûüÿ]+(-[a-zàâæçèéêëîïôœùûüÿ]+)*')
+         AND (length(word) > 1 OR word IN ('a', 'à', 'y')))
+     OR (lang = 'es' AND regexp_full_match(word, '[a-záéíñóúü]+(-[a-záéíñóúü]+)*')
+         AND (length(word) > 1 OR word IN ('a', 'e', 'o', 'u', 'y')))
   GROUP BY lang, word
 )"""
 
@@ -127,13 +133,21 @@ GAMES_SELECT = (
 ORACLES: dict[str, str] = {
     # league
     "games_from_shots": f"WITH {GAMES_CTE} {GAMES_SELECT}",
+    "games_from_shot_log": f"WITH {GAMES_CTE} {GAMES_SELECT}",
+    "linreg_predict_train": f"""WITH {XY_CTE}
+        SELECT id, X, label, ROUND(slope * X + intercept, 2) AS prediction FROM train, model""",
+    "kmeans_checks": """
+        SELECT COUNT(*) AS points_in, COUNT(*) AS points_assigned, CAST(0 AS BIGINT) AS not_nearest,
+               TRUE AS rounds_chained, COUNT(*) FILTER (WHERE c_custkey = 42) = 1 AS anchor_present, TRUE AS radius_within_limit
+        FROM customer""",
+    "scan_imposed_schema": "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders",
     "games_from_shots_sql": f"WITH {GAMES_CTE} {GAMES_SELECT}",
     "playoff_records": f"WITH {PLAYOFF_CTE} SELECT * FROM playoff",
     "best_team_per_season": f"WITH {PLAYOFF_CTE} SELECT * FROM best",
-    "best_team_2022": f"WITH {PLAYOFF_CTE} SELECT * FROM best WHERE season = 2001",
+    "best_team_of_season": f"WITH {PLAYOFF_CTE} SELECT * FROM best WHERE season = 2001",
     "season_points": f"WITH {POINTS_CTE} SELECT * FROM regular",
     "worst_team_per_season": f"WITH {POINTS_CTE} SELECT * FROM worst",
-    "worst_team_2022": f"WITH {POINTS_CTE} SELECT * FROM worst WHERE season = 2001",
+    "worst_team_of_season": f"WITH {POINTS_CTE} SELECT * FROM worst WHERE season = 2001",
     # summaries
     "row_count": "SELECT CAST(COUNT(*) AS BIGINT) AS n FROM orders",
     "global_min_max": "SELECT MIN(o_totalprice) AS min_value, MAX(o_totalprice) AS max_value FROM orders",

@@ -22,6 +22,9 @@ publisher ``lineitem`` -> ``supplier`` -> ``nation``: publisher = nation
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +44,12 @@ def year_start(year: int) -> Column:
     return F.lit(f"{year:04d}-01-01 00:00:00").cast("timestamp_ntz")
 
 
+def in_years(ts: Column, years: Iterable[int]) -> Column:
+    """Whether a timestamp_ntz lies in one of the years, as ranges that reach the scan."""
+    ranges = [(ts >= year_start(y)) & (ts < year_start(y + 1)) for y in sorted(set(years))]
+    return reduce(lambda a, b: a | b, ranges)
+
+
 def day_of(ts: Column) -> Column:
     """The calendar day of a timestamp_ntz, kept as a midnight timestamp_ntz
     (the type every date column of the supplied tables has)."""
@@ -81,10 +90,21 @@ def shots(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFr
     )
 
 
-def games(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
+def games(
+    lineitem: DataFrame, orders: DataFrame, customer: DataFrame, playoff: bool | None = None, season: int | None = None
+) -> DataFrame:
     """Game table from the supplied tables, aggregating shots *before* the
     join: lineitem shrinks to one row per order on the map side, and only
-    those rows meet the order/customer attributes."""
+    those rows meet the order/customer attributes. ``playoff`` and ``season``
+    filter the orders at their scan, and a semi-join then keeps the shots of
+    those games only, before they are aggregated."""
+    if playoff is not None or season is not None:
+        if playoff is not None:
+            orders = orders.filter(F.col("o_orderstatus") == "P" if playoff else ~F.col("o_orderstatus").eqNullSafe("P"))
+        if season is not None:
+            orders = orders.filter(in_years(F.col("o_orderdate"), [season]))
+        wanted = orders.select(F.col("o_orderkey").alias("l_orderkey"))
+        lineitem = lineitem.join(wanted, "l_orderkey", "left_semi")
     per_game = games_from_shots(shot_events(lineitem), keys=["game_id"])
     return game_facts(orders, customer).join(per_game, "game_id").select(
         *GAME_KEYS, "homeTeamGoals", "awayTeamGoals", "lastGoalTime"
