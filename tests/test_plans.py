@@ -4,7 +4,9 @@ import re
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from __spark_entry__ import queries
+from tessera.plans.catalog import QUERIES
+from tessera.plans.oracles import ORACLES
 from tests.conftest import SF_SMALL
 
 
@@ -14,7 +16,7 @@ def _plan(spark, name):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(oracle_sql()) - {"stream_best_days", "stream_top_days"}))
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - {"stream_best_days", "stream_top_days"}))
 def test_no_python_evaluation(spark, name):
     plan = _plan(spark, name)
     assert "EvalPython" not in plan and "PythonUDF" not in plan
@@ -56,13 +58,21 @@ def test_scans_read_only_needed_columns(spark):
     assert "l_comment" not in cols and "l_tax" not in cols and "l_quantity" in cols
 
 
-def test_spread_small_scan_only_for_small_inputs(spark):
-    from tessera.sources.tables import spread_small_scan
+def test_filters_of_lookups_reach_the_scan(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # else the plan's text is cut
+    for name in ("playoff_records", "best_team_per_season", "best_team_of_season", "top_flagged_year"):
+        assert "EqualTo(o_orderstatus,P)" in _plan(spark, name), name
+    for name in ("best_team_of_season", "worst_team_of_season"):
+        plan = _plan(spark, name)
+        assert "GreaterThanOrEqual(o_orderdate,2001-01-01T00:00)" in plan and "LessThan(o_orderdate,2002-01-01T00:00)" in plan
+    assert "1998-01-01T00:00" in _plan(spark, "year_point_lookups").split("PushedFilters")[1]
+
 
-    small = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    assert "RoundRobinPartitioning" in spread_small_scan(small)._jdf.queryExecution().executedPlan().toString()
-    big = spark.range(0, 1000, 1, 64)  # many partitions: left as it is
-    assert spread_small_scan(big) is big
+def test_only_wanted_games_shots_are_aggregated(spark):
+    for name in ("playoff_records", "best_team_of_season", "worst_team_of_season"):
+        plan = queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        below = plan[plan.rindex("Aggregate [l_orderkey") if "Aggregate [l_orderkey" in plan else plan.rindex("Aggregate [game_id") :]
+        assert "Join LeftSemi" in below, plan
 
 
 def test_read_table_with_schema_and_columns_prunes_scan(spark):
@@ -172,7 +182,7 @@ TOP_K_KEYS = {
 
 
 @pytest.mark.parametrize(
-    "name", sorted(k for k in oracle_sql() if not k.startswith("stream_"))
+    "name", sorted(k for k in ORACLES if not k.startswith("stream_"))
 )
 def test_limits_only_in_top_k_reports(spark, name):
     """Every other query reads its tables whole: no limit in its plan."""
@@ -185,7 +195,7 @@ def test_limits_only_in_top_k_reports(spark, name):
 MODEL_DERIVED = {"linreg_coefficients", "linreg_predict_new", "kmeans_refine"}
 
 
-@pytest.mark.parametrize("name", sorted(k for k in queries() if not k.startswith("stream_") and not k.startswith("kmeans")))
+@pytest.mark.parametrize("name", sorted(k for k in QUERIES if not k.startswith("stream_") and not k.startswith("kmeans")))
 def test_every_query_scans_the_tables(spark, name):
     """The plan reads a supplied table (or a copy staged from one)."""
     plan = queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
