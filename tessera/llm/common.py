@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import ensure_local_checkpoint_dir, scratch_path
+from tessera.session import ensure_local_checkpoint_dir, temporary_path
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -57,11 +57,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def shared_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder, deleted when the driver's JVM ends."""
     ensure_local_checkpoint_dir(spark)
-    path = scratch_path(spark, label)
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return path
+    return temporary_path(spark, label)
 
 
 def broadcast_file(spark: SparkSession, path: str, max_bytes: int = MAX_BROADCAST_BYTES):
