@@ -179,30 +179,35 @@ def near_duplicates(
     """One row per document: the id, fp and component_id (the smallest id of
     its component)."""
     prints = stored(docs.select(col(id_col).alias("id"), fingerprint_column(col(text_col), shingle).alias("fp")), "fingerprints")
+    nodes = stored(prints.groupBy("fp").agg(F.min("id").alias("id")), "nodes")
     # A plain join of two stored tables: AQE can split a fingerprint that a third of all rows share.
-    grouped = stored(_grouped(prints, bits), "grouped")
+    grouped = stored(_grouped(nodes, bits).select("fp", "component_id"), "grouped")
     return prints.join(grouped, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-def _grouped(prints: DataFrame, bits: int) -> DataFrame:
-    """(fp, component_id, first_fp) of the distinct fingerprints of (id, fp);
-    first_fp is the fingerprint of the document that a component keeps."""
-    nodes = stored(prints.groupBy("fp").agg(F.min("id").alias("id")), "nodes")
-    linked = components(links(nodes, bits)).join(nodes.withColumnRenamed("fp", "node"), "node")
+def _grouped(nodes: DataFrame, bits: int) -> DataFrame:
+    """The distinct fingerprints (fp, with the smallest id of each) with
+    component_id and first_fp, the fingerprint of the document that a component
+    keeps. Further columns of ``nodes`` stay."""
+    linked = components(links(nodes, bits)).join(nodes.select(F.col("fp").alias("node"), "id"), "node")
     first = linked.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "node")).alias("first"))
     named = linked.select("node", "root").join(first, "root").select(F.col("node").alias("fp"), "first")
     return nodes.join(named, "fp", "left").select(
-        "fp",
+        *nodes.columns,
         F.when(F.col("first").isNull(), F.col("id")).otherwise(F.col("first.id")).alias("component_id"),
         F.coalesce("first.node", "fp").alias("first_fp"),
     )
 
 
 def keep_one(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE_WORDS, bits: int = MAX_BITS) -> DataFrame:
-    """One whole document of each component: that with the smallest id."""
-    fp = fresh(docs, "fp")
-    marked = stored(docs.withColumn(fp, fingerprint_column(col(text_col), shingle)), "marked")
-    prints = marked.select(col(id_col).alias("id"), col(fp).alias("fp"))
-    kept = _grouped(prints, bits).where("fp = first_fp").select(F.col("fp").alias("kept_fp"), F.col("component_id").alias("kept_id"))
-    same = (marked[fp] == kept["kept_fp"]) & marked[id_col].eqNullSafe(kept["kept_id"])
-    return marked.join(kept, same, "left_semi").dropDuplicates([id_col, fp]).drop(fp)
+    """One whole document of each component: that with the smallest id. Each row
+    is numbered when it is stored; only numbers go through the grouping, and the
+    texts are shuffled once, for the last join, by their unique numbers."""
+    fp, row = fresh(docs, "fp"), fresh(docs, "row")
+    numbered = docs.withColumn(fp, fingerprint_column(col(text_col), shingle)).withColumn(row, F.monotonically_increasing_id())
+    marked = stored(numbered, "marked")
+    prints = marked.select(col(id_col).alias("id"), col(fp).alias("fp"), col(row).alias("row"))
+    first_row = F.coalesce(F.min_by("row", "id"), F.min("row"))
+    nodes = stored(prints.groupBy("fp").agg(F.min("id").alias("id"), first_row.alias("row")), "nodes")
+    kept = _grouped(nodes, bits).where("fp = first_fp").select(F.col("row").alias(row))
+    return marked.join(kept, row, "left_semi").drop(fp, row)
