@@ -3,7 +3,10 @@
 A page is read into a tree (unclosed paragraphs, list items and cells end where
 the next begins). Subtrees that hold no article text are set aside first:
 scripts, styles, forms, menus, headers, footers, sidebars, and elements whose
-role, class or id names a notice, an advert, a sidebar, comments and so on. Every
+role, class or id names a notice, an advert, a sidebar, comments and so on. A
+form, class or id alone is weak evidence, so its text is read, and the element
+stays when it holds the page's principal article or main, or (unless it is named
+as comments, a notice or an advert) most of the text outside links. Every
 block of text gives points, for its length and its commas, to the element that
 contains it, and smaller shares to two more ancestors. An element's score is its
 points discounted by link density (the share of its characters inside links).
@@ -39,6 +42,7 @@ ASIDE_TAGS = frozenset(
     "script style noscript template iframe object embed svg math canvas audio video head title nav footer aside form button select"
     " textarea input dialog menu noembed noframes xmp fieldset".split()
 )
+FORM_TAGS = frozenset("form fieldset".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 ASIDE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox adsense banner sponsor sponsored promo promotion cookie cookies"
@@ -46,6 +50,15 @@ ASIDE_NAMES = frozenset(
     " nav navbar navigation menu breadcrumb breadcrumbs footer masthead comment comments commentlist disqus replies reply"
     " respond related recommended recommendations widget pagination pager login toolbar skip".split()
 )
+# Of those, names of parts that can be longer than the article beside them.
+PART_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement advertising adbox adsense sponsor sponsored cookie cookies consent gdpr newsletter"
+    " comment comments commentlist disqus replies reply respond".split()
+)
+# With one of these, a compound class tells the state of a page, not what the element is: has-sidebar, comments-open.
+STATES = frozenset("has no with without open closed enabled disabled free".split())
+# How an element is set aside: for certain, or if it does not hold the page's text; a part never does by length alone.
+CERTAIN, LIKELY, PART = 1, 2, 3
 PAGE_HEADS = frozenset("header head pageheader siteheader topbar".split())
 CLOSES_P = BLOCKS - frozenset("caption td th tr tbody thead tfoot dd dt li option optgroup legend summary body html title".split())
 # A tag ends an open one of the named kinds, up to the element that holds such lists.
@@ -74,9 +87,12 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.aside, self.last = ["#root"], [-1], [False], [0]
-        self.blocks: list[tuple[int, list[str], list[int]]] = []  # owner, pieces of text, characters inside links
+        self.doubtful: dict[int, int] = {}  # LIKELY and PART nodes
+        self.blocks: list[tuple[int, list[tuple[int, str, bool]]]] = []  # owner, pieces of text: node, text, inside a link
         self._stack, self._open, self._fresh = [0], {}, True
         self._read(source)
+        if self.doubtful:
+            self._settle()
 
     def _read(self, s: str) -> None:
         at, n = 0, len(s)
@@ -133,17 +149,15 @@ class Page:
             return
         text = html.unescape(raw) if "&" in raw else raw
         if not self._fresh:
-            owner, pieces, linked = self.blocks[-1]
+            pieces = self.blocks[-1][1]
         elif text.isspace() or not text:
             return
         else:
             owner = next(i for i in reversed(self._stack) if not i or self.tag[i] in BLOCKS)
-            pieces, linked = [], [0]
-            self.blocks.append((owner, pieces, linked))
+            pieces = []
+            self.blocks.append((owner, pieces))
             self._fresh = False
-        pieces.append(text)
-        if self._open.get("a"):
-            linked[0] += len(text)
+        pieces.append((self._stack[-1], text, bool(self._open.get("a"))))
 
     def _start(self, tag: str, rest: str) -> None:
         if tag in BLOCKS:
@@ -168,7 +182,10 @@ class Page:
         self.tag.append(tag)
         self.parent.append(above)
         self.last.append(node)
-        self.aside.append(self.aside[above] or self._is_aside(tag, rest))
+        found = self._aside_by(tag, rest)
+        self.aside.append(self.aside[above] or found == CERTAIN)
+        if found > CERTAIN and not self.aside[above]:
+            self.doubtful[node] = found
         self._stack.append(node)
         self._open[tag] = self._open.get(tag, 0) + 1
 
@@ -189,36 +206,79 @@ class Page:
             self._fresh = True
         return tag
 
-    def _is_aside(self, tag: str, rest: str) -> bool:
-        if tag in ASIDE_TAGS:
-            return True
+    def _aside_by(self, tag: str, rest: str) -> int:
+        """0, CERTAIN, LIKELY or PART."""
+        if tag in ASIDE_TAGS and tag not in FORM_TAGS:
+            return CERTAIN
         in_article = self._open.get("article", 0) > 0
         if tag == "header" and not in_article:
-            return True
+            return CERTAIN
+        found = LIKELY if tag in FORM_TAGS else 0
         if not rest or rest.isspace() or tag in ("html", "body"):
-            return False
+            return found
         for m in ATTRIBUTE.finditer(rest):
             name, value = m.group(1).lower(), (m.group(2) or "").strip("\"'").lower()
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
-                return True
+                return CERTAIN
             if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return True
+                return CERTAIN
             if name == "role" and value in ASIDE_ROLES:
-                return True
+                if value != "form":
+                    return CERTAIN
+                found = max(found, LIKELY)
             if name in ("class", "id") and tag != "main":
-                found = WORDS.findall(value)
-                if any(w in ASIDE_NAMES for w in found):
-                    return True
-                if not in_article and any(w.replace("-", "") in PAGE_HEADS for w in value.split()):
-                    return True
-        return False
+                for token in value.split():
+                    words = WORDS.findall(token)
+                    if len(words) > 1 and not STATES.isdisjoint(words):
+                        continue
+                    if not PART_NAMES.isdisjoint(words):
+                        found = PART
+                    elif not ASIDE_NAMES.isdisjoint(words) or (not in_article and token.replace("-", "") in PAGE_HEADS):
+                        found = max(found, LIKELY)
+        return found
+
+    def _settle(self) -> None:
+        """Sets aside the doubtful elements that do not hold the page's text."""
+        n = len(self.tag)
+        text, plain = [0] * n, [0] * n  # characters outside links; those outside doubtful elements too
+        doubted = [False] * n
+        for node in range(1, n):
+            doubted[node] = doubted[self.parent[node]] or node in self.doubtful
+        for _, pieces in self.blocks:
+            for node, piece, linked in pieces:
+                if not linked:
+                    size = len(SPACE.sub(" ", piece).strip())
+                    text[node] += size
+                    plain[node] += 0 if doubted[node] else size
+        for node in range(n - 1, 0, -1):
+            text[self.parent[node]] += text[node]
+            plain[self.parent[node]] += plain[node]
+        holders = []
+        for tag in ("main", "article"):
+            found = [i for i in range(n) if self.tag[i] == tag and not self.aside[i] and self.doubtful.get(i) != PART and text[i]]
+            if found:
+                holder = max(found, key=lambda i: (text[i], -i))
+                # A main with more text of its own than an article in a doubtful element: that one is a teaser.
+                if not (holders and doubted[holder] and plain[holders[0]] > text[holder]):
+                    holders.append(holder)
+        for node in range(1, n):
+            if self.aside[self.parent[node]]:
+                self.aside[node] = True
+            elif node in self.doubtful:
+                holds = any(node <= h <= self.last[node] for h in holders)
+                most = self.doubtful[node] == LIKELY and 2 * text[node] > text[0]
+                self.aside[node] = not (holds or most)
 
 
 def main_text(source: str) -> str:
     """The main text of one page: blocks joined by newlines."""
     page = Page(source)
-    blocks = [(owner, SPACE.sub(" ", "".join(pieces)).strip(), linked[0]) for owner, pieces, linked in page.blocks]
-    blocks = [b for b in blocks if b[1]]
+    blocks = []
+    for owner, pieces in page.blocks:
+        pieces = [p for p in pieces if not page.aside[p[0]]]
+        text = SPACE.sub(" ", "".join(p[1] for p in pieces)).strip()
+        if text:
+            blocks.append((owner, text, sum(len(p[1]) for p in pieces if p[2])))
     if not blocks:
         return ""
     n = len(page.tag)

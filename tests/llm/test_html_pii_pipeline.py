@@ -39,6 +39,28 @@ def test_main_text(page, text):
     assert html_extract.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div class='page has-sidebar'><article><p>{BODY}</article><div class=sidebar>s, s</div></div>", BODY),
+        (f"<div class='layout-no-sidebar'><main><p>{BODY}</main></div>", BODY),
+        (f"<div class='sidebar-layout'><article><p>{BODY}</article><div class=related><article>more, more</article></div></div>", BODY),
+        (f"<div class='post comments-open'><article><p>{BODY}</article></div>", BODY),
+        (f"<article class='post comments-open'><p>{BODY}</article>", BODY),
+        (f"<form action=x><input type=hidden><div><p>{BODY}<p>{BODY}</div></form>", f"{BODY}\n{BODY}"),
+        (f"<form><fieldset><article><p>{BODY}</article></fieldset><div class=ad>ad, ad</div></form>", BODY),
+        (f"<div id=widget-page><p>{BODY}<p>two <span class=ad>ad</span>ends</div><p><a href=x>Home</a></p>", f"{BODY}\ntwo ends"),
+        # Comments, notices and related articles stay out, also when they are long.
+        (f"<article><p>{BODY}</article><div id=comments><article class=comment-body><p>{BODY} {BODY} {BODY}</article></div>", BODY),
+        (f"<div><p>{BODY}</div><div class=cookie-consent><p>{BODY} {BODY} {BODY}</div>", BODY),
+        (f"<main><p>{BODY}<div class=related><article>teaser, teaser</article></div></main>", BODY),
+        ("<div class=ad>only this</div>", ""),
+    ],
+)
+def test_names_and_forms_around_the_text_keep_it(page, text):
+    assert html_extract.main_text(page) == text
+
+
 def test_deep_and_unclosed_pages_are_read_in_one_pass():
     deep = "<div>" * 20_000 + BODY
     assert html_extract.main_text(deep) == BODY
