@@ -10,8 +10,10 @@ as comments, a notice or an advert) most of the text outside links. Every
 block of text gives points, for its length and its commas, to the element that
 contains it, and smaller shares to two more ancestors. An element's score is its
 points discounted by link density (the share of its characters inside links).
-The best container wins, or the article around it; siblings are kept when their
-score or their text stands out. Its blocks are the text, in page order.
+The best container wins, or the article or main around it, and what stands beside
+that is kept by its link density. Without an article or main the same is done on
+every level up to the page, so titles, code and short paragraphs around the best
+container stay. The blocks of all that are the text, in page order.
 
 White space inside a block becomes one space, and character references are
 decoded. Defined results: null or empty html gives an empty text; a page without
@@ -79,7 +81,8 @@ SPACE = re.compile(r"\s+")
 WORDS = re.compile(r"[a-z0-9]+")
 COMMAS = re.compile("[,،、，]")
 SHARES = (1.0, 0.5, 1 / 3)  # of a block's points, to the container and its ancestors
-ARTICLE_TEXT = 80  # characters of a sibling paragraph that is kept for its text
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+MENU_DENSITY = 0.5  # with more of its characters inside links, a block is a menu
 
 
 class Page:
@@ -303,21 +306,35 @@ def main_text(source: str) -> str:
     while around > 0 and page.tag[around] not in ("article", "main"):
         around = page.parent[around]
     top = around if around > 0 else best
-    kept = [(top, page.last[top])]
-    if page.parent[top] >= 0:
-        child = page.parent[top] + 1
-        while child <= page.last[page.parent[top]]:
-            if child != top and _stands_out(page, child, score, density, chars, score[best]):
-                kept.append((child, page.last[child]))
-            child = page.last[child] + 1
-    return "\n".join(text for owner, text, _ in blocks if any(a <= owner <= b for a, b in kept))
+    kept, path = [False] * n, [False] * n
+    kept[top] = True
+    node = page.parent[top]
+    while node >= 0:
+        path[node] = True
+        _keep_children(page, node, chars, density, kept, path)
+        node = -1 if around > 0 else page.parent[node]
+    for node in range(1, n):
+        kept[node] = kept[node] or kept[page.parent[node]]
+    return "\n".join(
+        text for owner, text, linked in blocks if kept[owner] or (path[owner] and linked <= MENU_DENSITY * len(text))
+    )
 
 
-def _stands_out(page: Page, node: int, score, density, chars, best: float) -> bool:
-    """Whether a sibling of the best container belongs to the text."""
-    if score[node] >= max(10.0, 0.2 * best):
-        return True
-    return page.tag[node] == "p" and chars[node] >= ARTICLE_TEXT and density[node] < 0.25
+def _keep_children(page: Page, parent: int, chars, density, kept, path) -> None:
+    """Marks the children that are no menus. A heading made of links goes with
+    what it heads."""
+    children, child = [], parent + 1
+    while child <= page.last[parent]:
+        if chars[child]:
+            children.append(child)
+        child = page.last[child] + 1
+    follows = False  # the next child stays
+    for child in reversed(children):
+        if kept[child] or path[child]:
+            follows = True
+            continue
+        kept[child] = density[child] <= MENU_DENSITY or (page.tag[child] in HEADINGS and follows)
+        follows = kept[child]
 
 
 def main_text_column(source: Column) -> Column:

@@ -61,6 +61,26 @@ def test_names_and_forms_around_the_text_keep_it(page, text):
     assert html_extract.main_text(page) == text
 
 
+LONG = " ".join([BODY] * 5)
+MENU = "<ul><li><a href=a>Home</a><li><a href=b>News</a></ul>"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div><h1>Title</h1><div class=body><p>{BODY}<p>{BODY}</div><p>short end</p></div>", f"Title\n{BODY}\n{BODY}\nshort end"),
+        (f"<body>{MENU}<h1>T</h1><pre>x = 1</pre><div><p>{LONG}<p>{LONG}</div><pre>y = 2</pre>{MENU}", f"T\nx = 1\n{LONG}\n{LONG}\ny = 2"),
+        (f"<div><h2><a href=x>Linked title</a></h2><div><p>{LONG}</div><h2><a href=y>More</a></h2>{MENU}</div>", f"Linked title\n{LONG}"),
+        (f"<body><h1>T</h1><div><div><div><p>{BODY}<p>{BODY}</div><p>note</div>intro</div>", f"T\n{BODY}\n{BODY}\nnote\nintro"),
+        (f"<body><div>a<div>b</div></div><div><div><p>{BODY}<p>{BODY}</div></div><div>{MENU}</div>", f"a\nb\n{BODY}\n{BODY}"),
+        (f"<div><h1>Title</h1><article><p>{BODY}</article><p>end</div>", f"Title\n{BODY}\nend"),
+        (f"<article><p>{BODY}</article><article><p>two</article>{MENU}", f"{BODY}\ntwo"),
+    ],
+)
+def test_what_stands_beside_the_best_container_stays_unless_a_menu(page, text):
+    assert html_extract.main_text(page) == text
+
+
 def test_deep_and_unclosed_pages_are_read_in_one_pass():
     deep = "<div>" * 20_000 + BODY
     assert html_extract.main_text(deep) == BODY
