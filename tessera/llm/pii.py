@@ -19,8 +19,9 @@ frequent one counts once a task. Attempt 0 needs no table and is computed in the
 row; only texts that hold a core with a later attempt are joined (by the text's
 digest) with its surrogates.
 
-Only DataFrame functions are used, also between the steps. Entity patterns have
-bounded repeats, so that no text can exhaust the regex engine's stack.
+Only DataFrame functions are used, also between the steps. Repeats in entity
+patterns are bounded or possessive, which the regex engine runs without its stack:
+secrets and keys of any length are found whole.
 
 Defined results: null texts stay null and empty ones empty; texts without
 entities are returned unchanged; repeated rows get equal results.
@@ -39,11 +40,16 @@ FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora"
 
 _WORD_BEFORE = r"(?<![\p{L}\p{N}_])"
 _TITLES = "|".join(MALE_TITLES + FEMALE_TITLES)
+# What a secret consists of: anything up to white space or a quote, but not the punctuation at its end.
+_SECRET_END = r".,;:!?)\]}>"
+_SECRET = rf"[^\s\"'{_SECRET_END}]"
+_SECRET_INNER = rf"[{_SECRET_END}](?=[{_SECRET_END}]*+{_SECRET})"
 # (kind, pattern), in the order in which they are tried at a place.
 PATTERNS = (
-    ("secret", r"(?<![A-Za-z0-9])(?i:password|passwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?(?=[A-Za-z+/_-]{0,64}[0-9])[A-Za-z0-9+/_-]{8,256}"),
+    ("secret", r"(?<![A-Za-z0-9])(?i:password|passwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?(?=[^\s\"'0-9]*+[0-9])"
+        rf"(?=(?:{_SECRET}|{_SECRET_INNER}){{8}})(?:{_SECRET}++|[{_SECRET_END}]++(?={_SECRET}))++"),
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"),
-    ("key", r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|ghp_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})(?![A-Za-z0-9])"),
+    ("key", r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|ghp_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,}+)(?![A-Za-z0-9])"),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     ("ip", r"(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\w|\.[0-9])"),
     ("phone", r"(?<![\w+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"),
@@ -74,6 +80,7 @@ FAMILY_ENDINGS = {
 }
 NAME_SYLLABLES = 4
 MAX_ATTEMPTS = 1_000
+LONG_CORE = 1_024
 
 UNIT = "struct<kind:string,core:string>"
 
@@ -92,7 +99,7 @@ def _prefix(kind: Column, entity: Column) -> Column:
     prefix, a name's title."""
     return (
         F.when(kind == "secret", F.regexp_extract(entity, r"\A[A-Za-z_-]+\s{0,3}[=:]\s{0,3}[\"']?", 0))
-        .when(kind == "key", F.regexp_extract(entity, r"\A(?:AKIA|ghp_|sk-)", 0))
+        .when(kind == "key", F.regexp_extract(entity, r"\A(?:AKIA|ghp_|sk-(?:proj-)?)", 0))
         .when(kind == "name", F.regexp_extract(entity, r"\A\p{L}+\.? ", 0))
         .otherwise(F.lit(""))
     )
@@ -134,21 +141,25 @@ def units(entity: Column) -> Column:
     parts = F.split(rest, " ")
     given = F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), lambda p: part_unit(p, "given"))
     family = F.array(part_unit(F.element_at(parts, -1), "family"))
-    core = F.when(_is_digits(kind), F.regexp_replace(rest, "[^0-9]", "")).otherwise(F.lower(rest))
+    # Only ASCII letters are lowered in secrets, so that the core keeps its length.
+    lowered = F.when(kind == "secret", F.translate(rest, LETTERS.upper(), LETTERS)).otherwise(F.lower(rest))
+    core = F.when(_is_digits(kind), F.regexp_replace(rest, "[^0-9]", "")).otherwise(lowered)
     one = F.array(F.struct(kind.alias("kind"), core.alias("core")))
     return F.when(kind == "name", F.concat(given, family)).otherwise(one)
 
 
 def _draws(key: str, unit_kind: Column, core: Column, attempt: Column, n: Column) -> Column:
     """``n`` pseudo-random integers below 65536: four hex digits each of keyed SHA-256 blocks."""
-    def block(b: Column) -> Column:
-        return F.sha2(F.concat_ws("\x1f", F.lit(key), unit_kind, core, attempt.cast("string"), b.cast("string")).cast("binary"), 256)
+    def block(seed: Column, b: Column) -> Column:
+        return F.sha2(F.concat_ws("\x1f", F.lit(key), unit_kind, seed, attempt.cast("string"), b.cast("string")).cast("binary"), 256)
 
-    stream = F.array_join(F.transform(F.sequence(F.lit(0), F.floor(n / 16).cast("int")), block), "")
-    return F.transform(
-        F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1),
-        lambda i: F.conv(F.substring(stream, i * 4 + 1, F.lit(4)), 16, 10).cast("int"),
-    )
+    def drawn(hexes: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.conv(F.substring(hexes, i * 4 + 1, F.lit(4)), 16, 10).cast("int"))
+
+    # The digest stands for a long core, so that the blocks do not each hash all of it.
+    seed = F.when(F.length(core) > LONG_CORE, F.sha2(core.cast("binary"), 256)).otherwise(core)
+    blocks = F.flatten(F.transform(F.array(seed), lambda s: F.transform(F.sequence(F.lit(0), F.floor(n / 16).cast("int")), lambda b: block(s, b))))
+    return F.slice(F.flatten(F.transform(blocks, drawn)), F.lit(1), F.greatest(n, F.lit(1)))
 
 
 def _char(source: Column, i: Column) -> Column:
@@ -191,11 +202,10 @@ def _from_draws(kind: Column, core: Column, draws: Column) -> Column:
 
     def by_class(letters: str) -> Column:
         return F.array_join(
-            F.transform(
+            F.zip_with(
+                F.split(core, ""),
                 draws_of_core,
-                lambda r, i: F.when(_char(core, i).rlike("[0-9]"), _pick(DIGITS, r))
-                .when(_char(core, i).rlike("[a-z]"), _pick(letters, r))
-                .otherwise(_char(core, i)),
+                lambda c, r: F.when(c.rlike(r"\p{N}"), _pick(DIGITS, r)).when(c.rlike(r"\p{L}"), _pick(letters, r)).otherwise(c),
             ),
             "",
         )
@@ -255,7 +265,7 @@ def _written(kind: Column, prefix: Column, rest: Column, cores: Column) -> Colum
     filled = F.transform(
         places, lambda i: F.when(_char(rest, i).rlike("[0-9]"), _char(core, digits_before(i))).otherwise(_char(rest, i))
     )
-    cased = F.transform(places, lambda i: F.when(_char(rest, i).rlike(r"\p{Lu}"), F.upper(_char(core, i))).otherwise(_char(core, i)))
+    cased = F.zip_with(F.split(rest, ""), F.split(core, ""), lambda r, c: F.when(r.rlike(r"\p{Lu}"), F.upper(c)).otherwise(c))
     names = F.array_join(F.transform(cores, lambda c: F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, F.lit(2), F.length(c)))), " ")
     body = (
         F.when(kind == "name", names)

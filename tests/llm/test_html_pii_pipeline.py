@@ -1,6 +1,7 @@
 """HTML extraction, PII surrogates and the pipeline."""
 
 import hashlib
+import random
 import re
 
 import corpus_pipeline
@@ -162,6 +163,26 @@ def test_coreference_gender_and_script(spark):
     assert first.replace("-", "") == second
 
 
+def test_secrets_and_keys_are_replaced_whole(spark):
+    rng = random.Random(1)
+    word = lambda n, chars="abcdefghijkmnopqrstuvwxyz": "".join(rng.choices(chars, k=n))
+    values = [
+        word(600, "abcdef0123456789"), word(5_000) + "1", word(9_000) + "7", word(70) + "4" + word(20),
+        ".".join(("7" + word(36), word(120), word(43))), "abc$1#defg!hij%klm&nop", "пароль1234ñandú",
+    ]
+    keys = ["sk-" + word(100), "sk-proj-" + word(24) + "-" + word(24) + "_" + word(48)]
+    texts = [f"{label}{v}{end}" for v in values for label, end in (("token=", ""), ("password: ", "."), ('api_key = "', '", x'))]
+    for before, after in zip(texts + keys, replaced(spark, texts + [f"a 1 {k}" for k in keys]), strict=True):
+        after = after.removeprefix("a 1 ")
+        assert len(after) == len(before) and re.sub(r"\w", "", after) == re.sub(r"\w", "", before).replace("_", "")
+        start = re.match(r"(?:token=|password: |api_key = \"|sk-proj-|sk-)", before).end()
+        assert after[:start] == before[:start]
+        same = sum(a == b for a, b in zip(before[start:], after[start:], strict=True) if a.isalnum())
+        assert same < 0.4 * sum(c.isalnum() for c in before[start:]), before[:80]
+    one, two = replaced(spark, [f"token={values[4]}", f"the token: {values[4]}, and"])
+    assert one.split("=")[1] == two.split(": ")[1].split(",")[0]
+
+
 def test_clean_and_awkward_texts_stay(spark, awkward, empty):
     clean = ["", None, "no data here", "version 1.2.3", "in 1999, 12 of 400", "a@b", "x" * 70_000 + "@", "Mr. and Mrs."]
     assert replaced(spark, clean) == clean
