@@ -8,7 +8,7 @@ with that key, and nobody without the key can link the two. The surrogate is of
 the same type and format: digits for digits, letters for letters in the same
 case, separators, country code, card network and check digit, domain ending and
 key prefix as before, address octets in range. Names that follow a title get
-names of the same gender (by the title; family names by their ending where the
+names, part by part, of the same gender (by the title; family names by their ending where the
 script has gendered ones) and the same script (Latin, Cyrillic or Greek).
 
 Collision checks keep distinct entities distinct: over the cores of all documents,
@@ -40,6 +40,20 @@ FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora"
 
 _WORD_BEFORE = r"(?<![\p{L}\p{N}_])"
 _TITLES = "|".join(MALE_TITLES + FEMALE_TITLES)
+# Small words inside names; they stay.
+PARTICLES = "de del della di da das do dos du des la las le los van von vom der den ter ten und zu af av bin ben ibn al el y e".split()
+_PARTICLE = rf"(?:{'|'.join(PARTICLES)})"
+_WORD_ENDS = r"(?![\p{L}\p{M}])"
+_INITIALS = r"(?:\p{Lu}(?:\. ?| ))*+"
+# Words that follow a name and a hyphen without being part of it.
+_AFTER_HYPHEN = "led|style|like|based|owned|backed|run|era"
+_NAME_PART = (
+    rf"(?!(?:{_TITLES}){_WORD_ENDS})(?:\p{{L}}['’](?=\p{{Lu}}))?\p{{Lu}}[\p{{L}}\p{{M}}]++"
+    rf"(?:['’](?=\p{{Lu}}|\p{{Ll}}{{3}})[\p{{L}}\p{{M}}]++|-(?=\p{{L}}{{2}})(?!(?:{_AFTER_HYPHEN}){_WORD_ENDS})[\p{{L}}\p{{M}}]++)*+(?![\p{{N}}_])"
+)
+_NAME = rf"(?:{_PARTICLE} ){{0,4}}{_INITIALS}{_NAME_PART}"
+# A part of a name with a surrogate of its own: not a particle, nor the O of O'Brien.
+NAME_UNIT = rf"(?<![\p{{L}}\p{{M}}])(?!{_PARTICLE}{_WORD_ENDS}|\p{{L}}['’])[\p{{L}}\p{{M}}]++"
 # What a secret consists of: anything up to white space or a quote, but not the punctuation at its end.
 _SECRET_END = r".,;:!?)\]}>"
 _SECRET = rf"[^\s\"'{_SECRET_END}]"
@@ -56,11 +70,11 @@ PATTERNS = (
     ("phone", r"(?<![\w)+-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[.-][0-9]{4}(?![\w-])"),
     ("ssn", r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"),
     ("card", r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])"),
-    ("name", _WORD_BEFORE + rf"(?:{_TITLES})\.? \p{{Lu}}\p{{Ll}}{{1,30}}(?: \p{{Lu}}\p{{Ll}}{{1,30}}){{0,2}}(?![\p{{L}}\p{{N}}_])"),
+    ("name", _WORD_BEFORE + rf"(?:{_TITLES})\.? {_NAME}(?: {_NAME})*+"),
 )
 ENTITY = "|".join(f"(?:{p})" for _, p in PATTERNS)
 # A text without any of these holds no entity.
-HINT = rf"[0-9@]|(?:{_TITLES})\.? \p{{Lu}}"
+HINT = rf"[0-9@]|(?:{_TITLES})\.? \p{{L}}"
 
 # Syllables of surrogate names by script, and endings by script and gender; fixed values.
 SYLLABLES = {
@@ -132,20 +146,30 @@ def units(entity: Column) -> Column:
     kind, rest = entity["kind"], entity["rest"]
     gender = F.when(F.rtrim(F.replace(entity["prefix"], F.lit("."), F.lit(""))).isin(*FEMALE_TITLES), "f").otherwise("m")
 
-    def part_unit(part: Column, role: str) -> Column:
+    def part_unit(part: Column, in_family: Column) -> Column:
         script = F.when(part.rlike(r"\p{IsCyrillic}"), "cyrillic").when(part.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
         # Only Cyrillic and Greek family names show a gender.
-        shown = F.when(script == "latin", "m").otherwise(gender) if role == "family" else gender
-        return F.struct(F.concat_ws(".", F.lit(role), shown, script).alias("kind"), F.lower(part).alias("core"))
+        shown = F.when(in_family & (script == "latin"), "m").otherwise(gender)
+        role = F.when(in_family, "family").otherwise("given")
+        return F.struct(F.concat_ws(".", role, shown, script).alias("kind"), F.lower(part).alias("core"))
 
-    parts = F.split(rest, " ")
-    given = F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), lambda p: part_unit(p, "given"))
-    family = F.array(part_unit(F.element_at(parts, -1), "family"))
+    def parts(of: Column) -> Column:
+        return F.regexp_extract_all(of, F.lit(NAME_UNIT), 0)
+
+    # All parts of the last word are the family name.
+    last = F.size(parts(F.element_at(F.split(rest, " "), -1)))
+    words = F.get(
+        F.transform(
+            F.array(F.struct(parts(rest).alias("parts"), last.alias("last"))),
+            lambda w: F.transform(w["parts"], lambda p, i: part_unit(p, i >= F.size(w["parts"]) - w["last"])),
+        ),
+        F.lit(0),
+    )
     # Only ASCII letters are lowered in secrets, so that the core keeps its length.
     lowered = F.when(kind == "secret", F.translate(rest, LETTERS.upper(), LETTERS)).otherwise(F.lower(rest))
     core = F.when(_is_digits(kind), F.regexp_replace(rest, "[^0-9]", "")).otherwise(lowered)
     one = F.array(F.struct(kind.alias("kind"), core.alias("core")))
-    return F.when(kind == "name", F.concat(given, family)).otherwise(one)
+    return F.when(kind == "name", words).otherwise(one)
 
 
 def _draws(key: str, unit_kind: Column, core: Column, attempt: Column, n: Column) -> Column:
@@ -266,7 +290,15 @@ def _written(kind: Column, prefix: Column, rest: Column, cores: Column) -> Colum
         places, lambda i: F.when(_char(rest, i).rlike("[0-9]"), _char(core, digits_before(i))).otherwise(_char(rest, i))
     )
     cased = F.zip_with(F.split(rest, ""), F.split(core, ""), lambda r, c: F.when(r.rlike(r"\p{Lu}"), F.upper(c)).otherwise(c))
-    names = F.array_join(F.transform(cores, lambda c: F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, F.lit(2), F.length(c)))), " ")
+    # An initial gets an initial, and capitals get capitals.
+    titled = F.zip_with(
+        F.regexp_extract_all(rest, F.lit(NAME_UNIT), 0),
+        cores,
+        lambda p, c: F.when(F.length(p) == 1, F.upper(F.substring(c, 1, 1)))
+        .when(p.rlike(r"\A[\p{Lu}\p{M}]+\z"), F.upper(c))
+        .otherwise(F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, F.lit(2), F.length(c)))),
+    )
+    names = F.array_join(F.zip_with(F.split(rest, NAME_UNIT, -1), titled, lambda g, t: F.concat(g, F.coalesce(t, F.lit("")))), "")
     body = (
         F.when(kind == "name", names)
         .when(kind == "ip", core)

@@ -183,6 +183,26 @@ def test_secrets_and_keys_are_replaced_whole(spark):
     assert one.split("=")[1] == two.split(": ")[1].split(",")[0]
 
 
+def test_names_of_any_form_are_replaced_whole(spark):
+    names = [
+        ("Señor Juan Carlos García López", "Juan Carlos García López"), ("Ms Anna-Maria Lopez", "Anna Maria Lopez"),
+        ("Mr John McDonald", "John McDonald"), ("Mr McDonald", "McDonald"), ("Mrs O'Brien", "Brien"), ("Mr SMITH", "SMITH"),
+        ("Herr Johann Wolfgang von Goethe", "Johann Wolfgang Goethe"), ("Madame de la Tour", "Tour"), ("Monsieur d'Artagnan", "Artagnan"),
+        ("Señora Ana María Luisa Pérez de la Cruz y Ortega", "Ana María Luisa Pérez Cruz Ortega"), ("Mr J. R. Tolkien", "Tolkien"),
+        ("Mr Kim Jong-un", "Kim Jong un"), ("Mr " + " ".join(["Abcd"] * 500), "Abcd"),
+    ]
+    got = replaced(spark, [f"so {n} went" for n, _ in names])
+    for (name, parts), after in zip(names, got, strict=True):
+        assert after.startswith(f"so {name.split(' ')[0]} ") and after.endswith(" went") and after.count(" ") == name.count(" ") + 2
+        assert not set(parts.split()) & set(re.findall(r"\w+", after)), after
+    assert re.fullmatch(r"so Ms [A-Z][a-z]+-[A-Z][a-z]+ [A-Z][a-z]+ went", got[1])
+    assert re.fullmatch(r"so Mrs O'[A-Z][a-z]+ went", got[4]) and re.fullmatch(r"so Mr [A-Z]+ went", got[5])
+    assert re.fullmatch(r"so Madame de la [A-Z][a-z]+ went", got[7]) and re.fullmatch(r"so Mr [A-Z]\. [A-Z]\. [A-Z][a-z]+ went", got[10])
+    whole, short = replaced(spark, ["Mr John McDonald", "Mr McDonald's and Mr Smith-led x"])
+    assert whole.split(" ")[2] + "'s" == short.split(" ")[1] and short.endswith("-led x")
+    assert re.fullmatch(r"Señor [A-Z][a-z]+ y Señora [A-Z][a-z]+", replaced(spark, ["Señor García y Señora López"])[0])
+
+
 def test_clean_and_awkward_texts_stay(spark, awkward, empty):
     clean = ["", None, "no data here", "version 1.2.3", "in 1999, 12 of 400", "a@b", "x" * 70_000 + "@", "Mr. and Mrs."]
     assert replaced(spark, clean) == clean
