@@ -58,6 +58,9 @@ NAME_UNIT = rf"(?<![\p{{L}}\p{{M}}])(?!{_PARTICLE}{_WORD_ENDS}|\p{{L}}['’])[\p
 _SECRET_END = r".,;:!?)\]}>"
 _SECRET = rf"[^\s\"'{_SECRET_END}]"
 _SECRET_INNER = rf"[{_SECRET_END}](?=[{_SECRET_END}]*+{_SECRET})"
+# Between digits of an international number: one separator, and brackets around a group.
+_BLANK = r" \x{a0}\x{202f}"
+_PHONE_GAP = rf"(?:[{_BLANK}./-]?\(|\)[{_BLANK}./-]?|[{_BLANK}./-])?"
 # (kind, pattern), in the order in which they are tried at a place.
 PATTERNS = (
     ("secret", r"(?<![A-Za-z0-9])(?i:password|passwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?(?=[^\s\"'0-9]*+[0-9])"
@@ -66,8 +69,9 @@ PATTERNS = (
     ("key", r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|ghp_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,}+)(?![A-Za-z0-9])"),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     ("ip", r"(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\w|\.[0-9])"),
-    ("phone", r"(?<![\w+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"),
-    ("phone", r"(?<![\w)+-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[.-][0-9]{4}(?![\w-])"),
+    ("phone", rf"(?<![\w+])\+1(?:{_PHONE_GAP}[0-9]){{10}}(?![0-9])"),
+    ("phone", rf"(?<![\w+])\+[0-9](?:{_PHONE_GAP}[0-9]){{6,14}}(?![0-9])"),
+    ("phone", r"(?<![\w)+-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])"),
     ("ssn", r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"),
     ("card", r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])"),
     ("name", _WORD_BEFORE + rf"(?:{_TITLES})\.? {_NAME}(?: {_NAME})*+"),

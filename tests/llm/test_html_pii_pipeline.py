@@ -203,6 +203,18 @@ def test_names_of_any_form_are_replaced_whole(spark):
     assert re.fullmatch(r"Señor [A-Z][a-z]+ y Señora [A-Z][a-z]+", replaced(spark, ["Señor García y Señora López"])[0])
 
 
+def test_phone_numbers_of_every_language(spark):
+    numbers = [
+        "+33 1 23 45 67 89", "+34 612 34 56 78", "+49 (0)30 901820", "+49 171/1234567", "+44 20 7946 0958", "+1 988 555 2485", "+1 (988) 555-2485",
+        "555 123 4567", "(555) 123 4567", "(555) 123-4567", "+33\u202f6\u00a012.34.56.78", "+3511234567", "+123456789012345",
+    ]
+    for before, after in zip(numbers, replaced(spark, [f"at {n}, or" for n in numbers]), strict=True):
+        assert re.sub("[0-9]", "9", after) == re.sub("[0-9]", "9", f"at {before}, or") and before not in after
+    one, other = replaced(spark, ["+1 (988) 555-2485 12 times", "+1 (988) 555-2485"])
+    assert one == other + " 12 times"
+    assert replaced(spark, ["+5 and 1 + 12 34", "12 345 678"]) == ["+5 and 1 + 12 34", "12 345 678"]
+
+
 def test_clean_and_awkward_texts_stay(spark, awkward, empty):
     clean = ["", None, "no data here", "version 1.2.3", "in 1999, 12 of 400", "a@b", "x" * 70_000 + "@", "Mr. and Mrs."]
     assert replaced(spark, clean) == clean
