@@ -78,7 +78,7 @@ PATTERNS = (
 )
 ENTITY = "|".join(f"(?:{p})" for _, p in PATTERNS)
 # A text without any of these holds no entity.
-HINT = rf"[0-9@]|(?:{_TITLES})\.? \p{{L}}"
+HINT = rf"[0-9@]|AKIA|ghp_|sk-|(?:{_TITLES})\.? \p{{L}}"
 
 # Syllables of surrogate names by script, and endings by script and gender; fixed values.
 SYLLABLES = {

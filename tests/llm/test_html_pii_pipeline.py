@@ -215,6 +215,24 @@ def test_phone_numbers_of_every_language(spark):
     assert replaced(spark, ["+5 and 1 + 12 34", "12 345 678"]) == ["+5 and 1 + 12 34", "12 345 678"]
 
 
+def test_every_entity_holds_a_hint(spark):
+    rng = random.Random(2)
+    kinds = {
+        "key": ["AKIA{A16}", "ghp_{a36}", "sk-{a20}", "sk-proj-{a30}"], "email": ["{a5}@{a6}.com"], "secret": ["token={a8}1", "Password: {a4}.{a9}.2"],
+        "iban": ["GB11{A4}{A4}{A4}{A4}"], "ip": ["1.2.3.4"], "phone": ["+33 1 23 45 67 89", "555 123 4567"], "ssn": ["078-05-1120"],
+        "card": ["4111 1111 1111 1111"], "name": [t + n for t in pii.MALE_TITLES + pii.FEMALE_TITLES for n in (" X{a4}", ". de la D'A{a3}", " J. X{a3}")],
+    }
+    assert set(kinds) == {k for k, _ in pii.PATTERNS}
+    fill = lambda m: "".join(rng.choices("abcdefghij" if m[1] == "a" else "ABCDEFGHIJ", k=int(m[2])))
+    texts = [(k, re.sub(r"\{([aA])(\d+)\}", fill, shape)) for k, shapes in kinds.items() for shape in shapes for _ in range(5)]
+    df = spark.createDataFrame(texts, "kind string, text string")
+    found = F.regexp_extract_all("text", F.lit(pii.ENTITY), 0)
+    rows = df.select("kind", "text", found.alias("found"), pii.described(pii.entities(F.col("text"))).alias("got")).collect()
+    for r in rows:
+        assert r["found"] == [r["text"]], r
+        assert [e["kind"] for e in r["got"]] == [r["kind"]], r
+
+
 def test_clean_and_awkward_texts_stay(spark, awkward, empty):
     clean = ["", None, "no data here", "version 1.2.3", "in 1999, 12 of 400", "a@b", "x" * 70_000 + "@", "Mr. and Mrs."]
     assert replaced(spark, clean) == clean
