@@ -85,4 +85,53 @@ SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
 FROM sums JOIN last USING (payload)
 """
 
-ORACLES = {"op1_url_filter": OP1, "op2_exact_topk": OP2, "op4_decontamination": OP4, "op6_warc": OP6}
+# Words between ASCII white space.
+_SPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_CRC32 = """xor(4294967295, list_reduce(
+           list_concat([4294967295], [ascii(c)::BIGINT FOR c IN string_split(doc_id::VARCHAR, '')]),
+           lambda acc, c: list_reduce([xor(acc, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))))"""
+
+# Streaks of matches on every diagonal, from pairs of equal grams of six words.
+OP11 = rf"""
+WITH plain AS (SELECT doc_id, {_SPACED} AS w, {_CRC32} AS h FROM documents),
+cut AS (SELECT *, len(w) AS n, (h // 10) % greatest(len(w), 1) AS a FROM plain),
+timed AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM cut),
+docs AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+         THEN [w[(CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1)::BIGINT] FOR i IN generate_series(0, n - 1)] ELSE w END AS w
+  FROM timed
+),
+grams AS MATERIALIZED (
+  SELECT doc_id, i, array_to_string(w[i - 5 : i], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(generate_series(6, n)) AS i FROM docs WHERE n >= 12)
+),
+pairs AS (SELECT x.doc_id, x.i, x.i - y.i AS q FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.gram = y.gram AND x.i > y.i),
+streaks AS (
+  SELECT doc_id, q, min(i) - 5 AS first, max(i) AS last
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs) GROUP BY doc_id, q, island
+),
+runs AS MATERIALIZED (
+  SELECT doc_id, (first - q - 1)::BIGINT AS start, (last - first + 1 + q)::BIGINT AS length, q::BIGINT AS period
+  FROM streaks WHERE last - first + 1 >= greatest(q, 12 - q)
+  QUALIFY row_number() OVER (PARTITION BY doc_id, first - q, last ORDER BY q) = 1
+),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, arg_max([start, length, period], [length, -start, -period]) AS best,
+         string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+  FROM runs GROUP BY doc_id
+),
+dropped AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(start + period + 1, start + length)) AS i FROM runs
+),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS rest
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, n)) AS i FROM docs) ANTI JOIN dropped USING (doc_id, i)
+  GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best[1] AS start, best[2] AS length, best[3] AS period,
+       (1000 * best[2]) // best[3] AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(rest, '')) AS collapsed_sha256
+FROM docs LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES = {"op1_url_filter": OP1, "op2_exact_topk": OP2, "op4_decontamination": OP4, "op6_warc": OP6, "op11_periodic_runs": OP11}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontaminate, html_extract, langid, pii, simhash, token_count, topk, url_filter, warc
+from tessera.llm import bpe, decontaminate, html_extract, langid, periodic, pii, simhash, token_count, topk, url_filter, warc
 from tessera.llm.common import broadcast_file
 from tessera.sources.tables import read_table
 
@@ -106,10 +106,33 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every text, after a tenth of the texts were made to
+    repeat a passage (chosen by the checksum of the id)."""
+    docs = read_table(spark, sf_dir, "documents", columns=["doc_id", "text"])
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    choice = F.floor(checksum / 10).cast("int")
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))
+    first = choice % F.size(words)
+    period = 1 + F.floor((F.size(words) - first) / (3 + choice % 8)).cast("int")
+    repeated = F.array_join(periodic.repeat_from(words, first, period), " ")
+    text = F.when((checksum % 10 == 0) & (F.size(words) > 0), repeated).otherwise(F.col("text"))
+    found = docs.select("doc_id", periodic.runs_column(text).alias("r")).select("doc_id", "r.runs", "r.collapsed")
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    best = found.withColumn("best", periodic.longest(F.col("runs")))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_exact_topk, op3_byte_bpe, op4_decontamination, op5_language_id, op6_warc, op7_pii,
-        op8_html_extraction, op9_token_counts, op10_simhash,
+        op8_html_extraction, op9_token_counts, op10_simhash, op11_periodic_runs,
     )
 }
