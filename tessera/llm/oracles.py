@@ -134,4 +134,47 @@ SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best[1] AS start, best[2]
 FROM docs LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
-ORACLES = {"op1_url_filter": OP1, "op2_exact_topk": OP2, "op4_decontamination": OP4, "op6_warc": OP6, "op11_periodic_runs": OP11}
+
+def _lloyd(rounds: int) -> str:
+    """The rounds of product codebooks, one after the other."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""near{r} AS MATERIALIZED (
+  SELECT r, p, any_value(part) AS part, arg_min(e, [d, e]) AS e, min(d) AS d
+  FROM (SELECT r, p, e, part, list_sum([(x[1] - x[2]) * (x[1] - x[2]) FOR x IN list_zip(part, entry)])::BIGINT AS d
+        FROM parts JOIN book{r} USING (p))
+  GROUP BY r, p
+)""")
+        if r < rounds:
+            steps.append(f"""book{r + 1} AS MATERIALIZED (
+  WITH sums AS (SELECT p, e, i, sum(x)::BIGINT AS s, count(*) AS c
+                FROM (SELECT p, e, unnest(part) AS x, unnest(generate_series(1, len(part))) AS i FROM near{r}) GROUP BY p, e, i),
+       means AS (SELECT p, e, list((s - ((s % c) + c) % c) // c ORDER BY i) AS mean FROM sums GROUP BY p, e)
+  SELECT p, e, coalesce(mean, entry) AS entry FROM book{r} LEFT JOIN means USING (p, e)
+)""")
+    return ",\n".join(steps)
+
+
+OP12 = f"""
+WITH whole AS (
+  SELECT vec_id, label, [floor(4096 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+kept AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS r, len(v) // 8 AS w FROM whole),
+parts AS MATERIALIZED (
+  SELECT r, p, v[p * w + 1 : (p + 1) * w] AS part FROM (SELECT *, unnest(generate_series(0, 7)) AS p FROM kept)
+),
+book0 AS MATERIALIZED (SELECT p, r - 1 AS e, part AS entry FROM parts WHERE r <= 16),
+{_lloyd(6)},
+codes AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM near6 GROUP BY r),
+named AS (SELECT vec_id, label, code, error FROM kept JOIN codes USING (r)),
+labels AS (SELECT label, sum(error)::BIGINT AS label_error FROM named GROUP BY label),
+numbers AS (
+  SELECT sha256(string_agg(array_to_string(entry, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book6
+)
+SELECT vec_id, code, error, label_error, codebooks_sha256
+FROM named JOIN labels ON named.label IS NOT DISTINCT FROM labels.label CROSS JOIN numbers
+"""
+
+ORACLES = {"op1_url_filter": OP1, "op2_exact_topk": OP2, "op4_decontamination": OP4, "op6_warc": OP6, "op11_periodic_runs": OP11, "op12_vector_codes": OP12}

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontaminate, html_extract, langid, periodic, pii, simhash, token_count, topk, url_filter, warc
+from tessera.llm import bpe, decontaminate, html_extract, langid, periodic, pii, simhash, token_count, topk, url_filter, vector_codes, warc
 from tessera.llm.common import broadcast_file
 from tessera.sources.tables import read_table
 
@@ -129,10 +131,23 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector, the errors of its label, and the codebooks."""
+    vectors = read_table(spark, sf_dir, "embeddings", columns=["vec_id", "embedding", "label"])
+    rows, codebooks = vector_codes.compress(vectors, "vec_id", "embedding")
+    numbers = ",".join(str(x) for entries in codebooks for entry in entries for x in entry)
+    code = F.array_join(F.transform("code", lambda entry: F.lower(F.lpad(F.hex(entry), 2, "0"))), "")
+    labels = rows.groupBy(F.col("label").alias("its_label")).agg(F.sum("error").alias("label_error"))
+    return rows.join(labels, F.col("label").eqNullSafe(F.col("its_label"))).select(
+        "vec_id", code.alias("code"), "error", "label_error",
+        F.lit(hashlib.sha256(numbers.encode()).hexdigest()).alias("codebooks_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_exact_topk, op3_byte_bpe, op4_decontamination, op5_language_id, op6_warc, op7_pii,
-        op8_html_extraction, op9_token_counts, op10_simhash, op11_periodic_runs,
+        op8_html_extraction, op9_token_counts, op10_simhash, op11_periodic_runs, op12_vector_codes,
     )
 }

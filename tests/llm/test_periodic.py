@@ -118,7 +118,7 @@ def test_white_space_is_ascii(spark):
 
 
 def test_longest_and_repeat(spark):
-    runs = "array(struct(5L as start, 20L as length, 4L as period), struct(2L, 20L, 3L), struct(0L, 12L, 1L))"
+    runs = "transform(array(array(5L, 20L, 4L), array(2L, 20L, 3L), array(0L, 12L, 1L)), r -> struct(r[0] as start, r[1] as length, r[2] as period))"
     row = spark.range(1).select(
         periodic.longest(F.expr(runs)).alias("best"),
         periodic.longest(F.expr("slice(" + runs + ", 1, 0)")).alias("none"),
