@@ -177,4 +177,35 @@ SELECT vec_id, code, error, label_error, codebooks_sha256
 FROM named JOIN labels ON named.label IS NOT DISTINCT FROM labels.label CROSS JOIN numbers
 """
 
-ORACLES = {"op1_url_filter": OP1, "op2_exact_topk": OP2, "op4_decontamination": OP4, "op6_warc": OP6, "op11_periodic_runs": OP11, "op12_vector_codes": OP12}
+# Links from the documents that hold each shingle; components by rounds of smaller ids.
+OP13 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+sets AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 1], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 1, 1))) AS i FROM words WHERE len(w) > 0)
+),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+kinds AS (
+  SELECT doc_id, min(doc_id) OVER (PARTITION BY k) AS kind FROM (SELECT doc_id, sha256(string_agg(s, chr(10) ORDER BY s)) AS k FROM sets GROUP BY doc_id)
+),
+firsts AS MATERIALIZED (SELECT s, doc_id, n FROM sets JOIN sizes USING (doc_id) WHERE doc_id IN (SELECT kind FROM kinds)),
+links AS MATERIALIZED (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM firsts x JOIN firsts y ON x.s = y.s AND x.doc_id <> y.doc_id AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+  GROUP BY x.doc_id, y.doc_id HAVING 100 * count(*) >= 80 * (any_value(x.n) + any_value(y.n) - count(*))
+),
+reach AS (
+  SELECT DISTINCT kind AS a, kind AS b FROM kinds
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+),
+parts AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+       coalesce(component_id, doc_id) = doc_id AS kept
+FROM words LEFT JOIN sizes USING (doc_id) LEFT JOIN kinds USING (doc_id) LEFT JOIN parts ON a = kind
+"""
+
+ORACLES = {"op1_url_filter": OP1, "op2_exact_topk": OP2, "op4_decontamination": OP4, "op6_warc": OP6, "op11_periodic_runs": OP11, "op12_vector_codes": OP12, "op13_minhash": OP13}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontaminate, html_extract, langid, periodic, pii, simhash, token_count, topk, url_filter, vector_codes, warc
+from tessera.llm import bpe, decontaminate, html_extract, langid, minhash, periodic, pii, simhash, token_count, topk, url_filter, vector_codes, warc
 from tessera.llm.common import broadcast_file
 from tessera.sources.tables import read_table
 
@@ -144,10 +144,18 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document, and whether it is kept."""
+    docs = read_table(spark, sf_dir, "documents", columns=["doc_id", "text"])
+    found = minhash.near_duplicates(docs, "doc_id", "text")
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_exact_topk, op3_byte_bpe, op4_decontamination, op5_language_id, op6_warc, op7_pii,
         op8_html_extraction, op9_token_counts, op10_simhash, op11_periodic_runs, op12_vector_codes,
+        op13_minhash,
     )
 }
