@@ -274,7 +274,8 @@ def near_duplicates(
     nodes = stored(nodes, "nodes")
     families = _families(nodes)
     texts = whole.select(F.col("row").alias("node"), "text")
-    members = stored(texts.join(families, "node"), "members")
+    # A merge join at every size: the texts are shuffled once, whatever the families' size.
+    members = stored(texts.join(families.hint("merge"), "node"), "members")
     linked = components(_links(members, shingle, percent, tile_chars)).join(nodes.select("node", "key", "id"), "node")
     first = linked.groupBy("root").agg(F.min("id").alias("component_id"))
     named = linked.join(first, "root").select("key", "component_id")
