@@ -6,7 +6,12 @@ scripts, styles, forms, menus, headers, footers, sidebars, and elements whose
 role, class or id names a notice, an advert, a sidebar, comments and so on. A
 form, class or id alone is weak evidence, so its text is read, and the element
 stays when it holds the page's principal article or main, or (unless it is named
-as comments, a notice or an advert) most of the text outside links. Every
+as comments, a notice or an advert) most of the text outside links. A heading's
+class or id says nothing, and neither does an id of a section (both are often made
+from the heading's words). Inside an article a name counts only as a whole (related
+or related-posts, not related-work): a class of an advert, a notice or comments sets
+its element aside, any other name only if a form control in it or links around half
+of its text bear that out. Every
 block of text gives points, for its length and its commas, to the element that
 contains it, and smaller shares to two more ancestors. An element's score is its
 points discounted by link density (the share of its characters inside links).
@@ -18,7 +23,9 @@ container stay. The blocks of all that are the text, in page order.
 White space inside a block becomes one space, and character references are
 decoded. Defined results: null or empty html gives an empty text; a page without
 any block outside the parts set aside gives an empty text; nesting of any depth
-and unclosed tags, comments and quotes are read to the end in one pass.
+and unclosed tags, comments and quotes are read to the end, in time linear in the
+page: what a tag closes and which block a text belongs to are read off the tops of
+stacks of their own.
 """
 
 from __future__ import annotations
@@ -57,22 +64,30 @@ PART_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox adsense sponsor sponsored cookie cookies consent gdpr newsletter"
     " comment comments commentlist disqus replies reply respond".split()
 )
+# Words that add nothing to a name of a part: comment-list, share-buttons.
+PART_WORDS = frozenset(
+    "area block box button buttons container content form group holder inner item items link links list outer panel post posts section"
+    " slot unit wrap wrapper".split()
+)
+CONTROLS = frozenset("input select textarea button".split())
 # With one of these, a compound class tells the state of a page, not what the element is: has-sidebar, comments-open.
 STATES = frozenset("has no with without open closed enabled disabled free".split())
-# How an element is set aside: for certain, or if it does not hold the page's text; a part never does by length alone.
-CERTAIN, LIKELY, PART = 1, 2, 3
+# How an element is set aside: for certain; with links or controls in it; if it does not hold the page's text; a part never does by length alone.
+CERTAIN, BORNE_OUT, LIKELY, PART = 1, 2, 3, 4
 PAGE_HEADS = frozenset("header head pageheader siteheader topbar".split())
 CLOSES_P = BLOCKS - frozenset("caption td th tr tbody thead tfoot dd dt li option optgroup legend summary body html title".split())
-# A tag ends an open one of the named kinds, up to the element that holds such lists.
+# A tag ends the innermost open element of its family if that is one of the named kinds.
 CLOSES = {
-    "li": (("li",), ("ul", "ol", "menu", "dir")),
-    "dt": (("dt", "dd"), ("dl",)),
-    "dd": (("dt", "dd"), ("dl",)),
-    "tr": (("tr", "td", "th"), ("table",)),
-    "td": (("td", "th"), ("tr", "table")),
-    "th": (("td", "th"), ("tr", "table")),
-    "option": (("option",), ("select",)),
+    "li": ("list", ("li",)),
+    "dt": ("terms", ("dt", "dd")),
+    "dd": ("terms", ("dt", "dd")),
+    "tr": ("table", ("tr", "td", "th")),
+    "td": ("table", ("td", "th")),
+    "th": ("table", ("td", "th")),
+    "option": ("select", ("option",)),
 }
+FAMILIES = {"list": "ul ol menu dir li", "terms": "dl dt dd", "table": "table tr td th", "select": "select option"}
+FAMILY = {tag: family for family, tags in FAMILIES.items() for tag in tags.split()}
 CONTAINERS = frozenset("article blockquote body center div html main section".split())
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -90,9 +105,11 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.aside, self.last = ["#root"], [-1], [False], [0]
-        self.doubtful: dict[int, int] = {}  # LIKELY and PART nodes
+        self.doubtful: dict[int, int] = {}  # BORNE_OUT, LIKELY and PART nodes
+        self.controls: list[int] = []  # the elements that hold form controls
         self.blocks: list[tuple[int, list[tuple[int, str, bool]]]] = []  # owner, pieces of text: node, text, inside a link
         self._stack, self._open, self._fresh = [0], {}, True
+        self._blocks, self._families = [0], {family: [] for family in FAMILIES}  # open nodes
         self._read(source)
         if self.doubtful:
             self._settle()
@@ -156,9 +173,8 @@ class Page:
         elif text.isspace() or not text:
             return
         else:
-            owner = next(i for i in reversed(self._stack) if not i or self.tag[i] in BLOCKS)
             pieces = []
-            self.blocks.append((owner, pieces))
+            self.blocks.append((self._blocks[-1], pieces))
             self._fresh = False
         pieces.append((self._stack[-1], text, bool(self._open.get("a"))))
 
@@ -170,15 +186,12 @@ class Page:
         if tag in CLOSES_P and self._open.get("p"):
             self._close("p")
         if tag in CLOSES:
-            kinds, holders = CLOSES[tag]
-            if any(self._open.get(k) for k in kinds):
-                for i in reversed(self._stack):
-                    if self.tag[i] in holders:
-                        break
-                    if self.tag[i] in kinds:
-                        self._close(self.tag[i])
-                        if tag != "tr":
-                            break
+            family, kinds = CLOSES[tag]
+            opened = self._families[family]
+            while opened and self.tag[opened[-1]] in kinds:
+                self._close(self.tag[opened[-1]])
+        if tag in CONTROLS:
+            self.controls.append(self._stack[-1])
         if tag in VOID:
             return
         node, above = len(self.tag), self._stack[-1]
@@ -191,6 +204,10 @@ class Page:
             self.doubtful[node] = found
         self._stack.append(node)
         self._open[tag] = self._open.get(tag, 0) + 1
+        if tag in BLOCKS:
+            self._blocks.append(node)
+        if tag in FAMILY:
+            self._families[FAMILY[tag]].append(node)
 
     def _close(self, tag: str) -> None:
         if tag in BLOCKS:
@@ -205,12 +222,15 @@ class Page:
         self.last[node] = len(self.tag) - 1
         tag = self.tag[node]
         self._open[tag] -= 1
+        if tag in FAMILY:
+            self._families[FAMILY[tag]].pop()
         if tag in BLOCKS:
+            self._blocks.pop()
             self._fresh = True
         return tag
 
     def _aside_by(self, tag: str, rest: str) -> int:
-        """0, CERTAIN, LIKELY or PART."""
+        """0, CERTAIN, BORNE_OUT, LIKELY or PART."""
         if tag in ASIDE_TAGS and tag not in FORM_TAGS:
             return CERTAIN
         in_article = self._open.get("article", 0) > 0
@@ -229,33 +249,46 @@ class Page:
                 if value != "form":
                     return CERTAIN
                 found = max(found, LIKELY)
-            if name in ("class", "id") and tag != "main":
+            if name in ("class", "id") and tag != "main" and tag not in HEADINGS:
                 for token in value.split():
-                    words = WORDS.findall(token)
-                    if len(words) > 1 and not STATES.isdisjoint(words):
-                        continue
-                    if not PART_NAMES.isdisjoint(words):
-                        found = PART
-                    elif not ASIDE_NAMES.isdisjoint(words) or (not in_article and token.replace("-", "") in PAGE_HEADS):
-                        found = max(found, LIKELY)
+                    found = max(found, self._named(tag, name, token, in_article))
         return found
 
+    def _named(self, tag: str, attribute: str, token: str, in_article: bool) -> int:
+        """What one word of a class or id says."""
+        words = WORDS.findall(token)
+        if len(words) > 1 and not STATES.isdisjoint(words):
+            return 0
+        part, aside = not PART_NAMES.isdisjoint(words), not ASIDE_NAMES.isdisjoint(words)
+        if in_article or (tag == "section" and attribute == "id"):
+            if not aside or not all(w in ASIDE_NAMES or w in PART_WORDS for w in words):
+                return 0
+            return PART if part and attribute == "class" else BORNE_OUT
+        if part:
+            return PART
+        return LIKELY if aside or token.replace("-", "") in PAGE_HEADS else 0
+
     def _settle(self) -> None:
         """Sets aside the doubtful elements that do not hold the page's text."""
         n = len(self.tag)
         text, plain = [0] * n, [0] * n  # characters outside links; those outside doubtful elements too
+        linked_text, controls = [0] * n, [0] * n
+        for node in self.controls:
+            controls[node] += 1
         doubted = [False] * n
         for node in range(1, n):
             doubted[node] = doubted[self.parent[node]] or node in self.doubtful
         for _, pieces in self.blocks:
             for node, piece, linked in pieces:
-                if not linked:
-                    size = len(SPACE.sub(" ", piece).strip())
+                size = len(SPACE.sub(" ", piece).strip())
+                if linked:
+                    linked_text[node] += size
+                else:
                     text[node] += size
                     plain[node] += 0 if doubted[node] else size
         for node in range(n - 1, 0, -1):
-            text[self.parent[node]] += text[node]
-            plain[self.parent[node]] += plain[node]
+            for counts in (text, plain, linked_text, controls):
+                counts[self.parent[node]] += counts[node]
         holders = []
         for tag in ("main", "article"):
             found = [i for i in range(n) if self.tag[i] == tag and not self.aside[i] and self.doubtful.get(i) != PART and text[i]]
@@ -269,8 +302,9 @@ class Page:
                 self.aside[node] = True
             elif node in self.doubtful:
                 holds = any(node <= h <= self.last[node] for h in holders)
-                most = self.doubtful[node] == LIKELY and 2 * text[node] > text[0]
-                self.aside[node] = not (holds or most)
+                most = self.doubtful[node] != PART and 2 * text[node] > text[0]
+                borne_out = self.doubtful[node] != BORNE_OUT or controls[node] or linked_text[node] >= text[node]
+                self.aside[node] = bool(borne_out) and not (holds or most)
 
 
 def main_text(source: str) -> str:

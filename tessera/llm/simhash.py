@@ -6,10 +6,10 @@
 2. The distinct fingerprints, with the smallest id of each, go on: a group of
    exact copies counts once from here, combined before the shuffle.
 3. Fingerprints are dealt into tiles by the population counts of their two
-   halves, classes of more than ``TILE_ROWS`` into several tiles. Two fingerprints
-   within r bits have counts that differ by r at most in sum, so tile pairs beyond
-   that are skipped. Every other pair of tiles is compared exactly with numpy:
-   exclusive or, then bit counts, in strips of bounded size.
+   halves, classes of more than ``TILE_ROWS`` into several tiles, each packed as one
+   binary. Two fingerprints within r bits have counts that differ by r at most in
+   sum, so tile pairs beyond that are skipped. Every other pair of tiles is compared
+   exactly with numpy: exclusive or, then bit counts, in strips of bounded size.
 4. A tile pair gives a spanning forest of its links, never all linked pairs, so a
    large group of near copies stays linear. Components are found by rounds of
    joins: every node points to its smallest neighbour, pointers are shortened,
@@ -28,7 +28,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -38,8 +37,9 @@ from tessera.llm.common import col, fresh, stored, utf8
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
-TILE_ROWS = 4096
-STRIP_ROWS = 64
+TILE_ROWS = 65_536  # half a megabyte
+PARTNERS = 8  # tiles that one task compares with its own
+STRIP_CELLS = 2**18  # of a table of comparisons
 HASH_SEED = 42
 
 
@@ -83,8 +83,9 @@ def _forest(left: np.ndarray, right: np.ndarray, bits: int) -> tuple[np.ndarray,
     li, ri = np.searchsorted(nodes, left), np.searchsorted(nodes, right)
     root = np.arange(len(nodes))
     lu, ru = left.view(np.uint64), right.view(np.uint64)
-    for at in range(0, len(left), STRIP_ROWS):
-        near = np.bitwise_count(lu[at : at + STRIP_ROWS, None] ^ ru[None, :]) <= bits
+    strip = max(1, STRIP_CELLS // max(1, len(right)))
+    for at in range(0, len(left), strip):
+        near = np.bitwise_count(lu[at : at + strip, None] ^ ru[None, :]) <= bits
         a, b = np.nonzero(near)
         a, b = li[at + a], ri[b]
         while True:
@@ -100,26 +101,32 @@ def _forest(left: np.ndarray, right: np.ndarray, bits: int) -> tuple[np.ndarray,
     return nodes[linked], nodes[root[linked]]
 
 
-def links(fingerprints: DataFrame, bits: int = MAX_BITS, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """Links (a, b) that connect all distinct fingerprints (column ``fp``)
-    within ``bits`` bits: a spanning forest of each tile pair."""
+def _tiles(fingerprints: DataFrame, tile_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(sizes, tiles): the classes (hi, lo) of the halves' bit counts with their
+    numbers of tiles, and every tile (hi, lo, t) with its fingerprints as one binary."""
     halves = [F.bit_count(F.shiftrightunsigned("fp", 32)).alias("hi"), F.bit_count(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))).alias("lo")]
     classed = fingerprints.select("fp", *halves)
     # At most 33 x 33 classes, whatever the input.
-    sizes = classed.groupBy("hi", "lo").agg(F.count("*").alias("n"))
-    tiles = sizes.select("hi", "lo", F.ceil(F.col("n") / tile_rows).cast("int").alias("tiles"))
+    sizes = stored(classed.groupBy("hi", "lo").agg(F.ceil(F.count("*") / tile_rows).cast("int").alias("tiles")), "classes")
+    placed = classed.join(F.broadcast(sizes), ["hi", "lo"]).select("hi", "lo", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int").alias("t"), "fp")
+
+    def packed(key: tuple, table: pa.Table) -> pa.Table:
+        columns = {n: pa.array([k.as_py()], pa.int32()) for n, k in zip(("hi", "lo", "t"), key, strict=True)}
+        return pa.table(columns | {"packed": pa.array([np.sort(table["fp"].to_numpy()).tobytes()], pa.binary())})
+
+    return sizes, stored(placed.groupBy("hi", "lo", "t").applyInArrow(packed, "hi int, lo int, t int, packed binary"), "tiles")
+
+
+def _neighbours(sizes: DataFrame, bits: int) -> DataFrame:
+    """(first, second, part): every pair of tiles whose bit counts allow a link, each
+    pair once (a tile with itself included); a tile's partners in parts of ``PARTNERS``."""
     offsets = [(h, low) for h in range(-bits, bits + 1) for low in range(-bits, bits + 1) if abs(h) + abs(low) <= bits]
-    near = tiles.select(
+    near = sizes.select(
         F.col("hi").alias("hi2"), F.col("lo").alias("lo2"), F.col("tiles").alias("tiles2"),
         F.explode(F.array(*[F.struct(F.lit(h).alias("h"), F.lit(low).alias("l")) for h, low in offsets])).alias("o"),
     ).select((F.col("hi2") + F.col("o.h")).alias("hi"), (F.col("lo2") + F.col("o.l")).alias("lo"), "hi2", "lo2", "tiles2")
-    around = tiles.join(near, ["hi", "lo"]).groupBy("hi", "lo").agg(
-        F.max("tiles").alias("tiles"), F.collect_list(F.struct("hi2", "lo2", "tiles2")).alias("around")
-    )  # at most one row a class, with at most 25 neighbours
-    homed = classed.join(F.broadcast(around), ["hi", "lo"]).select(
-        "fp", F.struct("hi", "lo", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int").alias("t")).alias("home"), "around"
-    )
-    others = F.flatten(
+    around = sizes.join(near, ["hi", "lo"]).groupBy("hi", "lo", "tiles").agg(F.collect_list(F.struct("hi2", "lo2", "tiles2")).alias("around"))
+    every = F.flatten(
         F.transform(
             "around",
             lambda c: F.transform(
@@ -127,21 +134,36 @@ def links(fingerprints: DataFrame, bits: int = MAX_BITS, tile_rows: int = TILE_R
             ),
         )
     )
-    pairs = homed.select("fp", "home", F.explode(others).alias("other")).select(
-        "fp", F.least("home", "other").alias("first"), F.greatest("home", "other").alias("second"), (F.col("home") <= F.col("other")).alias("left")
+    firsts = around.select("hi", "lo", "around", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("t"))
+    named = firsts.select(F.struct("hi", "lo", "t").alias("first"), every.alias("every"))
+    later = F.filter("every", lambda second: second >= F.col("first"))
+    return named.select("first", F.posexplode(later).alias("place", "second")).select(
+        "first", "second", F.floor(F.col("place") / PARTNERS).cast("int").alias("part")
     )
 
-    def compare(tile: pd.DataFrame) -> pd.DataFrame:
-        fp, left = tile["fp"].to_numpy(np.int64), tile["left"].to_numpy(bool)
-        within = tile["first"].iat[0] == tile["second"].iat[0]
-        a, b = _forest(fp, fp, bits) if within else _forest(fp[left], fp[~left], bits)
-        return pd.DataFrame({"a": a, "b": b})
 
-    # Keys as text: a tile's name. Spark deals the tile pairs out by hash.
-    named = pairs.select(
-        "fp", "left", *[F.concat_ws(".", f"{c}.hi", f"{c}.lo", f"{c}.t").alias(c) for c in ("first", "second")]
-    )
-    return named.groupBy("first", "second").applyInPandas(compare, "a long, b long")
+def links(fingerprints: DataFrame, bits: int = MAX_BITS, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """Links (a, b) that connect all distinct fingerprints (column ``fp``) within
+    ``bits`` bits: a spanning forest of each tile pair. A tile travels as one packed
+    binary to each part of its earlier neighbours' pairs, and once to each part of its
+    own; a task holds at most ``PARTNERS`` + 1 tiles."""
+    sizes, tiles = _tiles(fingerprints, tile_rows)
+    pairs = _neighbours(sizes, bits)
+    held = tiles.select(F.struct("hi", "lo", "t").alias("second"), "packed")
+    partners = pairs.join(held, "second").select("first", "part", F.lit(False).alias("own"), (F.col("first") == F.col("second")).alias("same"), "packed")
+    owners = pairs.select("first", "part").distinct().join(held.withColumnRenamed("second", "first"), "first")
+    owners = owners.select("first", "part", F.lit(True).alias("own"), F.lit(False).alias("same"), "packed")
+    # Keys as text: a tile's name. Spark deals the groups out by hash.
+    named = owners.union(partners).select(F.concat_ws(".", "first.hi", "first.lo", "first.t").alias("tile"), "part", "own", "same", "packed")
+
+    def compare(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        own = next(np.frombuffer(r["packed"], np.int64) for r in rows if r["own"])
+        found = [_forest(own, own if r["same"] else np.frombuffer(r["packed"], np.int64), bits) for r in rows if not r["own"]]
+        ends = [np.concatenate(x) for x in zip(*found, strict=True)]
+        return pa.table({"a": pa.array(ends[0], pa.int64()), "b": pa.array(ends[1], pa.int64())})
+
+    return named.groupBy("tile", "part").applyInArrow(compare, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:

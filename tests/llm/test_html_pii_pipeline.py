@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import corpus_pipeline
 import pytest
@@ -62,6 +63,63 @@ def test_names_and_forms_around_the_text_keep_it(page, text):
     assert html_extract.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "kept",
+    [
+        "<h2 id='social-impact'>Impact</h2>", "<h2 id='related-work'>Impact</h2>", "<h3 class='sidebar'>Impact</h3>", "<h1 id=comments>Impact</h1>",
+        f"<section id='related-work'><p>{BODY}</section>", f"<section class='menu-design'><p>{BODY}</section>",
+        f"<section id='related'><p>{BODY}</section>", f"<div class='footer-note'><p>{BODY}</div>", f"<div id=notice><p>{BODY}</div>",
+        f"<div class='share-price'><p>{BODY} <a href=x>link</a></div>", f"<p class='banner-text'>{BODY}</p>",
+    ],
+)
+def test_names_inside_an_article_need_more_than_a_word(kept):
+    text = "Impact" if "Impact" in kept else re.sub("<[^>]*>", "", kept)
+    page = f"<article><h1>T</h1><p>{BODY}</p>{kept}<p>{BODY} end</p></article>"
+    assert html_extract.main_text(page) == f"T\n{BODY}\n{text}\n{BODY} end"
+    section = f"<body><h1>T</h1><p>{BODY}</p>{kept}<p>{BODY} end</p></body>"
+    if kept.startswith(("<h", "<section id")):  # also without an article
+        assert html_extract.main_text(section) == f"T\n{BODY}\n{text}\n{BODY} end"
+
+
+@pytest.mark.parametrize(
+    "dropped",
+    [
+        "<div class=related><a href=a>One story</a> <a href=b>Two story</a></div>", "<div class='related-posts'><ul><li><a href=a>One</a></ul></div>",
+        "<div id=share-buttons><button>Tweet</button>Share this</div>", f"<div class=ad>{BODY}</div>", f"<div class='ad-container'>{BODY}</div>",
+        f"<div class=comments><p>{BODY}</div>", "<div class=newsletter>Sign up <input name=mail></div>", f"<aside>{BODY}</aside>",
+        f"<div role=complementary>{BODY}</div>", f"<ol class='comment-list'><li>{BODY}</ol>", "<div id=comments><p>Nice.<textarea></textarea></div>",
+    ],
+)
+def test_parts_inside_an_article_go(dropped):
+    assert html_extract.main_text(f"<article><p>{BODY}</p>{dropped}<p>end</p></article>") == f"{BODY}\nend"
+
+
+PARTS = [BODY + " One.", BODY + " Two, three, four.", "Short one.", BODY + " Last, of all."]
+WHOLE = "The title\n" + "\n".join(PARTS)
+PARAGRAPHS = "".join(f"<p>{x}</p>" for x in PARTS)
+LINKS = "".join(f"<li><a href='/{i}'>Section {i}</a></li>" for i in range(8))
+TEMPLATES = {
+    "blog": f"""<body class="single has-sidebar"><header class="site-header"><a href=/>Site</a><nav><ul>{LINKS}</ul></nav></header>
+        <div id="content"><main><article class="post"><header><h1>The title</h1></header>{PARAGRAPHS}
+        <div class="share-buttons"><a href=x>Tweet</a></div></article><div id="comments"><ol><li>{BODY} Nice.</ol></div></main>
+        <aside class="sidebar"><ul>{LINKS}</ul></aside></div><footer>2020, all rights, reserved</footer>""",
+    "divs": f"""<div id=wrapper><div class=topbar><ul>{LINKS}</ul></div><div class="breadcrumbs"><a href=/>Home</a> > here</div>
+        <div class="col-8"><h1>The title</h1><div class="story-body">{PARAGRAPHS}</div></div>
+        <div class="col-4 sidebar"><h3>Popular</h3><ul>{LINKS}</ul></div></div><div class="footer">Imprint, privacy, terms</div>""",
+    "table": f"""<table width=100%><tr><td colspan=2><a href=/>Home</a> | <a href=/a>About</a><tr><td width=20%><ul>{LINKS}</ul>
+        <td><h1>The title</h1>{PARAGRAPHS.replace('</p>', '')}</table>""",
+    "markdown": f"""<article><h1 id="the-title">The title</h1><section id="related-work"><p>{PARTS[0]}</p><p>{PARTS[1]}</p></section>
+        <section id="menu"><p>{PARTS[2]}</p><p>{PARTS[3]}</p></section></article><script>if (a < b) c("</p>")</script>""",
+    "form": f"""<form id=aspnetForm method=post><input type=hidden name=__VIEWSTATE value="x>y"><div class="cookie-notice">We use cookies, many
+        of them. <button>OK</button></div><div id=main><h1>The title</h1>{PARAGRAPHS}</div><div class="newsletter-signup">Your mail: <input></div></form>""",
+}
+
+
+@pytest.mark.parametrize("name", TEMPLATES)
+def test_templates(name):
+    assert html_extract.main_text(TEMPLATES[name]) == WHOLE
+
+
 LONG = " ".join([BODY] * 5)
 MENU = "<ul><li><a href=a>Home</a><li><a href=b>News</a></ul>"
 
@@ -89,6 +147,16 @@ def test_deep_and_unclosed_pages_are_read_in_one_pass():
     assert html_extract.main_text("<p>" + "word " * 200_000).count("word") == 200_000
 
 
+def test_time_is_linear_in_the_page():
+    n = 200_000
+    began = time.process_time()
+    assert html_extract.main_text("<b>" * n + "x<hr>" * n) == "\n".join(["x"] * n)
+    assert html_extract.main_text("<ul><li><ol>" + "<b>" * n + "<li></li>" * n + BODY).endswith(BODY)
+    assert html_extract.main_text("<table><tr><td>" + "<ul><li>" * n + "<td>" + BODY).endswith(BODY)
+    assert html_extract.main_text("<div>" * n + BODY + "</div>" * n) == BODY
+    assert time.process_time() - began < 60
+
+
 def test_supplied_pages(spark):
     """The supplied pages hold their text in one article: every block of it, nothing else."""
     got = {r["page_id"]: r for r in QUERIES["op8_html_extraction"](spark, DIR).collect()}
