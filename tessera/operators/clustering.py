@@ -1,92 +1,145 @@
 """K-Means assignment and the shrinking refinement around an anchor point.
 
-Refinement: cluster all points with k = ``start_k``; keep the cluster that
-holds the anchor; measure its radius (largest great-circle distance of a
-member to the cluster centre); while the radius exceeds the limit, cluster
-the kept points again with k one smaller (never below ``min_k``: the
-sequence is 7, 6, 5, 4, 3, 2, 2, ...).
-
-The loop is driven from the driver, but every round is Spark work: one
-K-Means fit, one aggregate that returns the anchor's cluster, and one
-aggregate over the members (count + max distance). The anchor's row is
-fetched once; its cluster in each round comes from the fitted model's
-nearest-centre rule applied to that one vector. Only scalars (centre,
-radius, counts) reach the driver. Each round's members are written
-with ``checkpoint()`` to the shared checkpoint folder, which cuts the
-lineage so a lost executor recomputes one round, not the whole chain.
+K-Means runs on coordinates in whole micro-degrees, so every sum is exact and the
+clusters are a function of the points alone: any number of partitions, any order
+of rows and any cluster size give the same result.
+
+- Seeds: the points are ordered by a hash of (seed, id); the first
+  ``SEED_CANDIDATES`` of them are the candidates (one top-k, bounded whatever the
+  input). The first candidate is the first seed, and the next one is always the
+  candidate farthest from the seeds so far.
+- Rounds (Lloyd): every point goes to its nearest centre, ties to the lower number,
+  and a centre moves to the floor of its members' mean. One aggregate a round with
+  partial sums, so at most k rows a task are shuffled and k rows reach the driver. It
+  ends when no centre moves more than ``TOLERANCE`` or after ``MAX_ITER`` rounds (the
+  defaults of Spark ML's K-Means).
+
+Refinement: cluster all points with k = ``start_k``; keep the cluster that holds the
+anchor; measure its radius (largest great-circle distance of a member to the cluster
+centre); while the radius exceeds the limit, cluster the kept points again with k one
+smaller (never below ``min_k``: the sequence is 7, 6, 5, 4, 3, 2, 2, ...).
+
+The refinement is data: each round writes its members, with the round's k, centre and
+every member's distance, to one table in the shared checkpoint folder, and the next
+round reads its points from there. That cuts the lineage, so a lost executor costs
+one round at most, and every report on the refinement (rounds, members, counts) is a
+query over that table. Only centres, one radius and one count a round reach the
+driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import count
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from tessera.functions.geo import haversine_km
 from tessera.functions.numeric import percent
-from tessera.session import checkpoint_root
+from tessera.session import checkpoint_root, temporary_path
 
 LAT, LON = "latitude_wgs84", "longitude_wgs84"
-# Of the canonical layout: a parameter of every call, never derived from data or cores, since
-# the clusters belong to its value. Raise it for large inputs.
-PARTITIONS = 16
-
-
-def _features(points: DataFrame, lat: str = LAT, lon: str = LON) -> DataFrame:
-    return VectorAssembler(inputCols=[lat, lon], outputCol="features").transform(points)
-
-
-def canonical(points: DataFrame, id_col: str = "id", partitions: int = PARTITIONS) -> DataFrame:
-    """The points in one layout, whatever theirs is: dealt out by id over a fixed
-    number of partitions and sorted by id. The fit's random start and its sums
-    then see the same rows in the same places, so the clusters are a function of
-    the points, k, the seed and ``partitions``."""
-    return points.repartition(partitions, id_col).sortWithinPartitions(id_col)
-
-
-def fit_kmeans(points: DataFrame, k: int, seed: int = 1, lat: str = LAT, lon: str = LON) -> KMeansModel:
-    """K-Means on points in their canonical layout."""
-    return KMeans(featuresCol="features", k=k, seed=seed).fit(_features(points, lat, lon))
+MICRO = 1_000_000
+SEED_CANDIDATES = 64
+MAX_ITER = 20
+TOLERANCE = 100  # micro-degrees
+Centre = tuple[int, int]  # latitude, longitude
+
+
+def micro_degrees(degrees: Column) -> Column:
+    return F.round(degrees * MICRO).cast("long")
+
+
+def _apart(a: Centre, b: Centre) -> int:
+    return (a[0] - b[0]) ** 2 + (a[1] - b[1]) ** 2
+
+
+def seeds(points: DataFrame, k: int, seed: int, id_col: str, lat: str, lon: str) -> list[Centre]:
+    """At most k distinct points, far from each other."""
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")).cast("binary"))
+    first = points.orderBy(order, lat, lon).select(micro_degrees(F.col(lat)), micro_degrees(F.col(lon)))
+    candidates = [tuple(r) for r in first.limit(SEED_CANDIDATES).collect()]
+    chosen = candidates[:1]
+    while candidates and len(chosen) < k:
+        farthest = max(candidates, key=lambda c: min(_apart(c, s) for s in chosen))  # the first of equals
+        if farthest in chosen:
+            break  # fewer distinct points than k
+        chosen.append(farthest)
+    return chosen
+
+
+def _places(centres: Sequence[Centre]) -> Column:
+    # One folded array literal: the generated code is the same for all centres of one k.
+    return F.array(*[F.lit(v) for centre in centres for v in centre])
+
+
+def nearest(centres: Sequence[Centre], lat: str = LAT, lon: str = LON) -> Column:
+    """The number of the nearest centre; ties go to the lower number."""
+    y, x, at = micro_degrees(F.col(lat)), micro_degrees(F.col(lon)), _places(centres)
+
+    def distance(i: int) -> Column:
+        dy, dx = y - F.get(at, F.lit(2 * i)), x - F.get(at, F.lit(2 * i + 1))
+        return dy * dy + dx * dx
+
+    if len(centres) == 1:
+        return F.lit(0)
+    return F.least(*[F.struct(distance(i).alias("d"), F.lit(i).alias("i")) for i in range(len(centres))])["i"]
+
+
+def lloyd(
+    points: DataFrame, centres: Sequence[Centre], lat: str = LAT, lon: str = LON, max_iter: int = MAX_ITER, tolerance: int = TOLERANCE
+) -> list[Centre]:
+    """The centres after at most ``max_iter`` rounds; one without members stays."""
+    centres = list(centres)
+    for _ in range(max_iter):
+        sums = points.groupBy(nearest(centres, lat, lon).alias("c")).agg(
+            F.sum(micro_degrees(F.col(lat))).alias("y"), F.sum(micro_degrees(F.col(lon))).alias("x"), F.count(F.lit(1)).alias("n")
+        )
+        moved = 0
+        for row in sums.collect():  # at most k rows
+            new = (row["y"] // row["n"], row["x"] // row["n"])
+            moved = max(moved, _apart(new, centres[row["c"]]))
+            centres[row["c"]] = new
+        if moved <= tolerance * tolerance:
+            break
+    return centres
+
+
+def fit_kmeans(points: DataFrame, k: int, seed: int = 1, id_col: str = "id", lat: str = LAT, lon: str = LON) -> list[Centre]:
+    """Centres in micro-degrees; points without a coordinate take no part."""
+    kept = points.select(id_col, lat, lon).where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).persist()
+    try:
+        first = seeds(kept, k, seed, id_col, lat, lon)
+        return lloyd(kept, first, lat, lon) if first else []
+    finally:
+        kept.unpersist()
 
 
 def kmeans_assign(
-    points: DataFrame,
-    k: int = 7,
-    seed: int = 1,
-    id_col: str = "id",
-    lat: str = LAT,
-    lon: str = LON,
-    partitions: int = PARTITIONS,
+    points: DataFrame, k: int = 7, seed: int = 1, id_col: str = "id", lat: str = LAT, lon: str = LON
 ) -> DataFrame:
-    """``id``, ``cluster`` for every point (K-Means on latitude/longitude)."""
-    model = fit_kmeans(canonical(points, id_col, partitions), k, seed, lat, lon)
-    return model.transform(_features(points, lat, lon)).select(
-        F.col(id_col), F.col("prediction").alias("cluster")
-    )
+    """``id``, ``cluster`` for every point; null for a point without coordinates."""
+    centres = fit_kmeans(points, k, seed, id_col, lat, lon)
+    known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+    cluster = F.when(known, nearest(centres, lat, lon)) if centres else F.lit(None)
+    return points.select(F.col(id_col), cluster.cast("int").alias("cluster"))
 
 
 @dataclass
-class RefineRound:
-    round: int
-    k: int
-    n_before: int
-    n_after: int
-    cluster: int
-    center_lat: float
-    center_lon: float
-    radius_km: float
+class RefineResult:
+    """``history``: the members of every round (column ``round``), each with k,
+    n_before, cluster, center_lat, center_lon and distance_km of its round."""
 
+    history: DataFrame
+    last_round: int
 
-@dataclass
-class RefineResult:
-    rounds: list[RefineRound]
-    members: DataFrame  # final cluster (checkpointed)
-    anchor: dict  # the anchor's row (one row, fetched once)
+    @property
+    def members(self) -> DataFrame:
+        """The points of the final cluster."""
+        return self.history.where(F.col("round") == self.last_round)
 
 
 def kmeans_refine(
@@ -99,86 +152,67 @@ def kmeans_refine(
     id_col: str = "id",
     lat: str = LAT,
     lon: str = LON,
-    partitions: int = PARTITIONS,
 ) -> RefineResult:
-    """Shrink the anchor's cluster until its radius is at most
-    ``max_radius_km``, however many rounds it takes. A round at ``min_k`` that
-    keeps every point cannot progress and raises, as do an anchor id that is
-    missing and one that several points have."""
+    """Shrink the anchor's cluster until its radius is at most ``max_radius_km``,
+    however many rounds it takes. A round at ``min_k`` that keeps every point cannot
+    progress and raises, as do an anchor id that is missing, has no coordinates, or
+    belongs to several points."""
     spark = points.sparkSession
     checkpoint_root(spark)  # fail fast when no shared folder is configured
-    # The canonical points of a round are kept for its fit and its assignment;
-    # later rounds start from the checkpointed members of the previous one.
-    current = canonical(points, id_col, partitions).persist()
-    anchor_row = current.filter(F.col(id_col) == anchor_id).limit(2).collect()
-    if len(anchor_row) != 1:
-        raise ValueError(f"anchor {anchor_id!r} must be the id of exactly one point")
-    anchor = anchor_row[0].asDict()
-    anchor_xy = Vectors.dense([float(anchor[lat]), float(anchor[lon])])
-    n_current = current.count()
-    rounds: list[RefineRound] = []
+    path = temporary_path(spark, "refinement")
+    current = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+    n_before, anchors = current.agg(F.count(F.lit(1)), F.count_if(F.col(id_col) == anchor_id)).first()
+    if anchors != 1:
+        raise ValueError(f"anchor {anchor_id!r} must be the id of exactly one point with coordinates")
     k = start_k
-    for r in count(1):
-        model = fit_kmeans(current, k, seed, lat, lon)
-        # the anchor's cluster: the model's nearest-centre rule on one vector
-        cluster = int(model.predict(anchor_xy))
-        c_lat, c_lon = (float(v) for v in model.clusterCenters()[cluster])
-        assigned = model.transform(_features(current, lat, lon)).withColumnRenamed("prediction", "_cluster")
-        members = assigned.filter(F.col("_cluster") == cluster).drop("features", "_cluster")
-        members = members.checkpoint(eager=True)
-        stats = members.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.max(haversine_km(F.col(lat), F.col(lon), c_lat, c_lon)).alias("radius"),
-        ).first()
-        n_after, radius = int(stats["n"]), float(stats["radius"] or 0.0)
-        rounds.append(RefineRound(r, k, n_current, n_after, cluster, c_lat, c_lon, radius))
-        current.unpersist()
+    for number in count(1):
+        centres = fit_kmeans(current, k, seed, id_col, lat, lon)
+        cluster = F.col("cluster")
+        at = _places(centres)
+        assigned = current.withColumn("cluster", nearest(centres, lat, lon))
+        # The anchor's cluster is found in the plan: a semi-join with the anchor's one row.
+        home = assigned.where(F.col(id_col) == anchor_id).select("cluster")
+        members = (
+            assigned.join(home, "cluster", "left_semi")
+            .withColumns({"k": F.lit(k), "n_before": F.lit(n_before).cast("long")})
+            .withColumn("center_lat", F.get(at, 2 * cluster) / MICRO)
+            .withColumn("center_lon", F.get(at, 2 * cluster + 1) / MICRO)
+            .withColumn("distance_km", haversine_km(F.col(lat), F.col(lon), F.col("center_lat"), F.col("center_lon")))
+        )
+        members.write.parquet(f"{path}/round={number}")
+        kept = spark.read.schema(members.schema).parquet(f"{path}/round={number}")
+        n_after, radius = kept.agg(F.count(F.lit(1)), F.max("distance_km")).first()
         if radius <= max_radius_km:
-            return RefineResult(rounds, members, anchor)
-        if k == min_k and n_after == n_current:
+            history = spark.read.schema(members.schema.add("round", IntegerType())).parquet(path)
+            return RefineResult(history, number)
+        if k == min_k and n_after == n_before:
             raise RuntimeError(f"k = {k} keeps all {n_after} points at a radius of {radius:.3f} km")
-        current, n_current = canonical(members, id_col, partitions).persist(), n_after
-        k = max(k - 1, min_k)
-
-
-def rounds_frame(spark, result: RefineResult) -> DataFrame:
-    """One row per refinement round (round, k, n_before, n_after, cluster,
-    centre and radius rounded to 6 digits)."""
-    rows = [
-        (x.round, x.k, x.n_before, x.n_after, x.cluster, round(x.center_lat, 6), round(x.center_lon, 6), round(x.radius_km, 6))
-        for x in result.rounds
-    ]
-    schema = (
-        "round int, k int, n_before bigint, n_after bigint, cluster int, "
-        "center_lat double, center_lon double, radius_km double"
-    )
-    return spark.createDataFrame(rows, schema)
-
-
-def checks_frame(points: DataFrame, result: RefineResult, anchor_id, options: dict) -> DataFrame:
-    """What must hold, as one row: every point is assigned, none to a centre
-    that is not its nearest; each round starts from what the one before kept;
-    the anchor is a member, and the radius is within the limit."""
-    model = fit_kmeans(canonical(points), options["start_k"], options["seed"])
-    centers = [[float(v) for v in c] for c in model.clusterCenters()]
-
-    def distance(lat: float, lon: float) -> Column:
-        return (F.col(LAT) - lat) * (F.col(LAT) - lat) + (F.col(LON) - lon) * (F.col(LON) - lon)
-
-    distances = F.array(*[distance(*c) for c in centers])
-    assigned = model.transform(_features(points)).select("prediction", distances.alias("d"))
-    nearest = F.get("d", F.col("prediction")) <= F.array_min("d") + F.lit(1e-9)
-    chained = all(a.n_after == b.n_before for a, b in zip(result.rounds, result.rounds[1:], strict=False))
-    within = result.rounds[-1].radius_km <= options["max_radius_km"]
-    anchored = result.members.filter(F.col("id") == anchor_id).count() == 1
-    return assigned.agg(
-        F.lit(points.count()).cast("bigint").alias("points_in"),
-        F.count("prediction").alias("points_assigned"),
-        F.count_if(~nearest).alias("not_nearest"),
-        F.lit(chained).alias("rounds_chained"),
-        F.lit(anchored).alias("anchor_present"),
-        F.lit(within).alias("radius_within_limit"),
-    )
+        current, n_before, k = kept.select(*points.columns), n_after, max(k - 1, min_k)
+
+
+def rounds_frame(result: RefineResult) -> DataFrame:
+    """One row per refinement round: round, k, n_before, n_after, cluster, centre and
+    radius in km (rounded to 6 digits)."""
+    return result.history.groupBy("round", "k", "n_before", "cluster", "center_lat", "center_lon").agg(
+        F.count(F.lit(1)).alias("n_after"), F.round(F.max("distance_km"), 6).alias("radius_km")
+    ).select("round", "k", "n_before", "n_after", "cluster", "center_lat", "center_lon", "radius_km")
+
+
+def checks_frame(points: DataFrame, assigned: DataFrame, result: RefineResult, anchor_id, max_radius_km: float) -> DataFrame:
+    """What must hold, as one row: every point is assigned; each round starts from
+    what the one before kept; the anchor is a member of every round, and the radius
+    is within the limit at the end."""
+    rounds = rounds_frame(result)
+    before = rounds.select((F.col("round") + 1).alias("round"), F.col("n_after").alias("kept_before"))
+    chained = rounds.join(before, "round").agg(F.coalesce(F.bool_and(F.col("kept_before") == F.col("n_before")), F.lit(True)).alias("rounds_chained"))
+    anchored = result.history.groupBy("round").agg((F.count_if(F.col("id") == anchor_id) == 1).alias("ok")).agg(F.bool_and("ok").alias("anchor_present"))
+    within = result.members.agg((F.max("distance_km") <= max_radius_km).alias("radius_within_limit"))
+    found = assigned.agg(F.count("cluster").alias("points_assigned"))
+    counts = points.agg(F.count(F.lit(1)).alias("points_in"))
+    one_row = counts
+    for part in (found, chained, anchored, within):  # aggregates without keys: one row each
+        one_row = one_row.join(part, how="cross")
+    return one_row
 
 
 def final_counts(members: DataFrame, postal_col: str, postal_code) -> DataFrame:

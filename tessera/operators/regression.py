@@ -79,3 +79,57 @@ def coefficients_frame(model: LinearRegressionModel, df_like: DataFrame, digits:
     return spark.createDataFrame(row, "slope double, intercept double").select(
         F.round("slope", digits).alias("slope"), F.round("intercept", digits).alias("intercept")
     )
+
+
+# --- regression from mergeable moments --------------------------------------------
+
+
+def moments(df: DataFrame, feature_cols: Sequence[str], label_col: str = "label") -> DataFrame:
+    """One row with n, the means and the centred co-moments (population covariances)
+    of the features and the label. One aggregate: Spark merges the partial moments of
+    tasks without going back to raw sums, so large means lose no digits. Rows with a
+    null feature or label take no part."""
+    names = [*feature_cols, label_col]
+    whole = df.select(*[F.col(c).cast("double").alias(c) for c in names]).na.drop()
+    means = [F.avg(c).alias(f"mean_{i}") for i, c in enumerate(names)]
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+    return whole.agg(F.count(F.lit(1)).alias("n"), *means, *[F.covar_pop(names[i], names[j]).alias(f"cov_{i}_{j}") for i, j in pairs])
+
+
+def solved(found: DataFrame, n_features: int) -> DataFrame:
+    """One row, one struct column ``model``: intercept and coefficients of the least
+    squares line through the moments. The normal equations are solved in the plan by
+    elimination, one projection a step (covariances need no pivoting). Collinear
+    features and an empty input give null coefficients."""
+    d = n_features
+    rows = [[F.col(f"cov_{min(i, j)}_{max(i, j)}") for j in range(d + 1)] for i in range(d)]
+    now = found.select("*", *[rows[i][j].alias(f"a_{i}_{j}") for i in range(d) for j in range(d + 1)])
+    for p in range(d):
+        step = {}
+        for j in range(p, d + 1):
+            scaled = F.try_divide(F.col(f"a_{p}_{j}"), F.col(f"a_{p}_{p}"))
+            step[f"a_{p}_{j}"] = scaled
+            for i in range(d):
+                if i != p:
+                    step[f"a_{i}_{j}"] = F.col(f"a_{i}_{j}") - F.col(f"a_{i}_{p}") * scaled
+        now = now.withColumns(step)
+    coefficients = [F.col(f"a_{i}_{d}") for i in range(d)]
+    intercept = F.col(f"mean_{d}")
+    for i, c in enumerate(coefficients):
+        intercept = intercept - c * F.col(f"mean_{i}")
+    return now.select(F.struct(intercept.alias("intercept"), F.array(*coefficients).alias("coefficients")).alias("model"))
+
+
+def linear_model(df: DataFrame, feature_cols: Sequence[str], label_col: str = "label") -> Column:
+    """The model of ``df`` as a column for use in any other plan: an uncorrelated
+    scalar subquery, so fitting and predicting are one plan with one scan each and
+    nothing goes through the driver's Python."""
+    return solved(moments(df, feature_cols, label_col), len(feature_cols)).scalar()
+
+
+def predicted(model: Column, feature_cols: Sequence[str]) -> Column:
+    """intercept + sum of coefficient * feature."""
+    out = model["intercept"]
+    for i, c in enumerate(feature_cols):
+        out = out + F.get(model["coefficients"], F.lit(i)) * F.col(c)
+    return out

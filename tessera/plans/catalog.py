@@ -7,20 +7,24 @@ The SQL twin of every query is in ``tessera.plans.oracles``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tessera.functions.geo import haversine_km
-from tessera.functions.numeric import cube_root
+from tessera.functions.numeric import cube_root, sum_of_cubes
 from tessera.functions.text import LANGUAGE_RULES
 from tessera.operators import clustering, league, regression, summaries, words
 from tessera.plans import standins
+from tessera.plans.reuse import shared
 from tessera.session import checkpoint_root, temporary_path
 from tessera.sources.files import read_csv, read_text_by_language, read_text_lines, write_csv
+from tessera.sources.inference import column_evidence, read_csv_inferred, read_csv_text, split_malformed
 from tessera.sources.tables import Tables, read_table
-from tessera.streaming.best_days import stream_daily_sales
+from tessera.streaming.best_days import agreement, stop_and_resume_daily_sales, stream_daily_sales
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,9 +43,10 @@ REFERENCE_POINT = (61.0, 23.0)  # (lat, lon) for the distance query
 TRAIN_PCT = 80
 NEW_X_VALUES = (-1.5, 2.5, 8.5, 31.4)
 KMEANS = {"start_k": 7, "min_k": 2, "max_radius_km": 3.0, "seed": 1}
-STREAM_FILE_ROWS = 250_000  # rows per staged CSV file (tens of MB)
+STREAM_FILE_ROWS = 250_000  # most rows of a staged CSV file (tens of MB)
+STREAM_BATCHES = 12  # micro-batches of the streams, at least, on any input
 STREAM_TOP_K = 6  # rows of the live view
-STREAM_FILES_PER_TRIGGER = 8  # files of one micro-batch, on any input
+STREAM_NAME = "live daily sales"
 
 ORDERS_SCHEMA = (
     "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
@@ -54,6 +59,8 @@ LINEITEM_SCHEMA = (
 )
 
 
+SALES_SCHEMA = "Rank BIGINT, Year INT, Global_Sales DOUBLE"
+
 # Staged copies of the supplied tables as CSV/text files stand in for the
 # files the reference reads; they are written once per session (keyed by
 # the checkpoint root, the table folder and the format) and then only read.
@@ -126,6 +133,27 @@ def q_worst_team_of_season(spark: SparkSession, sf_dir: str) -> DataFrame:
     return league.team_season(league.worst_team_per_season(league.season_points(games)), LOOKUP_SEASON)
 
 
+SEASON_REPORT = "report STRING, season INT, teamCode BIGINT, games BIGINT, wins BIGINT, losses BIGINT, goalsScored BIGINT, goalsConceded BIGINT, points BIGINT"
+
+
+def q_season_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Playoff records, season points, best and worst teams from one game table: it is
+    aggregated once, kept while the reports are written, and released after the last."""
+    path = temporary_path(spark, "season-report")
+    with shared(_games(Tables(spark, sf_dir))) as games:
+        records, points = league.playoff_records(games), league.season_points(games)
+        reports = {
+            "records": records,
+            "points": points,
+            "best": league.best_team_per_season(records),
+            "worst": league.worst_team_per_season(points),
+        }
+        for name, report in reports.items():
+            report.write.parquet(f"{path}/report={name}")
+    schema = StructType.fromDDL(SEASON_REPORT)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 # --- summaries and top-k -------------------------------------------------
 
 def q_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,6 +353,12 @@ def q_haversine_km(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _points(spark, sf_dir).select("id", F.round(d, 6).alias("distance_km"))
 
 
+def q_vector_cubes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum of the cubes of each vector's components, row by row."""
+    vectors = read_table(spark, sf_dir, "embeddings", columns=["vec_id", "embedding"])
+    return vectors.select("vec_id", F.round(sum_of_cubes(F.col("embedding")), 6).alias("sum_of_cubes"))
+
+
 # --- regression ----------------------------------------------------------
 
 def _xy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -336,9 +370,12 @@ def _xy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _fitted(spark: SparkSession, sf_dir: str):
-    train, test = regression.hash_split(_xy(spark, sf_dir), F.col("id"), TRAIN_PCT)
-    return regression.fit_linear_regression(train, ["X"], "label"), test
+def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return regression.hash_split(_xy(spark, sf_dir), F.col("id"), TRAIN_PCT)
+
+
+def _predictions(df: DataFrame, train: DataFrame) -> DataFrame:
+    return df.withColumn("prediction", regression.predicted(regression.linear_model(train, ["X"]), ["X"]))
 
 
 def q_hash_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -348,41 +385,51 @@ def q_hash_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_linreg_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slope and intercept of price on quantity (train part)."""
-    model, test = _fitted(spark, sf_dir)
-    return regression.coefficients_frame(model, test, 4)
+    train, _ = _split(spark, sf_dir)
+    model = regression.solved(regression.moments(train, ["X"]), 1)
+    return model.select(F.round(F.col("model.coefficients")[0], 4).alias("slope"), F.round("model.intercept", 4).alias("intercept"))
+
+
+def q_linreg_two_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coefficients of price on quantity and discount (train part)."""
+    lineitem = Tables(spark, sf_dir).lineitem
+    data = lineitem.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"), "l_quantity", "l_discount", F.col("l_extendedprice").alias("label")
+    )
+    train, _ = regression.hash_split(data, F.col("id"), TRAIN_PCT)
+    model = regression.solved(regression.moments(train, ["l_quantity", "l_discount"]), 2)
+    return model.select(
+        F.round(F.col("model.coefficients")[0], 4).alias("quantity"), F.round(F.col("model.coefficients")[1], 4).alias("discount"),
+        F.round("model.intercept", 4).alias("intercept"),
+    )
 
 
 def q_linreg_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Root mean squared error on the test part."""
-    model, test = _fitted(spark, sf_dir)
-    out = regression.rmse_frame(regression.predict(model, test, ["X"]))
-    return out.select(F.round("rmse", 4).alias("rmse"))
+    train, test = _split(spark, sf_dir)
+    return regression.rmse_frame(_predictions(test, train)).select(F.round("rmse", 4).alias("rmse"))
 
 
 def q_linreg_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions for the test part."""
-    model, test = _fitted(spark, sf_dir)
-    pred = regression.predict(model, test, ["X"])
-    return pred.select("id", "X", "label", F.round("prediction", 2).alias("prediction"))
+    train, test = _split(spark, sf_dir)
+    return _predictions(test, train).select("id", "X", "label", F.round("prediction", 2).alias("prediction"))
 
 
 def q_linreg_predict_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions for the training part."""
-    train, _ = regression.hash_split(_xy(spark, sf_dir), F.col("id"), TRAIN_PCT)
-    model, _ = _fitted(spark, sf_dir)
-    pred = regression.predict(model, train, ["X"])
-    return pred.select("id", "X", "label", F.round("prediction", 2).alias("prediction"))
+    train, _ = _split(spark, sf_dir)
+    return _predictions(train, train).select("id", "X", "label", F.round("prediction", 2).alias("prediction"))
 
 
 def q_linreg_predict_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions for four new quantities."""
-    model, _ = _fitted(spark, sf_dir)
+    train, _ = _split(spark, sf_dir)
     new_x = spark.createDataFrame([(x,) for x in NEW_X_VALUES], "X double")
-    pred = regression.predict(model, new_x, ["X"])
-    return pred.select("X", F.round("prediction", 4).alias("prediction"))
+    return _predictions(new_x, train).select("X", F.round("prediction", 4).alias("prediction"))
 
 
-# --- clustering (iterative: no SQL oracle) ---------------------------------
+# --- clustering -----------------------------------------------------------
 
 def q_kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K-Means (k=7) cluster of every point."""
@@ -395,19 +442,21 @@ def _refined(spark: SparkSession, sf_dir: str) -> clustering.RefineResult:
 
 def q_kmeans_refine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rounds of the shrinking K-Means refinement around the anchor."""
-    return clustering.rounds_frame(spark, _refined(spark, sf_dir))
+    return clustering.rounds_frame(_refined(spark, sf_dir))
 
 
 def q_kmeans_final_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members of the final cluster and those sharing the anchor's postal code."""
-    result = _refined(spark, sf_dir)
-    return clustering.final_counts(result.members, "postal_code", result.anchor["postal_code"])
+    members = _refined(spark, sf_dir).members
+    anchor_code = members.where(F.col("id") == standins.ANCHOR_ID).select("postal_code")
+    return clustering.final_counts(members, "postal_code", anchor_code.scalar())
 
 
 def q_kmeans_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What must hold of an assignment and of a refinement, as one row."""
     points = _points(spark, sf_dir)
-    return clustering.checks_frame(points, _refined(spark, sf_dir), standins.ANCHOR_ID, KMEANS)
+    assigned = clustering.kmeans_assign(points, KMEANS["start_k"], KMEANS["seed"])
+    return clustering.checks_frame(points, assigned, _refined(spark, sf_dir), standins.ANCHOR_ID, KMEANS["max_radius_km"])
 
 
 # --- file sources and the stream -----------------------------------------
@@ -420,25 +469,59 @@ def q_scan_imposed_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_scan_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders -> CSV (comma, header) -> read back with an explicit schema."""
+    return read_csv(spark, _staged_orders_csv(spark, sf_dir), ORDERS_SCHEMA)
+
+
+def _staged_orders_csv(spark: SparkSession, sf_dir: str) -> str:
     orders = Tables(spark, sf_dir).orders
-    path = _staged(spark, sf_dir, "orders-csv", lambda p: write_csv(orders, p))
-    return read_csv(spark, path, ORDERS_SCHEMA)
+    return _staged(spark, sf_dir, "orders-csv", lambda p: write_csv(orders, p))
+
+
+def q_scan_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders -> CSV (comma, header) -> read back with types from the values."""
+    return read_csv_inferred(spark, _staged_orders_csv(spark, sf_dir))
 
 
-def _staged_lineitem_csv(spark: SparkSession, sf_dir: str, label: str = "lineitem-csv") -> str:
+def q_csv_column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the values of each CSV column of orders are, and the type that follows."""
+    return column_evidence(read_csv_text(spark, _staged_orders_csv(spark, sf_dir)))
+
+
+def _sales_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine) of a staged sales CSV in which some years are ``N/A``."""
+    sales = standins.sales_with_gaps(Tables(spark, sf_dir).lineitem)
+    path = _staged(spark, sf_dir, "sales-csv", lambda p: write_csv(sales, p))
+    return split_malformed(read_csv_text(spark, path), SALES_SCHEMA)
+
+
+def q_sales_with_known_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly sales of the rows whose values all convert."""
+    rows, _ = _sales_rows(spark, sf_dir)
+    return rows.groupBy("Year").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("Global_Sales"), 2).alias("total"))
+
+
+def q_sales_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that do not convert, with their raw texts and the columns at fault."""
+    _, quarantine = _sales_rows(spark, sf_dir)
+    return quarantine.select("Rank", "Year", F.array_join("bad_columns", ",").alias("bad_columns"))
+
+
+def _staged_lineitem_csv(spark: SparkSession, sf_dir: str, label: str = "lineitem-csv") -> tuple[str, int]:
+    """The folder of lineitem as CSV files, and the files of one micro-batch with
+    which a stream over them takes ``STREAM_BATCHES`` micro-batches or more."""
     lineitem = Tables(spark, sf_dir).lineitem
+    rows = lineitem.count()  # from the footers of the files
 
     def write(path: str) -> None:
-        lineitem.write.option("sep", ";").option("header", "true").option(
-            "maxRecordsPerFile", STREAM_FILE_ROWS
-        ).csv(path)
+        size = max(1, min(STREAM_FILE_ROWS, -(-rows // STREAM_BATCHES)))
+        lineitem.write.option("sep", ";").option("header", "true").option("maxRecordsPerFile", size).csv(path)
 
-    return _staged(spark, sf_dir, label, write)
+    return _staged(spark, sf_dir, label, write), max(1, rows // (STREAM_FILE_ROWS * STREAM_BATCHES))
 
 
 def q_scan_csv_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem -> CSV (';', header) -> read back with a schema -> daily totals."""
-    path = _staged_lineitem_csv(spark, sf_dir)
+    path, _ = _staged_lineitem_csv(spark, sf_dir)
     retail = standins.retail(read_csv(spark, path, LINEITEM_SCHEMA, sep=";"))
     return summaries.daily_totals(retail, "day", "quantity", "price")
 
@@ -447,37 +530,40 @@ def _stream_day() -> Column:
     return standins.day_of(F.col("l_shipdate"))
 
 
+def _stream(spark: SparkSession, sf_dir: str) -> tuple:
+    """spark, folder, schema, day, quantity and price of the staged stream, and the options of its reader."""
+    path, files = _staged_lineitem_csv(spark, sf_dir)
+    source = (spark, path, LINEITEM_SCHEMA, _stream_day(), "l_quantity", "l_extendedprice")
+    return source, {"sep": ";", "max_files_per_trigger": files}
+
+
 def q_stream_best_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem staged as ';' CSV files, consumed as a file stream of
-    ``STREAM_FILES_PER_TRIGGER`` files a micro-batch; the final daily table."""
-    path = _staged_lineitem_csv(spark, sf_dir)
-    return stream_daily_sales(
-        spark,
-        path,
-        LINEITEM_SCHEMA,
-        _stream_day(),
-        "l_quantity",
-        "l_extendedprice",
-        sep=";",
-        max_files_per_trigger=STREAM_FILES_PER_TRIGGER,
-    )
+    """lineitem staged as ';' CSV files, consumed as a file stream in
+    ``STREAM_BATCHES`` micro-batches or more; the final daily table, merged day by day."""
+    source, options = _stream(spark, sf_dir)
+    return stream_daily_sales(*source, **options)
 
 
 def q_stream_top_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live top-k view of the stream (sorted, then limited, in complete
     mode), as it stands after all staged files are processed."""
-    path = _staged_lineitem_csv(spark, sf_dir)
-    return stream_daily_sales(
-        spark,
-        path,
-        LINEITEM_SCHEMA,
-        _stream_day(),
-        "l_quantity",
-        "l_extendedprice",
-        sep=";",
-        max_files_per_trigger=STREAM_FILES_PER_TRIGGER,
-        top_k=STREAM_TOP_K,
-    )
+    source, options = _stream(spark, sf_dir)
+    return stream_daily_sales(*source, top_k=STREAM_TOP_K, **options)
+
+
+def q_stream_stop_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily table of a live stream that was found by its name and stopped after
+    half of its micro-batches, then started again from its checkpoint."""
+    source, options = _stream(spark, sf_dir)
+    name = f"{STREAM_NAME} {uuid.uuid4().hex}"  # names are unique in a session
+    return stop_and_resume_daily_sales(*source, name=name, stop_after=STREAM_BATCHES // 2, **options)[0]
+
+
+def q_stream_batch_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of the streamed table against those of a batch read of the same files."""
+    (_, path, schema, *_), _ = _stream(spark, sf_dir)
+    batch = summaries.daily_totals(standins.retail(read_csv(spark, path, schema, sep=";")), "day", "quantity", "price")
+    return agreement(q_stream_best_days(spark, sf_dir), batch, "day", "total_sales", ("stream", "batch"))
 
 
 QUERIES: dict[str, Query] = {
@@ -491,6 +577,7 @@ QUERIES: dict[str, Query] = {
     "season_points": q_season_points,
     "worst_team_per_season": q_worst_team_per_season,
     "worst_team_of_season": q_worst_team_of_season,
+    "season_report": q_season_report,
     # summaries
     "row_count": q_row_count,
     "global_min_max": q_global_min_max,
@@ -521,9 +608,11 @@ QUERIES: dict[str, Query] = {
     # numbers, distances
     "cube_root": q_cube_root,
     "haversine_km": q_haversine_km,
+    "vector_cubes": q_vector_cubes,
     # regression
     "hash_split_counts": q_hash_split_counts,
     "linreg_coefficients": q_linreg_coefficients,
+    "linreg_two_features": q_linreg_two_features,
     "linreg_rmse": q_linreg_rmse,
     "linreg_predict": q_linreg_predict,
     "linreg_predict_train": q_linreg_predict_train,
@@ -536,7 +625,13 @@ QUERIES: dict[str, Query] = {
     # sources and streaming
     "scan_imposed_schema": q_scan_imposed_schema,
     "scan_csv_roundtrip": q_scan_csv_roundtrip,
+    "scan_csv_inferred": q_scan_csv_inferred,
+    "csv_column_types": q_csv_column_types,
+    "sales_with_known_year": q_sales_with_known_year,
+    "sales_quarantine": q_sales_quarantine,
     "scan_csv_semicolon": q_scan_csv_semicolon,
     "stream_best_days": q_stream_best_days,
     "stream_top_days": q_stream_top_days,
+    "stream_stop_resume": q_stream_stop_resume,
+    "stream_batch_agreement": q_stream_batch_agreement,
 }

@@ -147,6 +147,17 @@ def retail(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def sales_with_gaps(lineitem: DataFrame) -> DataFrame:
+    """Rank, Year (text), Global_Sales per line: the year of a first line that was
+    not returned is unknown ('N/A'), as in the reference's sales file."""
+    unknown = (F.col("l_returnflag") == "N") & (F.col("l_linenumber") == 1)
+    return lineitem.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("Rank"),
+        F.when(unknown, "N/A").otherwise(F.year("l_shipdate").cast("string")).alias("Year"),
+        F.col("l_extendedprice").alias("Global_Sales"),
+    )
+
+
 def publisher_sales(
     lineitem: DataFrame, supplier: DataFrame, nation: DataFrame, first_year: int, last_year: int
 ) -> DataFrame:

@@ -1,12 +1,20 @@
 """Daily sales totals over a folder of arriving CSV files.
 
 ``readStream`` over the folder (explicit schema -- a stream cannot infer
-one -- with the header checked against it), a stateful group-by on the day
-in complete mode, and a ``foreachBatch`` sink that overwrites a parquet
-result folder with the full table of each micro-batch (idempotent: a batch
-replayed after a failure rewrites the same content). State and progress
-live in a checkpoint folder under the shared ``spark.checkpoint.dir``, so a
-restarted query resumes where it stopped.
+one -- with the header checked against it) and a stateful group-by on the day. State
+is kept by RocksDB with changelog checkpoints: a micro-batch uploads what it changed,
+not the whole state, and the state may outgrow an executor's memory.
+
+Two sinks write whole, committed versions (``tessera.streaming.versions``):
+
+- the daily table runs in update mode: a micro-batch emits the days that it changed,
+  and the sink merges these into the buckets that hold them. Other buckets keep their
+  files, so a batch costs what it changed and not what the table holds;
+- the top-k view runs in complete mode (sorted, then limited) and rewrites its k rows.
+
+State and progress live in a checkpoint folder under the shared
+``spark.checkpoint.dir``, so a restarted query resumes where it stopped; a replayed
+micro-batch writes its version again.
 
 The state holds one row per distinct day and has no expiry; a watermark is
 not used because the totals are over all time. The aggregate is partial +
@@ -19,6 +27,9 @@ before a query's first run.
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +39,26 @@ from pyspark.sql.types import StructType
 
 from tessera.session import temporary_path
 from tessera.sources.files import csv_options
+from tessera.streaming import versions
+
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+RESULT_BUCKETS = 8
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the start of a query, which keeps a copy of them."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def read_csv_stream(
@@ -54,17 +85,12 @@ def daily_sales(stream: DataFrame, day_col: str | Column, quantity_col: str, pri
     )
 
 
-BATCH_PREFIX = "batch"
-
-
 def read_result(spark: SparkSession, result_path: str) -> DataFrame:
-    """The table of the last batch that was written to its end."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = path(result_path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [f.getPath().getName() for f in fs.listStatus(path(result_path))]
-    batches = [n for n in names if n.startswith(BATCH_PREFIX) and fs.exists(path(f"{result_path}/{n}/_SUCCESS"))]
-    done = [int(n.removeprefix(BATCH_PREFIX)) for n in batches]
-    return spark.read.parquet(f"{result_path}/{BATCH_PREFIX}{max(done)}")
+    """The table of the last committed micro-batch."""
+    last = versions.last_commit(spark, result_path)
+    if last is None:
+        raise FileNotFoundError(f"no committed result in {result_path}")
+    return versions.read_buckets(spark, result_path, last)
 
 
 @dataclass
@@ -73,6 +99,28 @@ class StreamRun:
     result_path: str
     checkpoint_path: str
 
+    def finish(self, timeout_sec: float | None = None) -> None:
+        """Wait for a query that ends by itself, and raise what ended it badly."""
+        if timeout_sec is None:
+            self.query.awaitTermination()
+        elif not self.query.awaitTermination(timeout_sec):
+            self.query.stop()
+            raise TimeoutError(f"stream did not finish within {timeout_sec} s")
+        if self.query.exception() is not None:
+            raise RuntimeError(str(self.query.exception()))
+
+    def drain(self, batches: int, poll_sec: float = 0.05) -> int:
+        """Wait until the running query has finished so many micro-batches since its
+        start, or has nothing left to read; how many it has finished."""
+        while self.query.isActive:
+            status, progress = self.query.status, self.query.recentProgress
+            done = sum(1 for p in progress if p["numInputRows"])
+            if done >= batches or (progress and not status["isDataAvailable"] and not status["isTriggerActive"]):
+                return done
+            time.sleep(poll_sec)
+        self.finish()
+        return sum(1 for p in self.query.recentProgress if p["numInputRows"])
+
 
 def run_to_parquet(
     agg: DataFrame,
@@ -81,30 +129,53 @@ def run_to_parquet(
     name: str | None = None,
     available_now: bool = True,
     interval: str = "10 seconds",
+    key_cols: tuple[str, ...] | None = ("day",),
+    buckets: int = RESULT_BUCKETS,
 ) -> StreamRun:
-    """Start ``agg`` in complete mode; every micro-batch writes the full current
-    table to a folder of its own below ``result_path``, so ``read_result`` never
-    sees a half-written one. ``available_now`` processes
-    what is there and stops; otherwise the query keeps running and checks
-    for new files every ``interval`` until stopped."""
+    """Start ``agg``. With ``key_cols`` in update mode: changed rows are merged by key
+    into ``buckets`` partitions of the result. Without in complete mode: each
+    micro-batch writes the full (sorted, limited) table. ``available_now`` processes
+    what is there and stops; otherwise the query keeps running and checks for new
+    files every ``interval`` until stopped."""
+    spark, schema = agg.sparkSession, agg.schema
+    bucket = F.pmod(F.xxhash64(*key_cols), F.lit(buckets)).cast("int") if key_cols else F.lit(0)
 
-    def write_batch(batch: DataFrame, epoch: int) -> None:
-        # A replayed batch writes its own folder again; earlier ones stay as they are.
-        batch.write.mode("overwrite").parquet(f"{result_path}/{BATCH_PREFIX}{epoch}")
-
-    # An empty table until the first micro-batch; "ignore" keeps the result
-    # of an earlier run when a query resumes from its checkpoint.
-    agg.sparkSession.createDataFrame([], agg.schema).write.mode("ignore").parquet(f"{result_path}/{BATCH_PREFIX}-1")
+    def merge(batch: DataFrame, epoch: int) -> None:
+        session = batch.sparkSession
+        before = versions.last_commit(session, result_path, before=epoch)
+        current = before.buckets if before else {}
+        rows = batch.withColumn(versions.BUCKET, bucket)
+        if not key_cols:
+            written = versions.write_version(rows, result_path, epoch)
+            versions.commit(session, result_path, versions.Commit(epoch, schema, dict.fromkeys(written, epoch)))
+            return
+        rows = rows.persist()  # the stateful plan runs once
+        try:
+            changed = {r[0] for r in rows.select(versions.BUCKET).distinct().collect()}  # at most ``buckets``
+            if before and changed & set(current):
+                old = versions.read_buckets(session, result_path, before, changed).withColumn(versions.BUCKET, bucket)
+                same = [old[k].eqNullSafe(rows[k]) for k in (versions.BUCKET, *key_cols)]
+                whole = old.join(rows, same, "left_anti").unionByName(rows)
+            else:
+                whole = rows
+            # Each bucket in one file: its rows meet in one task.
+            written = versions.write_version(whole.repartition(buckets, versions.BUCKET), result_path, epoch)
+        finally:
+            rows.unpersist()
+        versions.commit(session, result_path, versions.Commit(epoch, schema, current | dict.fromkeys(written, epoch)))
 
+    if versions.last_commit(spark, result_path) is None:  # an empty table until the first micro-batch
+        versions.commit(spark, result_path, versions.Commit(-1, schema, {}))
     writer = (
-        agg.writeStream.outputMode("complete")
-        .foreachBatch(write_batch)
+        agg.writeStream.outputMode("update" if key_cols else "complete")
+        .foreachBatch(merge)
         .option("checkpointLocation", checkpoint_path)
     )
     if name:
         writer = writer.queryName(name)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
-    return StreamRun(writer.start(), result_path, checkpoint_path)
+    with _settings(spark, STATE_SETTINGS):
+        return StreamRun(writer.start(), result_path, checkpoint_path)
 
 
 def stream_daily_sales(
@@ -139,17 +210,58 @@ def stream_daily_sales(
         result_path or temporary_path(spark, "stream-result"),
         checkpoint_path or temporary_path(spark, "stream-state"),
         name=name,
+        key_cols=("day",) if top_k is None else None,
     )
-    if timeout_sec is None:
-        run.query.awaitTermination()
-    elif not run.query.awaitTermination(timeout_sec):
-        run.query.stop()
-        raise TimeoutError(f"stream did not finish within {timeout_sec} s")
-    if run.query.exception() is not None:
-        raise RuntimeError(str(run.query.exception()))
+    run.finish(timeout_sec)
     return read_result(spark, run.result_path)
 
 
+def stop_and_resume_daily_sales(
+    spark: SparkSession,
+    folder: str,
+    schema: StructType | str,
+    day_col: str | Column,
+    quantity_col: str,
+    price_col: str,
+    name: str,
+    stop_after: int,
+    sep: str = ",",
+    max_files_per_trigger: int | None = 1,
+) -> tuple[DataFrame, int, int]:
+    """Run the live query under ``name`` until it has finished ``stop_after``
+    micro-batches, find it by its name and stop it, then start it again from its
+    checkpoint for what is left. The final table, and the micro-batches with rows of
+    the first and of the second run."""
+    stream = read_csv_stream(spark, folder, schema, sep, True, max_files_per_trigger)
+    agg = daily_sales(stream, day_col, quantity_col, price_col)
+    result, state = temporary_path(spark, "stream-result"), temporary_path(spark, "stream-state")
+    first = run_to_parquet(agg, result, state, name, available_now=False, interval="0 seconds")
+    try:
+        first.drain(stop_after)
+    finally:
+        stop_query_by_name(spark, name)
+    before = sum(1 for p in first.query.recentProgress if p["numInputRows"])
+    rest = run_to_parquet(agg, result, state, name)
+    rest.finish()
+    after = sum(1 for p in rest.query.recentProgress if p["numInputRows"])
+    return read_result(spark, result), before, after
+
+
+def agreement(left: DataFrame, right: DataFrame, key: str, value: str, names: tuple[str, str] = ("left", "right")) -> DataFrame:
+    """How far two tables with one row per key agree, as one row: keys on both sides,
+    those of them with equal values, and keys on one side only. Nulls are values."""
+    a = left.select(F.col(key).alias("key"), F.col(value).alias("a"), F.lit(True).alias("in_a"))
+    b = right.select(F.col(key).alias("key"), F.col(value).alias("b"), F.lit(True).alias("in_b"))
+    both = a.join(b, a["key"].eqNullSafe(b["key"]), "full_outer").select("a", "b", "in_a", "in_b")
+    paired = F.col("in_a").isNotNull() & F.col("in_b").isNotNull()
+    return both.agg(
+        F.count_if(paired).alias("keys_on_both"),
+        F.count_if(paired & F.col("a").eqNullSafe(F.col("b"))).alias("equal_values"),
+        F.count_if(F.col("in_b").isNull()).alias(f"only_{names[0]}"),
+        F.count_if(F.col("in_a").isNull()).alias(f"only_{names[1]}"),
+    )
+
+
 def top_days(table: DataFrame, k: int) -> DataFrame:
     """The ``k`` best days of a daily table (sorted before the limit, so the
     view is the true top, not the first rows that happen to arrive)."""

@@ -8,8 +8,6 @@ from tessera.plans.oracles import ORACLES
 from tests.compare import compare, duckdb_connection
 from tests.conftest import SF_CHECK
 
-ROWS_ONLY = {"kmeans_assign", "kmeans_refine", "kmeans_final_counts"}
-
 
 def test_entry_runs(spark):
     df = entry(spark)
@@ -19,9 +17,9 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_oracle_or_is_iterative():
+def test_every_query_has_an_oracle():
     # The training-data queries have tests of their own in tests/llm.
-    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(QUERIES) == set(ORACLES)
     assert set(QUERIES) <= set(queries())
     assert set(oracle_sql()) <= set(queries())
 
@@ -35,8 +33,3 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     rep = compare(spark, SF_CHECK, name, queries()[name], oracle_sql()[name], con)
     assert rep["ok"], rep
-
-
-@pytest.mark.parametrize("name", sorted(ROWS_ONLY))
-def test_iterative_queries_run(spark, name):
-    assert queries()[name](spark, SF_CHECK).count() > 0

@@ -1,6 +1,8 @@
 """Regression goldens (inline 30 points) and K-Means refinement invariants."""
 
+import hashlib
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,43 +67,86 @@ def _three_groups(spark):
     return spark.createDataFrame(rows, "id long, latitude_wgs84 double, longitude_wgs84 double, postal_code long")
 
 
+def _rounds(result):
+    return clustering.rounds_frame(result).orderBy("round").collect()
+
+
 def test_refinement_reaches_radius_and_keeps_anchor(spark):
-    points = _three_groups(spark)
-    result = clustering.kmeans_refine(points, 0, start_k=7, max_radius_km=3.0, seed=1)
-    last = result.rounds[-1]
-    assert last.radius_km <= 3.0
-    assert result.members.filter(F.col("id") == 0).count() == 1
-    ks = [r.k for r in result.rounds]
-    assert ks == [max(7 - i, 2) for i in range(len(ks))]
-    assert [r.n_before for r in result.rounds[1:]] == [r.n_after for r in result.rounds[:-1]]
+    result = clustering.kmeans_refine(_three_groups(spark), 0, start_k=7, max_radius_km=3.0, seed=1)
+    rounds = _rounds(result)
+    assert [r["radius_km"] <= 3.0 for r in rounds] == [False] * (len(rounds) - 1) + [True]
+    assert result.history.filter(F.col("id") == 0).count() == len(rounds)
+    assert [r["k"] for r in rounds] == [max(7 - i, 2) for i in range(len(rounds))]
+    assert [r["n_before"] for r in rounds[1:]] == [r["n_after"] for r in rounds[:-1]]
     final = clustering.final_counts(result.members, "postal_code", 33720).first()
-    assert final["members"] == last.n_after
+    assert final["members"] == rounds[-1]["n_after"]
     assert final["members_in_postal_code"] <= final["members"]
+    # Every round's radius is the distance of its farthest member to its own centre.
+    for r in rounds:
+        members = result.history.where(F.col("round") == r["round"])
+        distance = haversine_km(F.col("latitude_wgs84"), F.col("longitude_wgs84"), r["center_lat"], r["center_lon"])
+        assert members.agg(F.max(distance)).first()[0] == pytest.approx(r["radius_km"], abs=1e-6)
 
 
 def test_refinement_continues_at_k2_until_radius(spark):
     # one long chain of points: k drops to 2 and stays there until <= limit
     rows = [(i, 61.0 + i * 0.01, 23.0, 1) for i in range(200)]
     points = spark.createDataFrame(rows, "id long, latitude_wgs84 double, longitude_wgs84 double, postal_code long")
-    result = clustering.kmeans_refine(points, 0, start_k=3, max_radius_km=3.0, seed=1)
-    ks = [r.k for r in result.rounds]
-    assert ks[:2] == [3, 2]
-    assert result.rounds[-1].radius_km <= 3.0
-    assert all(k >= 2 for k in ks)
-
-
-def test_refinement_does_not_depend_on_the_layout(spark):
-    points = _three_groups(spark)
+    rounds = _rounds(clustering.kmeans_refine(points, 0, start_k=3, max_radius_km=3.0, seed=1))
+    assert [r["k"] for r in rounds][:2] == [3, 2]
+    assert rounds[-1]["radius_km"] <= 3.0
+    assert all(r["k"] >= 2 for r in rounds)
+
+
+def test_clusters_do_not_depend_on_the_layout(spark):
+    points = _three_groups(spark).unionByName(
+        spark.range(2000, 2400).selectExpr(
+            "id", "60 + id * 7919 % 10007 / 2001.0D AS latitude_wgs84", "22 + id * 104729 % 10009 / 1999.0D AS longitude_wgs84", "3L AS postal_code"
+        )
+    )
     runs = []
-    for n in (1, 3, 8, 16):
+    for n in (1, 16, 200):
         dealt = points.repartition(n, F.rand(n))
-        result = clustering.kmeans_refine(dealt, 0, start_k=7, max_radius_km=3.0, seed=1, partitions=8)
-        runs.append((result.rounds, sorted(r["id"] for r in result.members.collect())))
-        assigned = {r["id"]: r["cluster"] for r in clustering.kmeans_assign(dealt, 4, partitions=8).collect()}
-        runs[-1] += (assigned,)
+        result = clustering.kmeans_refine(dealt, 0, start_k=7, max_radius_km=3.0, seed=1)
+        assigned = {r["id"]: r["cluster"] for r in clustering.kmeans_assign(dealt, 4).collect()}
+        runs.append((_rounds(result), sorted(r["id"] for r in result.members.collect()), assigned))
     assert all(r == runs[0] for r in runs[1:])
 
 
+def _plain_kmeans(rows, k, seed):
+    """The clusters of (id, lat, lon) by the same rules, in plain Python."""
+    points = [(i, round(a * 1e6), round(b * 1e6)) for i, a, b in rows]
+    apart = lambda p, q: (p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2
+    order = sorted(points, key=lambda p: hashlib.md5(f"{seed}:{p[0]}".encode()).hexdigest())[:64]
+    chosen = [order[0][1:]]
+    while len(chosen) < k:
+        chosen.append(max((p[1:] for p in order), key=lambda p: min(apart(p, c) for c in chosen)))
+    for _ in range(20):
+        homes = [min(range(k), key=lambda c: apart(p[1:], chosen[c])) for p in points]
+        new = list(chosen)
+        for c in range(k):
+            of = [p for p, h in zip(points, homes) if h == c]
+            if of:
+                new[c] = (sum(p[1] for p in of) // len(of), sum(p[2] for p in of) // len(of))
+        moved, chosen = max(map(apart, new, chosen)), new
+        if moved <= 100**2:
+            break
+    return {p[0]: min(range(k), key=lambda c: apart(p[1:], chosen[c])) for p in points}
+
+
+def test_kmeans_against_plain_rounds(spark):
+    rng = random.Random(3)
+    rows = [(i, rng.uniform(-60, 60), rng.uniform(-179, 179)) for i in range(300)] + [(i, 1.5, 2.5) for i in range(300, 400)]
+    points = spark.createDataFrame([*rows, (900, None, 1.0)], "id long, latitude_wgs84 double, longitude_wgs84 double")
+    for k in (1, 2, 5):
+        got = {r["id"]: r["cluster"] for r in clustering.kmeans_assign(points, k, seed=4).collect()}
+        assert got.pop(900) is None
+        assert got == _plain_kmeans(rows, k, 4)
+    assert clustering.kmeans_assign(points.limit(0), 3).collect() == []
+    one_place = points.where("id >= 300 and id < 400")
+    assert {r["cluster"] for r in clustering.kmeans_assign(one_place, 3).collect()} == {0}
+
+
 def test_refinement_that_cannot_progress_raises(spark):
     schema = "id long, latitude_wgs84 double, longitude_wgs84 double, postal_code long"
     twins = spark.createDataFrame([(0, 61.0, 23.0, 1), (0, 62.0, 23.0, 1)], schema)

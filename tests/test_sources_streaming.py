@@ -6,7 +6,18 @@ from pyspark.sql import functions as F
 from tessera.operators import summaries
 from tessera.session import scratch_path
 from tessera.sources.files import read_csv, read_game_sales, read_text_lines, write_csv
-from tessera.streaming.best_days import read_result, stream_daily_sales, top_days
+from tessera.streaming import versions
+from tessera.streaming.best_days import (
+    agreement,
+    daily_sales,
+    read_csv_stream,
+    read_result,
+    run_to_parquet,
+    stop_and_resume_daily_sales,
+    stop_query_by_name,
+    stream_daily_sales,
+    top_days,
+)
 
 
 def _write_text(spark, label, text):
@@ -97,8 +108,6 @@ def test_inferred_csv_schema(spark):
 
 
 def test_live_stream_updates_and_stops_by_name(spark):
-    from tessera.streaming.best_days import daily_sales, read_csv_stream, run_to_parquet, stop_query_by_name
-
     schema = "d TIMESTAMP_NTZ, q DOUBLE, p DOUBLE"
     folder = scratch_path(spark, "live")
 
@@ -144,9 +153,115 @@ def test_malformed_values_fail_stream_and_batch_alike(spark, tmp_path):
         stream_daily_sales(spark, str(tmp_path / "in"), schema, F.lit("2020-01-01").cast("date"), "q", "p", sep=";")
 
 
-def test_readers_see_the_last_whole_batch(spark, tmp_path):
-    result = str(tmp_path / "result")
-    spark.range(1).write.parquet(f"{result}/batch0")
-    spark.range(5).write.parquet(f"{result}/batch10")
-    (tmp_path / "result" / "batch11").mkdir()  # begun, not committed
-    assert read_result(spark, result).count() == 5
+def _version(spark, root, epoch, rows, buckets):
+    frame = spark.createDataFrame(rows, "day int, total_sales double, bucket int")
+    versions.write_version(frame, root, epoch)
+    schema = frame.drop("bucket").schema
+    versions.commit(spark, root, versions.Commit(epoch, schema, buckets))
+
+
+def test_readers_see_whole_commits_and_old_versions_go(spark, tmp_path):
+    root = str(tmp_path / "result")
+    with pytest.raises(FileNotFoundError):
+        read_result(spark, root)
+    _version(spark, root, 0, [(1, 1.0, 0), (2, 2.0, 1)], {0: 0, 1: 0})
+    _version(spark, root, 1, [(1, 5.0, 0)], {0: 1, 1: 0})
+    _version(spark, root, 2, [(1, 6.0, 0)], {0: 2, 1: 0})
+    versions.write_version(spark.createDataFrame([(9, 9.0, 0)], "day int, total_sales double, bucket int"), root, 3)  # not committed
+    assert sorted(map(tuple, read_result(spark, root).collect())) == [(1, 6.0), (2, 2.0)]
+    names = {f.name for f in (tmp_path / "result").iterdir() if not f.name.startswith(".")}
+    assert names == {"v0", "v1", "v2", "v3", "commit1", "commit2"}  # bucket 1 is still that of batch 0
+    _version(spark, root, 3, [(1, 7.0, 0), (2, 8.0, 1)], {0: 3, 1: 3})
+    _version(spark, root, 4, [(1, 8.0, 0)], {0: 4, 1: 3})
+    names = {f.name for f in (tmp_path / "result").iterdir() if not f.name.startswith(".")}
+    assert names == {"v3", "v4", "commit3", "commit4"}
+
+
+def _arrivals(spark, folder, days, files):
+    """CSV files that all hold every day, and the daily totals."""
+    rows = [(f, f"2004-01-{d + 1:02d} 00:00:00", float(f + 1), float(d + 1)) for f in range(files) for d in range(days)]
+    frame = spark.createDataFrame(rows, "f int, d string, q double, p double")
+    for f in range(files):
+        one = frame.where(F.col("f") == f).select(F.col("d").cast("timestamp_ntz").alias("d"), "q", "p")
+        one.coalesce(1).write.option("header", "true").csv(f"{folder}/{f:03d}")
+    return {f"2004-01-{d + 1:02d}": round(sum(f + 1 for f in range(files)) * (d + 1.0), 2) for d in range(days)}
+
+
+def test_state_is_carried_over_twelve_batches(spark):
+    folder, result, state = (scratch_path(spark, x) for x in ("many-in", "many-out", "many-state"))
+    want = _arrivals(spark, folder, days=5, files=12)
+    stream = read_csv_stream(spark, f"{folder}/*/", "d TIMESTAMP_NTZ, q DOUBLE, p DOUBLE", max_files_per_trigger=1)
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    run = run_to_parquet(daily_sales(stream, "d", "q", "p"), result, state, buckets=3)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == provider  # the session's settings are its own
+    run.finish()
+    progress = [p for p in run.query.recentProgress if p["numInputRows"]]
+    assert len(progress) == 12
+    states = [p["stateOperators"][0] for p in progress]
+    # Every later batch updates the same rows of the state and adds none.
+    assert states[0]["numRowsUpdated"] >= 5 and len({(s["numRowsTotal"], s["numRowsUpdated"]) for s in states[1:]}) == 1
+    assert any("rocksdb" in k.lower() for k in states[-1]["customMetrics"])
+    assert {str(r["day"]): r["total_sales"] for r in read_result(spark, result).collect()} == want
+    last = versions.last_commit(spark, result)
+    assert last.epoch == 11 and set(last.buckets.values()) == {11}
+    assert versions._epochs(spark, result, versions.COMMIT) == [10, 11]
+    assert set(versions._epochs(spark, result, versions.VERSION)) <= {10, 11}
+
+
+def test_only_buckets_of_changed_days_are_written(spark):
+    folder, result, state = (scratch_path(spark, x) for x in ("few-in", "few-out", "few-state"))
+    want = _arrivals(spark, folder, days=28, files=1)
+    schema = "d TIMESTAMP_NTZ, q DOUBLE, p DOUBLE"
+    args = (spark, f"{folder}/*/", schema, "d", "q", "p")
+    stream_daily_sales(*args, result_path=result, checkpoint_path=state)
+    one = spark.createDataFrame([("2004-01-03 00:00:00", 1.0, 100.0)], "d string, q double, p double")
+    one.select(F.col("d").cast("timestamp_ntz").alias("d"), "q", "p").coalesce(1).write.option("header", "true").csv(f"{folder}/later")
+    table = stream_daily_sales(*args, result_path=result, checkpoint_path=state)
+    want["2004-01-03"] += 100.0
+    assert {str(r["day"]): r["total_sales"] for r in table.collect()} == want
+    assert sorted(versions.last_commit(spark, result).buckets.values()).count(1) == 1  # one bucket has the new version
+
+
+def test_replayed_batch_gives_the_same_table(spark):
+    folder, result, state = (scratch_path(spark, x) for x in ("again-in", "again-out", "again-state"))
+    want = _arrivals(spark, folder, days=4, files=3)
+    args = (spark, f"{folder}/*/", "d TIMESTAMP_NTZ, q DOUBLE, p DOUBLE", "d", "q", "p")
+    stream_daily_sales(*args, result_path=result, checkpoint_path=state)
+    fs, path = versions._files(spark, state)
+    fs.delete(path(f"{state}/commits/2"), False)  # as if the driver was lost after the sink's commit
+    table = stream_daily_sales(*args, result_path=result, checkpoint_path=state)
+    assert {str(r["day"]): r["total_sales"] for r in table.collect()} == want
+    assert versions.last_commit(spark, result).epoch == 2
+
+
+def test_stream_is_found_by_name_stopped_and_resumed(spark):
+    folder = scratch_path(spark, "stop-in")
+    want = _arrivals(spark, folder, days=3, files=12)
+    table, before, after = stop_and_resume_daily_sales(
+        spark, f"{folder}/*/", "d TIMESTAMP_NTZ, q DOUBLE, p DOUBLE", "d", "q", "p", name="to be stopped", stop_after=4
+    )
+    assert 4 <= before < 12 and before + after >= 12  # the batch that the stop cut short runs again
+    assert {str(r["day"]): r["total_sales"] for r in table.collect()} == want
+    assert not stop_query_by_name(spark, "to be stopped")
+
+
+def test_agreement_counts_each_kind(spark):
+    left = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, None), (None, 4.0), (5, 5.0)], "day int, total double")
+    right = spark.createDataFrame([(1, 1.0), (2, 2.5), (3, None), (None, 4.0), (6, 6.0), (7, 7.0)], "day int, total double")
+    row = agreement(left, right, "day", "total", ("stream", "batch")).first().asDict()
+    assert row == {"keys_on_both": 4, "equal_values": 3, "only_stream": 1, "only_batch": 2}
+
+
+def test_the_registered_streams_take_many_batches(spark):
+    from tessera.plans import catalog
+
+    path, files = catalog._staged_lineitem_csv(spark, "/root/testdata/sf0.01")
+    stream = read_csv_stream(spark, path, catalog.LINEITEM_SCHEMA, ";", True, files)
+    agg = daily_sales(stream, catalog._stream_day(), "l_quantity", "l_extendedprice")
+    run = run_to_parquet(agg, scratch_path(spark, "reg-out"), scratch_path(spark, "reg-state"))
+    run.finish()
+    progress = [p for p in run.query.recentProgress if p["numInputRows"]]
+    assert len(progress) >= 10
+    per_day = spark.read.schema(catalog.LINEITEM_SCHEMA).option("sep", ";").option("header", "true").csv(path)
+    files_of_day = per_day.select(catalog._stream_day().alias("day"), F.input_file_name().alias("file")).groupBy("day").agg(F.countDistinct("file").alias("n"))
+    assert files_of_day.agg(F.max("n")).first()[0] == len(progress)  # a day in all of them
