@@ -13,6 +13,10 @@ bound for tables of any size); a language with fewer is used whole. Workers
 count, Spark sums, and only the profiles, ``PROFILE_GRAMS`` n-grams for each of at
 most ``MAX_LANGS`` languages, reach the driver and are broadcast.
 
+A text in no learned language has a nearest profile too. For rejecting it, every
+language has a least score, learned from the scores of its training documents
+(``learn_least_scores``); ``accepted`` compares with it.
+
 Defined results: a null text, one without letters, or any text when nothing was
 learned is ``und`` with score 0. A text that shares no n-gram with any profile
 gets the first language with score 0. Ties between n-grams go to the smaller
@@ -37,6 +41,8 @@ PROFILE_GRAMS = 400
 TRAIN_DOCS = 4_000
 MAX_LANGS = 1_000
 UNDETERMINED = "und"
+LEAST_QUANTILE = 0.001  # of the training documents' scores
+LEAST_SHARE = 0.8  # of that score, for a text to be in the language
 
 EDGE = 1  # the mark at a word's edges; no letter has this code
 BLOCK_CHARS = 1 << 20
@@ -114,10 +120,8 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 4 == 2
 
 
-def learn_profiles(
-    labelled: DataFrame, id_col: str, text_col: str, lang_col: str, train_docs: int = TRAIN_DOCS, size: int = PROFILE_GRAMS
-) -> dict[str, list[int]]:
-    """Profiles from rows with a language. Rows without text or language teach nothing."""
+def _sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, train_docs: int) -> tuple[list[str], DataFrame | None]:
+    """The languages, and about ``train_docs`` rows (lang, text) of each."""
     rows = labelled.select(
         col(id_col).cast("string").alias("id"), col(text_col).alias("text"), col(lang_col).alias("lang")
     ).where("text is not null and lang is not null")
@@ -125,22 +129,34 @@ def learn_profiles(
     if len(known) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
     if not known:
-        return {}
+        return [], None
     # Each language's share of the hash range: all rows, or about train_docs of them.
     share = F.create_map(*[x for r in known for x in (F.lit(r["lang"]), F.lit(min(1.0, train_docs / r["count"])))])
     chance = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.where(chance < share[F.col("lang")]).select("lang", utf8(F.col("text")).alias("text"))
+    return [r["lang"] for r in known], rows.where(chance < share[F.col("lang")]).select("lang", utf8(F.col("text")).alias("text"))
+
+
+def learn_profiles(
+    labelled: DataFrame, id_col: str, text_col: str, lang_col: str, train_docs: int = TRAIN_DOCS, size: int = PROFILE_GRAMS
+) -> dict[str, list[int]]:
+    """Profiles from rows with a language. Rows without text or language teach nothing."""
+    langs, sample = _sample(labelled, id_col, text_col, lang_col, train_docs)
+    if sample is None:
+        return {}
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for lang, texts in batch.groupby("lang")["text"]:
-                found, counts = grams(" ".join(str(t, "utf-8", "replace") for t in texts))
-                yield pd.DataFrame({"lang": lang, "gram": found, "n": counts})
+                # Each text alone: the counts do not depend on which texts share a batch.
+                alone = [grams(str(t, "utf-8", "replace")) for t in texts]
+                found, where = np.unique(np.concatenate([f for f, _ in alone]), return_inverse=True)
+                n = np.bincount(where, np.concatenate([c for _, c in alone]), len(found)).astype(np.int64)
+                yield pd.DataFrame({"lang": lang, "gram": found, "n": n})
 
     counted = sample.mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     ranks = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     best = counted.withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= size).orderBy("lang", "rank")
-    profiles: dict[str, list[int]] = {r["lang"]: [] for r in known}
+    profiles: dict[str, list[int]] = {lang: [] for lang in langs}
     for r in best.collect():
         profiles[r["lang"]].append(r["gram"])
     return {lang: p for lang, p in profiles.items() if p}
@@ -160,3 +176,27 @@ def predict_column(text: Column, profiles: Broadcast, size: int = PROFILE_GRAMS)
             )
 
     return predict(utf8(text))
+
+
+def learn_least_scores(
+    labelled: DataFrame, id_col: str, text_col: str, lang_col: str, profiles: Broadcast, train_docs: int = TRAIN_DOCS,
+    size: int = PROFILE_GRAMS,
+) -> dict[str, float]:
+    """For each language the least score at which a text is taken to be in it:
+    ``LEAST_SHARE`` of the score that all but ``LEAST_QUANTILE`` of its training
+    documents reach. A language of which no training document is recognised has 0."""
+    _, sample = _sample(labelled, id_col, text_col, lang_col, train_docs)
+    if sample is None:
+        return {}
+    scored = sample.select("lang", predict_column(F.col("text").cast("string"), profiles, size).alias("p"))
+    own = scored.where("p.lang_pred = lang").groupBy("lang").agg(F.percentile("p.score", F.lit(LEAST_QUANTILE)).alias("low"))
+    least = {r["lang"]: LEAST_SHARE * r["low"] for r in own.collect()}  # one row a language
+    return {lang: least.get(lang, 0.0) for lang in profiles.value}
+
+
+def accepted(predicted: Column, least: dict[str, float]) -> Column:
+    """Whether a prediction's score reaches its language's least score; never for ``und``."""
+    if not least:
+        return F.lit(False)
+    table = F.create_map(*[x for lang, score in sorted(least.items()) for x in (F.lit(lang), F.lit(score))])
+    return F.coalesce(predicted["score"] >= F.try_element_at(table, predicted["lang_pred"]), F.lit(False))
