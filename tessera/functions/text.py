@@ -1,4 +1,4 @@
-"""Column expressions for words in text (JVM regex, no Python UDF).
+"""Column expressions for words in text (built-in functions, no Python UDF).
 
 Word rules (per language):
   * case is ignored (text is lower-cased);
@@ -29,8 +29,8 @@ FRENCH_ONE_LETTER_WORDS = ("a", "à", "y")
 SPANISH_ONE_LETTER_WORDS = ("a", "e", "o", "u", "y")
 FINNISH_BANNED_SUBSTRINGS = ("wiki",)
 
-WHITESPACE_RUN = r"\s+"
-NON_WHITESPACE_RUN = r"\S+"
+# White space as regular expressions see it, the blank first.
+WHITESPACE = " \t\n\x0b\f\r"
 
 
 @dataclass(frozen=True)
@@ -73,15 +73,23 @@ def is_word(word: Column, rules: WordRules) -> Column:
     return cond
 
 
+def _each_replaced(text: Column, by: str) -> Column:
+    # Plain replacements, one scan of the bytes each; a text without the character is returned as it is.
+    for char in WHITESPACE[1:] if by else WHITESPACE:
+        text = F.replace(text, F.lit(char), F.lit(by))
+    return text
+
+
 def whitespace_split(text: Column) -> Column:
-    """Array of the white-space separated tokens (may hold empty strings at
-    the ends; filter them or test tokens afterwards)."""
-    return F.split(text, WHITESPACE_RUN)
+    """Array of the white-space separated tokens. It holds empty strings where
+    white space stands at an end or beside other white space; filter them or test
+    tokens afterwards. Split at one character, which needs no regular expression."""
+    return F.split(_each_replaced(text, " "), " ")
 
 
 def token_count(text: Column) -> Column:
     """Number of white-space separated tokens."""
-    return F.regexp_count(text, F.lit(NON_WHITESPACE_RUN))
+    return F.size(F.array_remove(whitespace_split(text), ""))
 
 
 def line_count(text: Column, separator: str = "\n") -> Column:
@@ -92,4 +100,4 @@ def line_count(text: Column, separator: str = "\n") -> Column:
 def non_space_length(text: Column) -> Column:
     """Number of characters that are not white space (tabs and newlines are
     white space too, not only the blank)."""
-    return F.length(F.regexp_replace(text, r"\s", ""))
+    return F.length(_each_replaced(text, ""))

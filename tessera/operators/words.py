@@ -3,7 +3,7 @@
 Tokens come from ``explode(split(...))`` on the executors; counts are hash
 aggregates with a partial step, so very frequent words ("the") are combined
 on the map side before the shuffle. Several languages are handled in one
-scan: each row takes the cleaning rule of its language through ``CASE``.
+scan: each distinct token takes the cleaning rule of its language through ``CASE``.
 Documents are processed whole -- no prefix of a text is ever taken.
 """
 
@@ -26,28 +26,6 @@ from tessera.functions.text import (
 )
 
 
-def words_by_lang(
-    docs: DataFrame,
-    rules: Mapping[str, WordRules],
-    text_col: str = "text",
-    lang_col: str = "lang",
-) -> DataFrame:
-    """One row per valid word occurrence: ``lang``, ``word``."""
-    lang = F.col(lang_col)
-    cleaned: Column | None = None
-    valid: Column | None = None
-    for code, r in rules.items():
-        expr = strip_disallowed(F.col(text_col), r)
-        cleaned = F.when(lang == code, expr) if cleaned is None else cleaned.when(lang == code, expr)
-    tokens = docs.filter(lang.isin(*rules)).select(
-        lang.alias("lang"), F.explode(whitespace_split(cleaned)).alias("word")
-    )
-    for code, r in rules.items():
-        cond = (F.col("lang") == code) & is_word(F.col("word"), r)
-        valid = cond if valid is None else valid | cond
-    return tokens.filter(valid)
-
-
 def word_counts_by_lang(
     docs: DataFrame,
     languages: Mapping[str, WordRules] | None = None,
@@ -55,9 +33,20 @@ def word_counts_by_lang(
     lang_col: str = "lang",
 ) -> DataFrame:
     """``lang``, ``word``, ``n``: occurrences of each word per language.
-    Compute once and answer the word questions from it."""
+    Compute once and answer the word questions from it. Tokens are counted as they
+    stand first; only distinct ones are cleaned and tested by their language's rules,
+    and those that clean to one word are added up."""
     rules = languages if languages is not None else LANGUAGE_RULES
-    return words_by_lang(docs, rules, text_col, lang_col).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    lang = F.col(lang_col)
+    tokens = docs.filter(lang.isin(*rules)).select(lang.alias("lang"), F.explode(whitespace_split(F.col(text_col))).alias("token"))
+    counted = tokens.filter("token <> ''").groupBy("lang", "token").agg(F.count(F.lit(1)).alias("n"))
+    cleaned: Column = F.lit(None).cast("string")
+    valid: Column = F.lit(False)
+    for code, r in rules.items():
+        cleaned = F.when(F.col("lang") == code, strip_disallowed(F.col("token"), r)).otherwise(cleaned)
+        valid = valid | ((F.col("lang") == code) & is_word(F.col("word"), r))
+    words = counted.select("lang", cleaned.alias("word"), "n").filter(valid)
+    return words.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 def top_words(counts: DataFrame, lang: str, k: int = 10, length: int | None = None) -> DataFrame:
