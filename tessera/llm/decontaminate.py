@@ -8,9 +8,11 @@ last ``window`` words are hit; where it reaches a shorter item's whole length,
 that item's words are hit. Hit words form spans; a document is contaminated
 when its hit words reach a share of all its words.
 
-Items are read in shards of bounded size (``SHARD_CHARS`` of text), one
-automaton for each, so what is broadcast is bounded however many items there are;
-more than one shard takes one pass each, which carries the spans found so far.
+Distinct items are dealt into shards of bounded size (``SHARD_CHARS`` of text). Tasks
+build one automaton for each and store it in the shared folder; it is broadcast for its
+pass over the documents, so what is broadcast is bounded however many items there are.
+With several shards each pass stores row numbers and finds of the texts that it hits,
+no texts, and one join brings the merged finds back to the documents.
 Measured: a million characters of random words give 185,000 states, 140 MB in
 each worker and 7 MB to broadcast, so a full shard stays below 300 MB a worker.
 
@@ -22,20 +24,25 @@ or listed; repeated items count once.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
+from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import col, fresh, stored, utf8
+from tessera.llm.common import ascii_lower, col, fresh, stored, utf8
 
 WINDOW = 13
 SHARD_CHARS = 2_000_000
 MIN_SHARE = 20  # contaminated: 1 of this many words is hit, or more
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+TEXT_WORD = r"[0-9a-z\x{80}-\x{10ffff}]+"  # the same in a text
 
 
 def words(data: bytes) -> list[bytes]:
@@ -167,27 +174,41 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 MATCH_TYPE = "n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
 
 
-def _match_column(text: Column, before: Column, automaton) -> Column:
-    """One pass: what earlier shards found, and what this one finds."""
+def _match_column(text: Column, automaton: Broadcast | None) -> Column:
+    """What an automaton finds in each text, in one pass; nothing without one."""
 
     @F.arrow_udf(MATCH_TYPE)
-    def match(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, found in batches:
+    def match(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
             out = []
-            for data, earlier in zip(texts.to_pylist(), found.to_pylist(), strict=True):
+            for data in texts.to_pylist():
                 text_words = words(data)
-                spans, items = automaton.value.match(text_words)
-                items = {i for i in items if i is not None}
-                if earlier is not None:
-                    spans = merged(spans + [(s["start"], s["end"]) for s in earlier["spans"]])
-                    items |= set(earlier["items"])
+                spans, items = _held(automaton).match(text_words) if automaton is not None else ([], set())
                 out.append({
-                    "n_words": len(text_words), "n_hit": sum(e - s for s, e in spans), "items": sorted(items),
+                    "n_words": len(text_words), "n_hit": sum(e - s for s, e in spans), "items": sorted(i for i in items if i is not None),
                     "spans": [{"start": s, "end": e} for s, e in spans],
                 })
             yield pa.array(out, _ARROW_TYPE)
 
-    return match(utf8(text), before)
+    return match(utf8(text))
+
+
+def _merge_column(found: Column) -> Column:
+    """The finds of several shards in one text as one."""
+
+    @F.arrow_udf(MATCH_TYPE)
+    def merge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            out = []
+            for shards in batch.to_pylist():
+                spans = merged([(s["start"], s["end"]) for m in shards for s in m["spans"]])
+                out.append({
+                    "n_words": shards[0]["n_words"], "n_hit": sum(e - s for s, e in spans), "items": sorted({i for m in shards for i in m["items"]}),
+                    "spans": [{"start": s, "end": e} for s, e in spans],
+                })
+            yield pa.array(out, _ARROW_TYPE)
+
+    return merge(found)
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -195,14 +216,31 @@ _ARROW_TYPE = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items
 
 
 def automata(spark: SparkSession, items: DataFrame, id_col: str, text_col: str, window: int = WINDOW, shard_chars: int = SHARD_CHARS):
-    """Broadcast automata, each over a shard of the items of bounded size."""
-    rows = items.select(col(id_col).cast("string").alias("id"), col(text_col).cast("string").alias("text")).where("text is not null")
+    """Broadcast automata, each over a shard of the distinct items of bounded size.
+    Tasks build them, one a shard, and store them in the shared folder; the driver only
+    passes a shard's finished bytes on."""
+    rows = items.select(col(id_col).cast("string").alias("id"), col(text_col).cast("string").alias("text"))
+    rows = stored(rows.where("text is not null").distinct(), "items")
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = 1 + int(total // shard_chars)
-    shard = F.pmod(F.xxhash64("text", "id"), F.lit(n))
+
+    def build(key: tuple, table: pa.Table) -> pa.Table:
+        some = [(i, words(t.encode())) for i, t in zip(table["id"].to_pylist(), table["text"].to_pylist(), strict=True)]
+        data = pickle.dumps(Automaton(some, window), pickle.HIGHEST_PROTOCOL)
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "automaton": pa.array([data], pa.binary())})
+
+    sharded = rows.withColumn("shard", F.pmod(F.xxhash64("text", "id"), F.lit(n)).cast("int"))
+    built = stored(sharded.groupBy("shard").applyInArrow(build, "shard int, automaton binary"), "automata")
     for i in range(n):
-        some = [(r["id"], words(r["text"].encode())) for r in rows.where(shard == i).toLocalIterator()]
-        yield spark.sparkContext.broadcast(Automaton(some, window))
+        found = built.where(F.col("shard") == i).select("automaton").first()
+        if found is not None:
+            yield spark.sparkContext.broadcast(found[0])
+
+
+@lru_cache(maxsize=1)
+def _held(automaton: Broadcast) -> Automaton:
+    """A worker's copy of the automaton, unpacked once."""
+    return pickle.loads(automaton.value)
 
 
 def find_contamination(
@@ -210,14 +248,31 @@ def find_contamination(
     shard_chars: int = SHARD_CHARS,
 ) -> DataFrame:
     """``docs`` with a column ``out``: n_words, n_hit, the items found (as
-    strings, sorted) and the hit spans in words."""
+    strings, sorted) and the hit spans in words. With several shards the documents are
+    stored once under row numbers; each shard's pass keeps numbers, spans and items
+    only, and the texts meet the merged finds in one join."""
     kept = [c for c in docs.columns if c.lower() != out.lower()]
-    before = F.lit(None).cast(f"struct<{MATCH_TYPE}>")
-    for i, automaton in enumerate(automata(docs.sparkSession, items, item_id, item_text, window, shard_chars)):
-        if i:
-            docs, before = stored(docs, "match"), col(out)
-        docs = docs.select(*[col(c) for c in kept], _match_column(col(text_col), before, automaton).alias(out))
-    return docs
+    shards = automata(docs.sparkSession, items, item_id, item_text, window, shard_chars)
+    first, second = next(shards, None), next(shards, None)
+    if second is None:
+        return docs.select(*[col(c) for c in kept], _match_column(col(text_col), first).alias(out))
+    row = fresh(docs, "row")
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    finds = None
+    for automaton in chain((first, second), shards):
+        some = numbered.select(col(row).alias("row"), _match_column(col(text_col), automaton).alias("m"))
+        some = stored(some.where("m.n_hit > 0"), "match")
+        finds = some if finds is None else finds.union(some)
+        automaton.unpersist()
+    merged_finds = finds.groupBy("row").agg(F.collect_list("m").alias("found"))  # at most one a shard
+    merged_finds = merged_finds.select(F.col("row").alias(row), _merge_column(F.col("found")).alias(out))
+    joined = numbered.select(*[col(c) for c in (*kept, row)]).join(merged_finds, row, "left")
+    nothing = F.struct(
+        F.regexp_count(ascii_lower(F.coalesce(col(text_col).cast("string"), F.lit(""))), F.lit(TEXT_WORD)).cast("long").alias("n_words"),
+        F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"),
+        F.array().cast("array<struct<start:long,end:long>>").alias("spans"),
+    )
+    return joined.select(*[col(c) for c in kept], F.coalesce(col(out), nothing).alias(out))
 
 
 def contaminated(match: Column, min_share: int = MIN_SHARE) -> Column:

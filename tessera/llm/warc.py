@@ -17,7 +17,8 @@ response, and the others are revisits that refer to it.
 Only DataFrame functions are used. Defined results: a null payload counts as
 empty. Rows that repeat the largest id are all responses. A null id refers to
 the response like any other, and is a response itself only if no row of the
-group has an id; a missing target or date is left out of the header.
+group has an id; a missing target is left out of the header, and a missing date is the
+epoch's. Line ends in a target are percent-encoded.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from tessera.llm.common import col, shared_path, utf8
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 CRLF = "\r\n"
 RESPONSE, REVISIT = "response", "revisit"
+EPOCH = "1970-01-01 00:00:00"  # the date of a record without one; WARC 1.1 requires a date
 # The profile that WARC 1.1 names for revisits of an identical payload.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -65,11 +67,17 @@ class Archive:
     headers: str
 
 
+def _on_one_line(target: Column) -> Column:
+    """The target with line ends percent-encoded, as a URI writes them; a percent sign
+    stays, so a target without line ends is written exactly."""
+    return F.replace(F.replace(target, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+
+
 def _record_id(record: Column) -> Column:
     return F.concat(F.lit("<urn:record:"), F.coalesce(record.cast("string"), F.lit("none")), F.lit(">"))
 
 
-def _header(record: Column, target: Column, refers_to: Column, kind: Column, label: Column, length: Column) -> Column:
+def _header(record: Column, target: Column, date: Column, refers_to: Column, kind: Column, label: Column, length: Column) -> Column:
     """The header block, with the empty line that ends it."""
     def line(name: str, value: Column) -> Column:
         return F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
@@ -79,7 +87,8 @@ def _header(record: Column, target: Column, refers_to: Column, kind: Column, lab
         F.lit("WARC/1.1" + CRLF),
         line("WARC-Type", kind),
         line("WARC-Record-ID", _record_id(record)),
-        F.coalesce(line("WARC-Target-URI", F.regexp_replace(target, r"[\r\n]", "")), F.lit("")),
+        line("WARC-Date", F.date_format(date, "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        F.coalesce(line("WARC-Target-URI", _on_one_line(target)), F.lit("")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), label)),
         F.when(is_revisit, F.concat(line("WARC-Refers-To", _record_id(refers_to)), line("WARC-Profile", F.lit(REVISIT_PROFILE)))).otherwise(F.lit("")),
         line("Content-Type", F.lit("application/octet-stream")),
@@ -90,12 +99,19 @@ def _header(record: Column, target: Column, refers_to: Column, kind: Column, lab
     return F.concat(*lines)
 
 
-def write_archive(records: DataFrame, id_col: str, target_col: str, payload_col: str, min_bytes: int = 0, archive: Archive | None = None) -> Archive:
+def write_archive(
+    records: DataFrame, id_col: str, target_col: str, payload_col: str, min_bytes: int = 0, archive: Archive | None = None,
+    date_col: str | None = None,
+) -> Archive:
     """Write a record for every row; returns where the archive is (by default
-    new folders in the shared folder)."""
+    new folders in the shared folder). ``date_col`` (a timestamp without zone, in UTC)
+    gives the capture's date; without one, or where it is null, it is ``EPOCH``."""
     spark = records.sparkSession
     archive = archive or Archive(shared_path(spark, "payloads"), shared_path(spark, "headers"))
-    rows = records.select(col(id_col).alias("id"), col(target_col).cast("string").alias("target"), utf8(col(payload_col)).alias("payload"))
+    date = F.coalesce(col(date_col).cast("timestamp_ntz") if date_col else F.lit(None).cast("timestamp_ntz"), F.lit(EPOCH).cast("timestamp_ntz"))
+    rows = records.select(
+        col(id_col).alias("id"), col(target_col).cast("string").alias("target"), date.alias("date"), utf8(col(payload_col)).alias("payload")
+    )
     addressed = rows.withColumn("address", F.sha2("payload", 256))
     # Equal addresses with unequal lengths would be a broken digest: max and min must agree.
     payloads = addressed.groupBy("address").agg(
@@ -107,10 +123,10 @@ def write_archive(records: DataFrame, id_col: str, target_col: str, payload_col:
     )
     payloads.write.parquet(archive.payloads)
     known = spark.read.parquet(archive.payloads).select("address", "last_id", "length", "label")
-    headed = addressed.select("id", "target", "address").join(known, "address")
+    headed = addressed.select("id", "target", "date", "address").join(known, "address")
     is_revisit = (F.col("length") >= min_bytes) & ~F.col("id").eqNullSafe(F.col("last_id"))
     kind = F.when(is_revisit, F.lit(REVISIT)).otherwise(F.lit(RESPONSE))
-    header = _header(F.col("id"), F.col("target"), F.col("last_id"), kind, F.col("label"), F.col("length"))
+    header = _header(F.col("id"), F.col("target"), F.col("date"), F.col("last_id"), kind, F.col("label"), F.col("length"))
     headed.select("id", "address", utf8(header).alias("header")).write.parquet(archive.headers)
     return archive
 
@@ -138,6 +154,7 @@ def read_headers(spark: SparkSession, archive: Archive) -> DataFrame:
     return spark.read.parquet(archive.headers).select(
         "id", "header", "address",
         _field(text, "WARC-Type").alias("record_type"),
+        _field(text, "WARC-Date").alias("date"),
         F.regexp_extract(F.coalesce(_field(text, "WARC-Refers-To"), F.lit("")), "^<urn:record:(.*)>$", 1).alias("refers_to"),
         F.regexp_extract(F.coalesce(_field(text, "WARC-Payload-Digest"), F.lit("")), "^sha1:(.*)$", 1).alias("stated_label"),
         _field(text, "X-Payload-Length").cast("long").alias("stated_length"),

@@ -131,6 +131,7 @@ def test_hits_against_brute_force(spark, awkward, shard_chars):
     rng = random.Random(11)
     draw = lambda n: " ".join(rng.choice(["a", "B", "c,", "é", "x-y"]) for _ in range(n))
     items = [(i, draw(rng.randint(0, 9))) for i in range(14)] + [(3, "a b c"), (None, "b b b"), (20, None), (21, ""), (22, "...")]
+    items += [items[4]] * 40  # repeated items count once, also to the size of a shard
     texts = [(i, draw(rng.randint(0, 60))) for i in range(60)]
     docs = spark.createDataFrame([(i, t, "clash") for i, t in texts], "doc_id long, text string, Match string")
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -141,6 +142,20 @@ def test_hits_against_brute_force(spark, awkward, shard_chars):
     assert decontaminate.find_contamination(awkward, "text", bench, "item_id", "text", window=4, shard_chars=shard_chars).count() == awkward.count()
 
 
+def test_shards_are_built_in_tasks_from_distinct_items(spark):
+    bench = spark.createDataFrame([(i % 20, f"item {i % 20} " + "word " * 10) for i in range(400)], "item_id long, text string")
+    shards = list(decontaminate.automata(spark, bench, "item_id", "text", shard_chars=260))
+    assert 2 <= len(shards) <= 6  # 20 items of 57 to 58 characters
+    assert all(isinstance(s.value, bytes) for s in shards)
+    texts = [(i, f"so item {i % 20} " + "word " * (i % 14) + "Ümlaut") for i in range(60)] + [(None, None), (99, "")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    one, many = (
+        sorted((tuple(r) for r in decontaminate.find_contamination(docs, "text", bench, "item_id", "text", shard_chars=n).collect()), key=repr)
+        for n in (10**6, 260)
+    )
+    assert one == many and any(r[2]["n_hit"] for r in one)
+
+
 def test_spans_are_cut_and_clean_documents_stay(spark, empty):
     passage = " ".join(f"w{i}" for i in range(13))
     clean = " ".join(f"c{i}" for i in range(400))
@@ -181,6 +196,17 @@ def test_records_are_rebuilt_exactly(spark):
     ])
 
 
+def test_headers_are_complete(spark):
+    rows = [(1, "http://a/%0A?q=1", "x", "2024-05-06 07:08:09"), (2, "u\r\n2", "y", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, t string").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    got = {r["id"]: bytes(r["record"]).decode() for r in warc.read_records(spark, warc.write_archive(df, "page_id", "url", "html", date_col="t")).collect()}
+    assert "\r\nWARC-Date: 2024-05-06T07:08:09Z\r\n" in got[1] and "\r\nWARC-Target-URI: http://a/%0A?q=1\r\n" in got[1]
+    assert "\r\nWARC-Date: 1970-01-01T00:00:00Z\r\n" in got[2] and "\r\nWARC-Target-URI: u%0D%0A2\r\n" in got[2]
+    for record in got.values():
+        names = [line.split(": ")[0] for line in record.split("\r\n\r\n")[0].split("\r\n")[1:]]
+        assert {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"} <= set(names)  # what WARC 1.1 requires
+
+
 def test_small_payloads_are_all_responses_and_empty_tables(spark):
     df = spark.createDataFrame([(0, "u", "ab"), (1, "u", "ab"), (2, "u", "abc"), (3, "u", "abc")], "page_id long, url string, html string")
     got = warc.read_records(spark, warc.write_archive(df, "page_id", "url", "html", min_bytes=3), with_bytes=False).collect()
