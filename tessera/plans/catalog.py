@@ -45,6 +45,7 @@ NEW_X_VALUES = (-1.5, 2.5, 8.5, 31.4)
 KMEANS = {"start_k": 7, "min_k": 2, "max_radius_km": 3.0, "seed": 1}
 STREAM_FILE_ROWS = 250_000  # most rows of a staged CSV file (tens of MB)
 STREAM_BATCHES = 12  # micro-batches of the streams, at least, on any input
+STREAM_PARTITIONS = 2  # of the state and of the result: one row a day, some thousand days, however many lines
 STREAM_TOP_K = 6  # rows of the live view
 STREAM_NAME = "live daily sales"
 
@@ -534,7 +535,7 @@ def _stream(spark: SparkSession, sf_dir: str) -> tuple:
     """spark, folder, schema, day, quantity and price of the staged stream, and the options of its reader."""
     path, files = _staged_lineitem_csv(spark, sf_dir)
     source = (spark, path, LINEITEM_SCHEMA, _stream_day(), "l_quantity", "l_extendedprice")
-    return source, {"sep": ";", "max_files_per_trigger": files}
+    return source, {"sep": ";", "max_files_per_trigger": files, "buckets": STREAM_PARTITIONS, "state_partitions": STREAM_PARTITIONS}
 
 
 def q_stream_best_days(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,9 +20,9 @@ The state holds one row per distinct day and has no expiry; a watermark is
 not used because the totals are over all time. The aggregate is partial +
 final like a batch aggregate, so a day holding a large share of the rows is
 combined in each task before the state update. The number of state
-partitions is ``spark.sql.shuffle.partitions`` at the first start and is
-kept in the checkpoint (AQE does not change it): size it for the cluster
-before a query's first run.
+partitions is ``state_partitions`` (by default ``spark.sql.shuffle.partitions``) at the
+first start and is kept in the checkpoint (AQE does not change it): size it for the
+number of days, of which every task sends one partial row each, not for the rows.
 """
 
 from __future__ import annotations
@@ -131,6 +131,7 @@ def run_to_parquet(
     interval: str = "10 seconds",
     key_cols: tuple[str, ...] | None = ("day",),
     buckets: int = RESULT_BUCKETS,
+    state_partitions: int | None = None,
 ) -> StreamRun:
     """Start ``agg``. With ``key_cols`` in update mode: changed rows are merged by key
     into ``buckets`` partitions of the result. Without in complete mode: each
@@ -174,7 +175,8 @@ def run_to_parquet(
     if name:
         writer = writer.queryName(name)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
-    with _settings(spark, STATE_SETTINGS):
+    partitions = {"spark.sql.shuffle.partitions": str(state_partitions)} if state_partitions else {}
+    with _settings(spark, STATE_SETTINGS | partitions):
         return StreamRun(writer.start(), result_path, checkpoint_path)
 
 
@@ -192,6 +194,7 @@ def stream_daily_sales(
     name: str | None = None,
     result_path: str | None = None,
     checkpoint_path: str | None = None,
+    **sink,
 ) -> DataFrame:
     """Process every file now in ``folder`` (one or more micro-batches),
     wait for the stream to finish and return the final table as a batch
@@ -200,7 +203,8 @@ def stream_daily_sales(
     mode: the live view is the true top, not the first rows to arrive).
     Passing the ``checkpoint_path`` (and ``result_path``) of an earlier run
     resumes it: only files not yet seen are read, on top of the saved state.
-    There is no time limit unless ``timeout_sec`` sets one."""
+    There is no time limit unless ``timeout_sec`` sets one; ``sink`` holds further
+    options of ``run_to_parquet`` (``buckets``, ``state_partitions``)."""
     stream = read_csv_stream(spark, folder, schema, sep, True, max_files_per_trigger)
     agg = daily_sales(stream, day_col, quantity_col, price_col)
     if top_k is not None:
@@ -211,6 +215,7 @@ def stream_daily_sales(
         checkpoint_path or temporary_path(spark, "stream-state"),
         name=name,
         key_cols=("day",) if top_k is None else None,
+        **sink,
     )
     run.finish(timeout_sec)
     return read_result(spark, run.result_path)
@@ -227,6 +232,7 @@ def stop_and_resume_daily_sales(
     stop_after: int,
     sep: str = ",",
     max_files_per_trigger: int | None = 1,
+    **sink,
 ) -> tuple[DataFrame, int, int]:
     """Run the live query under ``name`` until it has finished ``stop_after``
     micro-batches, find it by its name and stop it, then start it again from its
@@ -235,13 +241,13 @@ def stop_and_resume_daily_sales(
     stream = read_csv_stream(spark, folder, schema, sep, True, max_files_per_trigger)
     agg = daily_sales(stream, day_col, quantity_col, price_col)
     result, state = temporary_path(spark, "stream-result"), temporary_path(spark, "stream-state")
-    first = run_to_parquet(agg, result, state, name, available_now=False, interval="0 seconds")
+    first = run_to_parquet(agg, result, state, name, available_now=False, interval="0 seconds", **sink)
     try:
         first.drain(stop_after)
     finally:
         stop_query_by_name(spark, name)
     before = sum(1 for p in first.query.recentProgress if p["numInputRows"])
-    rest = run_to_parquet(agg, result, state, name)
+    rest = run_to_parquet(agg, result, state, name, **sink)
     rest.finish()
     after = sum(1 for p in rest.query.recentProgress if p["numInputRows"])
     return read_result(spark, result), before, after
