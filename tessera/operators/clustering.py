@@ -12,7 +12,8 @@ of rows and any cluster size give the same result.
   and a centre moves to the floor of its members' mean. One aggregate a round with
   partial sums, so at most k rows a task are shuffled and k rows reach the driver. It
   ends when no centre moves more than ``TOLERANCE`` or after ``MAX_ITER`` rounds (the
-  defaults of Spark ML's K-Means).
+  defaults of Spark ML's K-Means). The micro-degrees are columns of the cached points:
+  a round only subtracts and multiplies whole numbers.
 
 Refinement: cluster all points with k = ``start_k``; keep the cluster that holds the
 anchor; measure its radius (largest great-circle distance of a member to the cluster
@@ -42,6 +43,7 @@ from tessera.functions.numeric import percent
 from tessera.session import checkpoint_root, temporary_path
 
 LAT, LON = "latitude_wgs84", "longitude_wgs84"
+Y, X = "_micro_lat", "_micro_lon"
 MICRO = 1_000_000
 SEED_CANDIDATES = 64
 MAX_ITER = 20
@@ -76,27 +78,37 @@ def _places(centres: Sequence[Centre]) -> Column:
     return F.array(*[F.lit(v) for centre in centres for v in centre])
 
 
-def nearest(centres: Sequence[Centre], lat: str = LAT, lon: str = LON) -> Column:
-    """The number of the nearest centre; ties go to the lower number."""
-    y, x, at = micro_degrees(F.col(lat)), micro_degrees(F.col(lon)), _places(centres)
+def _distances(centres: Sequence[Centre], y: str, x: str) -> list[Column]:
+    at = _places(centres)
 
     def distance(i: int) -> Column:
-        dy, dx = y - F.get(at, F.lit(2 * i)), x - F.get(at, F.lit(2 * i + 1))
+        dy, dx = F.col(y) - F.get(at, F.lit(2 * i)), F.col(x) - F.get(at, F.lit(2 * i + 1))
         return dy * dy + dx * dx
 
+    return [distance(i) for i in range(len(centres))]
+
+
+def nearest(centres: Sequence[Centre], y: str = Y, x: str = X) -> Column:
+    """The number of the centre nearest to a place in whole micro-degrees; ties go to
+    the lower number."""
     if len(centres) == 1:
         return F.lit(0)
-    return F.least(*[F.struct(distance(i).alias("d"), F.lit(i).alias("i")) for i in range(len(centres))])["i"]
+    return F.least(*[F.struct(d.alias("d"), F.lit(i).alias("i")) for i, d in enumerate(_distances(centres, y, x))])["i"]
+
+
+def with_micro_degrees(points: DataFrame, lat: str = LAT, lon: str = LON) -> DataFrame:
+    """The points with their whole micro-degrees as columns: rounding a double costs far
+    more than a distance, and every distance needs both numbers."""
+    return points.withColumns({Y: micro_degrees(F.col(lat)), X: micro_degrees(F.col(lon))})
 
 
-def lloyd(
-    points: DataFrame, centres: Sequence[Centre], lat: str = LAT, lon: str = LON, max_iter: int = MAX_ITER, tolerance: int = TOLERANCE
-) -> list[Centre]:
-    """The centres after at most ``max_iter`` rounds; one without members stays."""
+def lloyd(points: DataFrame, centres: Sequence[Centre], max_iter: int = MAX_ITER, tolerance: int = TOLERANCE) -> list[Centre]:
+    """The centres of points ``with_micro_degrees`` after at most ``max_iter`` rounds; one
+    without members stays."""
     centres = list(centres)
     for _ in range(max_iter):
-        sums = points.groupBy(nearest(centres, lat, lon).alias("c")).agg(
-            F.sum(micro_degrees(F.col(lat))).alias("y"), F.sum(micro_degrees(F.col(lon))).alias("x"), F.count(F.lit(1)).alias("n")
+        sums = points.groupBy(nearest(centres).alias("c")).agg(
+            F.sum(Y).alias("y"), F.sum(X).alias("x"), F.count(F.lit(1)).alias("n")
         )
         moved = 0
         for row in sums.collect():  # at most k rows
@@ -110,10 +122,11 @@ def lloyd(
 
 def fit_kmeans(points: DataFrame, k: int, seed: int = 1, id_col: str = "id", lat: str = LAT, lon: str = LON) -> list[Centre]:
     """Centres in micro-degrees; points without a coordinate take no part."""
-    kept = points.select(id_col, lat, lon).where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).persist()
+    known = points.select(id_col, lat, lon).where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+    kept = with_micro_degrees(known, lat, lon).persist()
     try:
         first = seeds(kept, k, seed, id_col, lat, lon)
-        return lloyd(kept, first, lat, lon) if first else []
+        return lloyd(kept, first) if first else []
     finally:
         kept.unpersist()
 
@@ -124,8 +137,8 @@ def kmeans_assign(
     """``id``, ``cluster`` for every point; null for a point without coordinates."""
     centres = fit_kmeans(points, k, seed, id_col, lat, lon)
     known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
-    cluster = F.when(known, nearest(centres, lat, lon)) if centres else F.lit(None)
-    return points.select(F.col(id_col), cluster.cast("int").alias("cluster"))
+    cluster = F.when(known, nearest(centres)) if centres else F.lit(None)
+    return with_micro_degrees(points, lat, lon).select(F.col(id_col), cluster.cast("int").alias("cluster"))
 
 
 @dataclass
@@ -169,7 +182,7 @@ def kmeans_refine(
         centres = fit_kmeans(current, k, seed, id_col, lat, lon)
         cluster = F.col("cluster")
         at = _places(centres)
-        assigned = current.withColumn("cluster", nearest(centres, lat, lon))
+        assigned = with_micro_degrees(current, lat, lon).withColumn("cluster", nearest(centres)).drop(Y, X)
         # The anchor's cluster is found in the plan: a semi-join with the anchor's one row.
         home = assigned.where(F.col(id_col) == anchor_id).select("cluster")
         members = (

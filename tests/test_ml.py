@@ -147,6 +147,18 @@ def test_kmeans_against_plain_rounds(spark):
     assert {r["cluster"] for r in clustering.kmeans_assign(one_place, 3).collect()} == {0}
 
 
+def test_points_are_rounded_once_a_fit(spark, monkeypatch):
+    """Rounds and distances read whole micro-degrees; a double is not rounded again for every centre."""
+    points = _three_groups(spark)
+    made = []
+    plain = clustering.micro_degrees
+    monkeypatch.setattr(clustering, "micro_degrees", lambda degrees: made.append(degrees) or plain(degrees))
+    centres = clustering.fit_kmeans(points, 7)
+    assert len(centres) == 7 and len(made) == 4  # two columns of the points, two of the candidates
+    plan = clustering.kmeans_assign(points, 7)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("round(") == 2
+
+
 def test_refinement_that_cannot_progress_raises(spark):
     schema = "id long, latitude_wgs84 double, longitude_wgs84 double, postal_code long"
     twins = spark.createDataFrame([(0, 61.0, 23.0, 1), (0, 62.0, 23.0, 1)], schema)
