@@ -132,13 +132,16 @@ def fit_kmeans(points: DataFrame, k: int, seed: int = 1, id_col: str = "id", lat
 
 
 def kmeans_assign(
-    points: DataFrame, k: int = 7, seed: int = 1, id_col: str = "id", lat: str = LAT, lon: str = LON
-) -> DataFrame:
-    """``id``, ``cluster`` for every point; null for a point without coordinates."""
-    centres = fit_kmeans(points, k, seed, id_col, lat, lon)
+    points: DataFrame, k: int = 7, seed: int = 1, id_col: str = "id", lat: str = LAT, lon: str = LON,
+    centres: Sequence[Centre] | None = None, keep: Sequence[str] = (),
+) -> DataFrame:
+    """``id``, ``cluster`` for every point; null for a point without coordinates. With
+    ``centres``, those of an earlier fit are used; columns named in ``keep`` stay."""
+    if centres is None:
+        centres = fit_kmeans(points, k, seed, id_col, lat, lon)
     known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
     cluster = F.when(known, nearest(centres)) if centres else F.lit(None)
-    return with_micro_degrees(points, lat, lon).select(F.col(id_col), cluster.cast("int").alias("cluster"))
+    return with_micro_degrees(points, lat, lon).select(F.col(id_col), *keep, cluster.cast("int").alias("cluster"))
 
 
 @dataclass
@@ -211,16 +214,26 @@ def rounds_frame(result: RefineResult) -> DataFrame:
     ).select("round", "k", "n_before", "n_after", "cluster", "center_lat", "center_lon", "radius_km")
 
 
-def checks_frame(points: DataFrame, assigned: DataFrame, result: RefineResult, anchor_id, max_radius_km: float) -> DataFrame:
-    """What must hold, as one row: every point is assigned; each round starts from
-    what the one before kept; the anchor is a member of every round, and the radius
+def checks_frame(
+    points: DataFrame, assigned: DataFrame, centres: Sequence[Centre], result: RefineResult, anchor_id, max_radius_km: float,
+    lat: str = LAT, lon: str = LON,
+) -> DataFrame:
+    """What must hold, as one row: every point is assigned, none to a centre that is
+    not its nearest (``assigned`` has the coordinates of its points); each round starts
+    from what the one before kept; the anchor is a member of every round, and the radius
     is within the limit at the end."""
     rounds = rounds_frame(result)
     before = rounds.select((F.col("round") + 1).alias("round"), F.col("n_after").alias("kept_before"))
     chained = rounds.join(before, "round").agg(F.coalesce(F.bool_and(F.col("kept_before") == F.col("n_before")), F.lit(True)).alias("rounds_chained"))
     anchored = result.history.groupBy("round").agg((F.count_if(F.col("id") == anchor_id) == 1).alias("ok")).agg(F.bool_and("ok").alias("anchor_present"))
     within = result.members.agg((F.max("distance_km") <= max_radius_km).alias("radius_within_limit"))
-    found = assigned.agg(F.count("cluster").alias("points_assigned"))
+    apart = F.array(*_distances(centres, Y, X)) if centres else F.array(F.lit(0))
+    nearer = F.get(apart, F.col("cluster")) > F.array_min(apart)
+    # A cluster that has no centre is not the nearest one either.
+    wrong = F.col("cluster").isNotNull() & F.coalesce(nearer, F.lit(True))
+    found = with_micro_degrees(assigned, lat, lon).agg(
+        F.count("cluster").alias("points_assigned"), F.count_if(wrong).alias("not_nearest")
+    )
     counts = points.agg(F.count(F.lit(1)).alias("points_in"))
     one_row = counts
     for part in (found, chained, anchored, within):  # aggregates without keys: one row each

@@ -456,8 +456,11 @@ def q_kmeans_final_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_kmeans_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What must hold of an assignment and of a refinement, as one row."""
     points = _points(spark, sf_dir)
-    assigned = clustering.kmeans_assign(points, KMEANS["start_k"], KMEANS["seed"])
-    return clustering.checks_frame(points, assigned, _refined(spark, sf_dir), standins.ANCHOR_ID, KMEANS["max_radius_km"])
+    centres = clustering.fit_kmeans(points, KMEANS["start_k"], KMEANS["seed"])
+    assigned = clustering.kmeans_assign(points, centres=centres, keep=(clustering.LAT, clustering.LON))
+    return clustering.checks_frame(
+        points, assigned, centres, _refined(spark, sf_dir), standins.ANCHOR_ID, KMEANS["max_radius_km"]
+    )
 
 
 # --- file sources and the stream -----------------------------------------

@@ -159,6 +159,19 @@ def test_points_are_rounded_once_a_fit(spark, monkeypatch):
     assert plan.count("round(") == 2
 
 
+def test_checks_count_points_that_are_not_with_their_nearest_centre(spark):
+    points = _three_groups(spark).unionByName(spark.createDataFrame([(2000, None, 23.0, 3)], "id long, latitude_wgs84 double, longitude_wgs84 double, postal_code long"))
+    result = clustering.kmeans_refine(points, 0)
+    centres = clustering.fit_kmeans(points, 7)
+    assigned = clustering.kmeans_assign(points, centres=centres, keep=(clustering.LAT, clustering.LON))
+    assert clustering.checks_frame(points, assigned, centres, result, 0, 3.0).first().asDict() == {
+        "points_in": 113, "points_assigned": 112, "not_nearest": 0, "rounds_chained": True, "anchor_present": True, "radius_within_limit": True,
+    }
+    for cluster, wrong in ((F.col("cluster") + F.when(F.col("id").between(1000, 1002), 1).otherwise(0), 3), (F.lit(99), 113)):
+        moved = assigned.withColumn("cluster", cluster)
+        assert clustering.checks_frame(points, moved, centres, result, 0, 3.0).first()["not_nearest"] == wrong
+
+
 def test_refinement_that_cannot_progress_raises(spark):
     schema = "id long, latitude_wgs84 double, longitude_wgs84 double, postal_code long"
     twins = spark.createDataFrame([(0, 61.0, 23.0, 1), (0, 62.0, 23.0, 1)], schema)
