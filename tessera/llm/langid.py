@@ -7,14 +7,14 @@ n-grams stands out of place, with the profile's length for one that is missing.
 The nearest profile wins; ties go to the language that sorts first. The score is
 one minus the distance over the largest possible one.
 
-Training counts come from labelled rows. They are a sample of about
-``TRAIN_DOCS`` documents per language (chosen by a hash of the id, with one
-bound for tables of any size); a language with fewer is used whole. Workers
-count, Spark sums, and only the profiles, ``PROFILE_GRAMS`` n-grams for each of at
-most ``MAX_LANGS`` languages, reach the driver and are broadcast.
+Training counts come from all labelled rows. Workers count, Spark sums, and only
+the profiles, ``PROFILE_GRAMS`` n-grams for each of at most ``MAX_LANGS``
+languages, reach the driver and are broadcast. (A caller who wants less can give
+``train_docs``, about so many documents of each language by a hash of the id; no
+query does.)
 
 A text in no learned language has a nearest profile too. For rejecting it, every
-language has a least score, learned from the scores of its training documents
+language has a least score, learned from the scores of all its training documents
 (``learn_least_scores``); ``accepted`` compares with it.
 
 Defined results: a null text, one without letters, or any text when nothing was
@@ -35,17 +35,18 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import col, utf8
+from tessera.llm.common import col, stored, utf8
 
 PROFILE_GRAMS = 400
-TRAIN_DOCS = 4_000
 MAX_LANGS = 1_000
 UNDETERMINED = "und"
 LEAST_QUANTILE = 0.001  # of the training documents' scores
 LEAST_SHARE = 0.8  # of that score, for a text to be in the language
+SCORE_BINS = 4096
 
 EDGE = 1  # the mark at a word's edges; no letter has this code
 BLOCK_CHARS = 1 << 20
+BLOCK_GRAMS = 1 << 20  # of several texts, that a worker adds up at once
 
 
 @lru_cache(maxsize=1)
@@ -120,8 +121,10 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 4 == 2
 
 
-def _sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, train_docs: int) -> tuple[list[str], DataFrame | None]:
-    """The languages, and about ``train_docs`` rows (lang, text) of each."""
+def _training(
+    labelled: DataFrame, id_col: str, text_col: str, lang_col: str, train_docs: int | None
+) -> tuple[list[str], DataFrame | None]:
+    """The languages, and the rows (lang, text) to learn from."""
     rows = labelled.select(
         col(id_col).cast("string").alias("id"), col(text_col).alias("text"), col(lang_col).alias("lang")
     ).where("text is not null and lang is not null")
@@ -130,30 +133,42 @@ def _sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, trai
         raise ValueError(f"more than {MAX_LANGS} languages")
     if not known:
         return [], None
-    # Each language's share of the hash range: all rows, or about train_docs of them.
-    share = F.create_map(*[x for r in known for x in (F.lit(r["lang"]), F.lit(min(1.0, train_docs / r["count"])))])
-    chance = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return [r["lang"] for r in known], rows.where(chance < share[F.col("lang")]).select("lang", utf8(F.col("text")).alias("text"))
+    if train_docs is not None:
+        # Each language's share of the hash range: all rows, or about train_docs of them.
+        share = F.create_map(*[x for r in known for x in (F.lit(r["lang"]), F.lit(min(1.0, train_docs / r["count"])))])
+        chance = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        rows = rows.where(chance < share[F.col("lang")])
+    return [r["lang"] for r in known], rows.select("lang", utf8(F.col("text")).alias("text"))
 
 
 def learn_profiles(
-    labelled: DataFrame, id_col: str, text_col: str, lang_col: str, train_docs: int = TRAIN_DOCS, size: int = PROFILE_GRAMS
+    labelled: DataFrame, id_col: str, text_col: str, lang_col: str, train_docs: int | None = None, size: int = PROFILE_GRAMS
 ) -> dict[str, list[int]]:
-    """Profiles from rows with a language. Rows without text or language teach nothing."""
-    langs, sample = _sample(labelled, id_col, text_col, lang_col, train_docs)
-    if sample is None:
+    """Profiles from all rows with a language. Rows without text or language teach nothing."""
+    langs, training = _training(labelled, id_col, text_col, lang_col, train_docs)
+    if training is None:
         return {}
 
+    def added(lang: str, alone: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+        found, where = np.unique(np.concatenate([f for f, _ in alone]), return_inverse=True)
+        n = np.bincount(where, np.concatenate([c for _, c in alone]), len(found)).astype(np.int64)
+        return pd.DataFrame({"lang": lang, "gram": found, "n": n})
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for lang, texts in batch.groupby("lang")["text"]:
-                # Each text alone: the counts do not depend on which texts share a batch.
-                alone = [grams(str(t, "utf-8", "replace")) for t in texts]
-                found, where = np.unique(np.concatenate([f for f, _ in alone]), return_inverse=True)
-                n = np.bincount(where, np.concatenate([c for _, c in alone]), len(found)).astype(np.int64)
-                yield pd.DataFrame({"lang": lang, "gram": found, "n": n})
-
-    counted = sample.mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+                alone, held = [], 0
+                for t in texts:
+                    # Each text alone: the counts do not depend on which texts share a batch.
+                    alone.append(grams(str(t, "utf-8", "replace")))
+                    held += len(alone[-1][0])
+                    if held >= BLOCK_GRAMS:
+                        yield added(lang, alone)
+                        alone, held = [], 0
+                if alone:
+                    yield added(lang, alone)
+
+    counted = training.mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     ranks = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     best = counted.withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= size).orderBy("lang", "rank")
     profiles: dict[str, list[int]] = {lang: [] for lang in langs}
@@ -178,19 +193,47 @@ def predict_column(text: Column, profiles: Broadcast, size: int = PROFILE_GRAMS)
     return predict(utf8(text))
 
 
+def quantiles(scored: DataFrame, q: float) -> DataFrame:
+    """``lang``, ``low``: the exact q-quantile of each language's ``score`` values (0 to
+    1), as Spark's ``percentile`` interpolates it. That function holds all values of a
+    group at once; here the bins that hold the wanted ranks are found first, and only their
+    values are put in order. A score is a distance over at most ``size`` squared, so
+    a bin has a few thousand different ones at most, whatever the number of texts."""
+    counted = scored.groupBy("lang", "score").agg(F.count(F.lit(1)).alias("n")).withColumn("bin", F.floor(F.col("score") * SCORE_BINS))
+    bins = counted.groupBy("lang", "bin").agg(F.sum("n").alias("in_bin"))
+    upto = F.sum("in_bin").over(Window.partitionBy("lang").orderBy("bin"))
+    total = F.sum("in_bin").over(Window.partitionBy("lang"))
+    wanted = (
+        bins.withColumns({"before": upto - F.col("in_bin"), "upto": upto, "at": F.lit(q) * (total - 1)})
+        .where((F.col("before") <= F.ceil("at")) & (F.col("upto") > F.floor("at")))
+        .select("lang", "bin", "before", "at")
+    )
+    ranks = F.col("before") + F.sum("n").over(Window.partitionBy("lang", "bin").orderBy("score"))
+    ordered = counted.join(F.broadcast(wanted), ["lang", "bin"]).withColumn("upto", ranks)
+
+    def value(rank: Column) -> Column:
+        return F.min(F.when(F.col("upto") > rank, F.col("score")))
+
+    ends = ordered.groupBy("lang", "at").agg(value(F.floor("at")).alias("a"), value(F.ceil("at")).alias("b"))
+    between = (F.ceil("at") - F.col("at")) * F.col("a") + (F.col("at") - F.floor("at")) * F.col("b")
+    return ends.select("lang", F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(between).alias("low"))
+
+
 def learn_least_scores(
-    labelled: DataFrame, id_col: str, text_col: str, lang_col: str, profiles: Broadcast, train_docs: int = TRAIN_DOCS,
+    labelled: DataFrame, id_col: str, text_col: str, lang_col: str, profiles: Broadcast, train_docs: int | None = None,
     size: int = PROFILE_GRAMS,
 ) -> dict[str, float]:
     """For each language the least score at which a text is taken to be in it:
     ``LEAST_SHARE`` of the score that all but ``LEAST_QUANTILE`` of its training
     documents reach. A language of which no training document is recognised has 0."""
-    _, sample = _sample(labelled, id_col, text_col, lang_col, train_docs)
-    if sample is None:
+    _, training = _training(labelled, id_col, text_col, lang_col, train_docs)
+    if training is None:
         return {}
-    scored = sample.select("lang", predict_column(F.col("text").cast("string"), profiles, size).alias("p"))
-    own = scored.where("p.lang_pred = lang").groupBy("lang").agg(F.percentile("p.score", F.lit(LEAST_QUANTILE)).alias("low"))
-    least = {r["lang"]: LEAST_SHARE * r["low"] for r in own.collect()}  # one row a language
+    predicted = training.select("lang", predict_column(F.col("text").cast("string"), profiles, size).alias("p"))
+    # Stored: the predictions are made once, for the filter and both passes over the scores.
+    scored = stored(predicted.select("lang", "p.*"), "training-scores")
+    low = quantiles(scored.where("lang_pred = lang").select("lang", "score"), LEAST_QUANTILE)
+    least = {r["lang"]: LEAST_SHARE * r["low"] for r in low.collect()}  # one row a language
     return {lang: least.get(lang, 0.0) for lang in profiles.value}
 
 

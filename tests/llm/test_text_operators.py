@@ -216,6 +216,32 @@ def test_other_languages_and_noise_are_rejected(spark):
     assert others.where(langid.accepted(F.col("p"), {})).collect() == []
 
 
+def test_language_models_come_from_every_training_row(spark):
+    """6,190 rows of one language: letter i is in 300 + i of them, so a row left out changes the ranks."""
+    letters = "abcdefghijklmnopqrst"
+    texts = [x for i, x in enumerate(letters) for _ in range(300 + i)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    profiles = langid.learn_profiles(docs, "doc_id", "text", "lang")
+    assert [chr(g) for g in profiles["en"] if 1 < g < 1 << 21] == list(reversed(letters))
+    # Scores differ by row: a word alone is the worse, the later it stands in the profile.
+    shared = spark.sparkContext.broadcast(profiles)
+    low = docs.select(langid.predict_column(F.col("text"), shared)["score"].alias("s")).agg(F.percentile("s", F.lit(langid.LEAST_QUANTILE))).first()[0]
+    rare = docs.unionByName(spark.createDataFrame([(10_000 + i, "zz zz", "en") for i in range(8)], docs.schema))
+    assert langid.learn_least_scores(docs, "doc_id", "text", "lang", shared)["en"] == langid.LEAST_SHARE * low > 0
+    # Eight bad rows of 6,198 are more than one in a thousand, whichever rows they are.
+    assert langid.learn_least_scores(rare, "doc_id", "text", "lang", shared)["en"] == 0
+
+
+def test_quantiles_are_those_of_percentile(spark):
+    rng = random.Random(5)
+    rows = [("a", rng.randrange(400) / 400) for _ in range(3000)] + [("b", rng.random()) for _ in range(2001)]
+    rows += [("c", 0.25)] * 50 + [("d", 1.0), ("e", 0.0), ("e", 1.0)] + [("f", 0.5 + i * 1e-9) for i in range(1500)]
+    scored = spark.createDataFrame(rows, "lang string, score double").repartition(5)
+    for q in (0.0, 0.001, 0.3, 0.5, 1.0):
+        expected = {r[0]: r[1] for r in scored.groupBy("lang").agg(F.percentile("score", F.lit(q))).collect()}
+        assert {r["lang"]: r["low"] for r in langid.quantiles(scored, q).collect()} == pytest.approx(expected, abs=1e-15)
+
+
 def test_language_awkward(spark, awkward, empty):
     assert langid.learn_profiles(empty, "doc_id", "text", "lang") == {}
     assert langid.learn_least_scores(empty, "doc_id", "text", "lang", spark.sparkContext.broadcast({})) == {}
